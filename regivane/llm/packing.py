@@ -14,9 +14,11 @@ rows are packed each for itself; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
+import json
 import re
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regivane.llm.bpe_codec import _loaded
-from regivane.llm.common import TwoGenerationCache, materialise, small_batches
+from regivane.llm.common import materialise, small_batches
 
 WINDOW, OPEN_WINDOWS, FAN_IN = 2048, 64, 256
 #: Separators to Python's split() that the tokenizer's pattern takes for characters.
 _ODD = re.compile("[\x1c-\x1f]")
+#: A comma or full stop behind another mark.
+_STACKED = re.compile(r"(?:[^\w\s]|_)[.,](?!\S)")
+_MARKED_WORD = re.compile(r"([\W_]*)([^\W\d_]+)([\W_]*)")
 
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary, part bigint"
 
@@ -104,38 +109,105 @@ def fill(pieces: list, size: int, emit: Callable[[Window], None]) -> list:
     return window.pieces
 
 
-def word_encoder(source: str, memo: int = 1 << 18) -> Callable[[list[str]], list[bytes]]:
+class WordEncoder:
     """Ids of whole texts as packed 32-bit integers, by the ``tokenizers`` library.
 
-    The tokenizer drops white space, so each run of other characters is encoded by itself;
-    runs seen before come from a memo.
+    The tokenizer drops white space and lower-cases, so each run of other characters is
+    encoded by itself, and a word among marks as the lower-cased word and the marks.
+    What was encoded before comes from two memos: of runs, and of lower-cased words.
     """
-    import os
-
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
-
-    tokenizer, cache = Tokenizer.from_str(source), TwoGenerationCache(memo)
-    pack = lambda ids: np.asarray(ids, dtype="<u4").tobytes()
-
-    def encode(texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            if _ODD.search(text):
-                out.append(pack(tokenizer.encode(text, add_special_tokens=False).ids))
-                continue
-            runs = text.split()
-            got = list(map(cache.get, runs))
-            if None in got:
-                lacking = list({r for r, g in zip(runs, got, strict=True) if g is None})
-                fresh = {r: pack(e.ids) for r, e in zip(lacking, tokenizer.encode_batch_fast(lacking, add_special_tokens=False), strict=True)}
-                got = [fresh[r] if g is None else g for r, g in zip(runs, got, strict=True)]
-                for run, ids in fresh.items():
-                    cache.put(run, ids)
-            out.append(b"".join(got))
-        return out
-
-    return encode
+
+    def __init__(self, source: str, runs: int = 3 << 18, words: int = 1 << 18):
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.runs, self.words, self.limits = Tokenizer.from_str(source), {}, {}, (runs, words)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.marks: dict[str, bytes] = {"": b""}
+        self.special = [t["content"] for t in json.loads(source)["added_tokens"]]
+
+    def plain(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def split(self, run: str) -> tuple[str, str, str] | None:
+        """(marks before, lower-cased word, marks behind) of a run that is just that."""
+        found = _MARKED_WORD.fullmatch(run)
+        if not found or any(t in run for t in self.special):
+            return None
+        before, word, behind = found.groups()
+        if not word.isalpha() or not (before + behind).isascii() or not self.foldable(word):
+            return None
+        return before, word.lower(), behind
+
+    @staticmethod
+    def foldable(word: str) -> bool:
+        """Lower-casing is letter by letter, and composing changes nothing."""
+        if word.isascii():
+            return True
+        low = word.lower()
+        return len(low) == len(word) and low.isalpha() and "\u03a3" not in word and is_normalized("NFC", word)
+
+    def learn(self, lacking: set[str]) -> None:
+        """Put runs into the memos; new words are encoded in one go and cut at their last pieces."""
+        if len(self.runs) + len(lacking) > self.limits[0]:
+            self.runs.clear()
+        whole, odd = [], {}
+        for run in lacking:
+            if run.isalpha() and self.foldable(run):
+                whole.append(run)
+            else:
+                odd[run] = self.split(run)
+        self.encode_words(whole, self.runs)
+        inner = {x[1] for x in odd.values() if x}
+        if len(self.words) + len(inner) > self.limits[1]:
+            self.words.clear()
+        self.encode_words([w for w in inner if w not in self.words], self.words)
+        for run, x in odd.items():
+            self.runs[run] = self.mark(x[0]) + self.words[x[1]] + self.mark(x[2]) if x else self.plain(run)
+
+    def encode_words(self, fresh: list[str], memo: dict[str, bytes]) -> None:
+        ids = np.asarray(self.tokenizer.encode(" ".join(fresh), add_special_tokens=False).ids, dtype="<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) == len(fresh):
+            packed, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
+            memo.update({w: packed[a:b] for w, a, b in zip(fresh, at, at[1:], strict=False)})
+        else:  # a word was more than one pre-token
+            memo.update((w, self.plain(w)) for w in fresh)
+
+    def mark(self, marks: str) -> bytes:
+        ids = self.marks.get(marks)
+        if ids is None:
+            if len(self.marks) > 1 << 16:
+                self.marks = {"": b""}
+            ids = self.marks[marks] = self.plain(marks)
+        return ids
+
+    def runs_of(self, text: str) -> list[str] | None:
+        """Runs with the same ids as the text's, lower-cased and with a mark at a word's end by itself where that is safe."""
+        if _ODD.search(text):
+            return None
+        if not text.isascii():
+            low = text.lower()
+            if len(low) != len(text) or "\u03a3" in text or not is_normalized("NFC", text):
+                return text.split()
+        if any(t in text for t in self.special):
+            return text.split()
+        text = text.lower()
+        if not _STACKED.search(text):  # such marks belong together
+            text = text.replace(", ", " , ").replace(". ", " . ").replace(".\n", " .\n").replace(",\n", " ,\n")
+        return text.split()
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        split = list(map(self.runs_of, texts))
+        present = set().union(*(r for r in split if r))
+        lacking = present - self.runs.keys()
+        if lacking:
+            self.learn(present if len(self.runs) + len(lacking) > self.limits[0] else lacking)
+        return [self.plain(t) if r is None else b"".join(map(self.runs.__getitem__, r)) for t, r in zip(texts, split, strict=True)]
 
 
 class _Rows:
@@ -174,7 +246,7 @@ def pack(docs: DataFrame, source: str, doc_id: str = "doc_id", text: str = "text
     sent = spark.sparkContext.broadcast(source)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _loaded("word-encoder", len(sent.value), lambda: word_encoder(sent.value))
+        encode = _loaded("word-encoder", len(sent.value), lambda: WordEncoder(sent.value))
         task, end = TaskContext.get().partitionId(), np.uint32(end_id).tobytes()
         rows = _Rows(0, task)
         packer = Packer(window, open_windows, rows.emit)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regivane.llm import bpe_codec, packing, token_counts
+from regivane.llm import bpe_codec, language_id, packing, token_counts, toxicity
 from regivane.llm.common import documents, text_or_empty
 
 
@@ -37,6 +37,39 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, tokenizer_source("byte_bpe_50k.json")).select("doc_id", "n_words", "n_tokens")
 
 
+def crc_mod(column: str, n: int):
+    """crc32 of a number's decimal text, modulo ``n``."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % n
+
+
+def toxic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, toxic) of the rows that may be learned from; one row a document."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(crc_mod("doc_id", 5) != 0)
+    return labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Model:
+    return toxicity.fit(docs.select("doc_id", "text").join(toxic_labels(spark, sf_dir), "doc_id"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir, docs))
+    return scored.select(
+        "doc_id",
+        (crc_mod("doc_id", 5) == 0).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    models = language_id.train(docs, crc_mod("doc_id", 4) != 2)
+    found = language_id.identify(docs.select("doc_id", "text"), models)
+    return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(documents(spark, sf_dir), tokenizer_source("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -45,6 +78,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_codec": op2_bpe_codec,
     "op4_token_counts": op4_token_counts,
+    "op6_toxicity": op6_toxicity,
+    "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
 }
 
