@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regivane.llm import bpe_codec, language_id, packing, token_counts, toxicity
+from regivane.llm import bpe_codec, html_text, language_id, media, packing, token_counts, toxicity
 from regivane.llm.common import documents, text_or_empty
 
 
@@ -37,6 +37,28 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, tokenizer_source("byte_bpe_50k.json")).select("doc_id", "n_words", "n_tokens")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "n_lines", "n_shared")
+
+
+def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = media.store_and_read(documents(spark, sf_dir))
+    # UTF-8 has no byte 255, so the filling can be told from the text
+    hexed = F.regexp_replace(F.hex(F.substring("payload", -576, 576)), "(FF)*$", "")
+    return stored.select(
+        "doc_id",
+        (F.length("payload") - F.least(F.length("payload"), F.lit(576)) + F.length(hexed) / 2).cast("bigint").alias("n_bytes"),
+        F.length("payload").cast("bigint").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.substring("payload", -32, 32)).alias("tail_crc32"),
+        F.length("media").cast("bigint").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        "feature",
+        "error",
+    )
+
+
 def crc_mod(column: str, n: int):
     """crc32 of a number's decimal text, modulo ``n``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
@@ -78,7 +100,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_codec": op2_bpe_codec,
     "op4_token_counts": op4_token_counts,
+    "op5_html_text": op5_html_text,
     "op6_toxicity": op6_toxicity,
+    "op7_media": op7_media,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
 }
