@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regivane.llm import bpe_codec, html_text, language_id, media, packing, token_counts, toxicity
+from regivane.llm import bpe_codec, html_text, language_id, media, near_dedup, packing, token_counts, toxicity
 from regivane.llm.common import documents, text_or_empty
 
 
@@ -97,6 +97,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_codec": op2_bpe_codec,
     "op4_token_counts": op4_token_counts,
@@ -105,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_media": op7_media,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLES: dict[str, str] = {}
