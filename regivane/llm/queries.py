@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regivane.llm import bpe_codec, html_text, language_id, media, near_dedup, packing, token_counts, toxicity
+from regivane.llm import bpe_codec, html_text, language_id, media, near_dedup, packing, substring_dedup, token_counts, toxicity
 from regivane.llm.common import documents, text_or_empty
 
 
@@ -32,6 +32,10 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removals(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return token_counts.count_tokens(docs, tokenizer_source("byte_bpe_50k.json")).select("doc_id", "n_words", "n_tokens")
@@ -103,6 +107,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_codec": op2_bpe_codec,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_html_text": op5_html_text,
     "op6_toxicity": op6_toxicity,
