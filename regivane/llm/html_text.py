@@ -164,18 +164,20 @@ def common_lines(a: list[int], b: list[int]) -> set[int]:
     return out
 
 
-def main_lines(lines: list[tuple[str, bool, bool]], shared: set[int]) -> list[str]:
+def candidates(lines: list[tuple[str, bool, bool]]) -> tuple[bool, list[tuple[int, str]]]:
+    """Whether the page marks its content, and the lines (with their places) that may stay."""
+    marked = [(k, t) for k, (t, content, waste) in enumerate(lines) if content and not waste]
+    return bool(marked), marked or [(k, t) for k, (t, _, waste) in enumerate(lines) if not waste]
+
+
+def main_lines(marked: bool, lines: list[tuple[int, str]], shared: set[int]) -> list[str]:
     """The lines that stay."""
-    marked = any(content and not waste for _, content, waste in lines)
-    if marked:
-        return [t for t, content, waste in lines if content and not waste]
-    plain = [k for k, (_, _, waste) in enumerate(lines) if not waste]
-    own = [k for k in plain if k not in shared]
-    return [lines[k][0] for k in own or plain]
+    own = [] if marked else [t for k, t in lines if k not in shared]
+    return own or [t for _, t in lines]
 
 
 def line_keys(lines: list[tuple[str, bool, bool]]) -> list[int]:
-    return [xxhash.xxh3_64_intdigest(t) >> 1 for t, _, _ in lines]
+    return [xxhash.xxh32_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 31) for t, _, _ in lines]
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
@@ -192,10 +194,10 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
             lines = [lines_of(h or "") for h in frame["html"]]
             yield frame[["page_id", "url", "host", "path"]].assign(
                 keys=[line_keys(x) for x in lines],
-                lines=[zlib.compress(json.dumps(x, ensure_ascii=False).encode("utf-8", "surrogatepass"), 5) for x in lines],
+                lines=[zlib.compress(json.dumps(candidates(x), ensure_ascii=False).encode("utf-8", "surrogatepass"), 6) for x in lines],
             )
 
-    kinds = f"page_id {pages.schema[page_id].dataType.simpleString()}, url string, host string, path string, keys array<bigint>, lines binary"
+    kinds = f"page_id {pages.schema[page_id].dataType.simpleString()}, url string, host string, path string, keys array<int>, lines binary"
     cut = pages.select(*columns).withColumns({"host": host, "path": path}).mapInPandas(parsed, kinds)
     cut = materialise(cut.withColumn("uid", F.monotonically_increasing_id()), "page-lines")
     partner = nearest(cut.select("uid", "host", "path"))
@@ -206,10 +208,10 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
         for frame in frames:
             texts, n_lines, n_shared = [], [], []
             for packed, keys, other in zip(frame["lines"], frame["keys"], frame["other"], strict=True):
-                lines = json.loads(zlib.decompress(packed).decode("utf-8", "surrogatepass"))
+                marked, lines = json.loads(zlib.decompress(packed).decode("utf-8", "surrogatepass"))
                 shared = common_lines(list(keys), list(other)) if other is not None else set()
-                texts.append("\n\n".join(main_lines(lines, shared)))
-                n_lines.append(len(lines))
+                texts.append("\n\n".join(main_lines(marked, lines, shared)))
+                n_lines.append(len(keys))
                 n_shared.append(len(shared))
             yield frame[["page_id", "url"]].assign(text=texts, n_lines=n_lines, n_shared=n_shared)
 
