@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regivane.llm import bpe_codec, html_text, language_id, media, near_dedup, packing, substring_dedup, token_counts, toxicity
+from regivane.llm import ann, bpe_codec, html_text, language_id, media, near_dedup, packing, substring_dedup, token_counts, toxicity
 from regivane.llm.common import documents, text_or_empty
 
 
@@ -18,6 +18,11 @@ def tokenizer_source(name: str) -> str:
         return f.read()
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return ann.search(table, F.col("vec_id") % 20 == 0)
+
+
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = tokenizer_source("byte_bpe_50k.json")
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -96,16 +101,21 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
-def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(documents(spark, sf_dir), tokenizer_source("word_bpe_49k.json"))
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    pieces = packing.pack(docs, tokenizer_source("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_pieces(documents(spark, sf_dir))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(documents(spark, sf_dir).select("doc_id", "text"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ann": op1_ann,
     "op2_bpe_codec": op2_bpe_codec,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_token_counts": op4_token_counts,
