@@ -61,7 +61,7 @@ class Shingler:
 
     def word_hashes(self, words: list[str]) -> np.ndarray:
         memo = self.memo
-        fresh = set(words) - memo.keys()
+        fresh = set(words).difference(memo)
         if fresh:
             if len(memo) + len(fresh) > self.limit:
                 memo.clear()
