@@ -204,7 +204,7 @@ class WordEncoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = list(map(self.runs_of, texts))
         present = set().union(*(r for r in split if r))
-        lacking = present - self.runs.keys()
+        lacking = present.difference(self.runs)
         if lacking:
             self.learn(present if len(self.runs) + len(lacking) > self.limits[0] else lacking)
         return [self.plain(t) if r is None else b"".join(map(self.runs.__getitem__, r)) for t, r in zip(texts, split, strict=True)]
