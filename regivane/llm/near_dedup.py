@@ -247,7 +247,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     whole near-duplicate class.
     """
     signed = materialise(signatures(docs, doc_id, text, bands, rows), "signatures")
-    first = signed.where("doc_id IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("exact_id"))
+    # written first, so that a multiset with very many copies can be split in the join below
+    first = materialise(signed.where("doc_id IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("exact_id")), "first-copies")
     named = materialise(signed.select("doc_id", "print").join(first, "print", "left"), "exact-classes")
     # one document stands for each multiset; its rows may be repeated
     stand_ins = with_ids_of(signed, first)
