@@ -451,19 +451,19 @@ def monthly_trend(spark, sf_dir):
 
 
 _STATE_SQL = "SELECT cve_estado, array_to_string(list_transform(string_split(arg_min(state, o), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS state, CAST(sum(male) AS BIGINT) AS male, CAST(sum(female) AS BIGINT) AS female, CAST(sum(undefined) AS BIGINT) AS undefined, CAST(sum(male) + sum(female) + sum(undefined) AS BIGINT) AS total FROM (SELECT *, {'a': cvegeo, 'b': year, 'c': month, 'd': status_id} AS o FROM fact) WHERE NOT regexp_matches({CODE}, '^(99998|99999|[0-9]{2}(998|999))$') GROUP BY cve_estado"
-_FILE_ORDER = F.struct("cvegeo", "year", "month", "status_id")
+_FILE_ORDER = "struct(cvegeo, year, month, status_id)"
 
 
 @query(syn.CTE + _STATE_SQL.replace("{CODE}", "cvegeo"))
 def state_distribution(spark, sf_dir):
     """R2, F5, A14, P10, O3, J10, X11."""
-    return report.state_distribution(syn.fact(spark, sf_dir).withColumn("ordinal", _FILE_ORDER))
+    return report.state_distribution(syn.fact(spark, sf_dir).withColumn("ordinal", F.expr(_FILE_ORDER)))
 
 
 @query(syn.CTE + _STATE_SQL.replace("{CODE}", "CAST(CAST(cvegeo AS BIGINT) AS VARCHAR)"))
 def state_distribution_legacy(spark, sf_dir):
     """R2 as a reader that loses leading zeros gives it, S8."""
-    return report.state_distribution(syn.fact(spark, sf_dir).withColumn("ordinal", _FILE_ORDER), legacy_int_codes=True)
+    return report.state_distribution(syn.fact(spark, sf_dir).withColumn("ordinal", F.expr(_FILE_ORDER)), legacy_int_codes=True)
 
 
 # ---- pages to rows: H1, H2, X5, F8 ----
