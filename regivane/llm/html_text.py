@@ -234,11 +234,10 @@ def nearest(rows: DataFrame) -> DataFrame:
     starts = spark.createDataFrame(starts, "part bigint, start bigint")
     placed = ordered.withColumn("part", part).join(F.broadcast(starts), "part")
     placed = placed.select("uid", "host", "path", (F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("place"))
-    sides = []
-    for step in (-1, 1):
-        other = placed.select(F.col("uid").alias("partner"), F.col("host").alias("other_host"), F.col("path").alias("other_path"), (F.col("place") - step).alias("place"))
-        sides.append(placed.join(other, "place").where("host = other_host").select("uid", "partner", "path", "other_path", F.lit(step).alias("step")))
+    after = placed.select(F.col("uid").alias("next"), F.col("host").alias("next_host"), F.col("path").alias("next_path"), (F.col("place") - 1).alias("place"))
     # the length of the common beginning: the count of equal characters before the first unequal one
-    length = F.expr("aggregate(sequence(1, greatest(1, least(length(path), length(other_path)))), 0, (n, i) -> if(n = i - 1 AND substring(path, i, 1) = substring(other_path, i, 1), i, n))")
-    best = sides[0].unionByName(sides[1]).withColumn("alike", length)
-    return best.groupBy("uid").agg(F.max_by("partner", F.struct("alike", -F.col("step"))).alias("partner"))
+    length = F.expr("aggregate(sequence(1, greatest(1, least(length(path), length(next_path)))), 0, (n, i) -> if(n = i - 1 AND substring(path, i, 1) = substring(next_path, i, 1), i, n))")
+    pairs = placed.join(after, "place").where("host = next_host").select("uid", "next", length.alias("alike"))
+    sides = F.array(F.struct(F.col("uid"), F.col("next").alias("partner"), F.lit(0).alias("before")), F.struct(F.col("next").alias("uid"), F.col("uid").alias("partner"), F.lit(1).alias("before")))
+    best = pairs.select("alike", F.explode(sides).alias("x"))
+    return best.groupBy("x.uid").agg(F.max_by("x.partner", F.struct("alike", "x.before")).alias("partner"))
