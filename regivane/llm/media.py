@@ -64,6 +64,8 @@ def decode_png(media: bytes) -> bytes:
         raise ValueError("no PNG signature")
     at, data, shape = 8, b"", None
     while at < len(media):
+        if at + 12 > len(media):
+            raise ValueError("cut off")
         size, kind = struct.unpack_from(">I4s", media, at)
         body = media[at + 8 : at + 8 + size]
         if len(body) != size or struct.unpack_from(">I", media, at + 8 + size)[0] != zlib.crc32(kind + body):

@@ -4,7 +4,7 @@ Features: densities of a lexicon of words and word beginnings that is learned fr
 rows, how near second-person words stand to its hits, and rates of capitals, punctuation
 and obfuscated words.  Trees are fitted on a bounded sample of labelled rows; for these the
 lexicon features come from the other half of the sample, so they look as on new rows.  Raw
-scores are turned into probabilities by isotonic regression on rows the trees have not seen.
+scores are turned into probabilities by isotonic regression over cross-fitted raw scores.
 
 Defined results: null and empty texts have all-zero features and get the score of those; with
 no labelled rows, or labels of one kind, the score is the share of toxic labels (0 if none).
@@ -31,6 +31,7 @@ from regivane.llm.common import UNICODE_SPACE, TwoGenerationCache, materialise,
 TRAINING_ROWS = 20_000
 LEXICON_ENTRIES = 4_000
 PREFIXES = (4, 5, 6)
+FOLDS = 5
 
 #: Second-person words of the supported languages.
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine deiner ihr euch euer sie tu te toi ton ta tes vous votre vos tú ti usted ustedes tuyo vosotros".split())
@@ -116,7 +117,7 @@ class Extractor:
 class Trees:
     """Boosted regression trees on the logistic loss, split on quantile bins."""
 
-    def __init__(self, rounds: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 64, least: float = 5.0):
+    def __init__(self, rounds: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 64, least: float = 2.0):
         self.rounds, self.depth, self.rate, self.bins, self.least = rounds, depth, rate, bins, least
         self.start, self.trees = 0.0, []
 
@@ -148,7 +149,7 @@ class Trees:
                 gl, hl = g.cumsum(1)[:, :-1], h.cumsum(1)[:, :-1]
                 gr, hr = g.sum(1, keepdims=True) - gl, h.sum(1, keepdims=True) - hl
                 gain = gl**2 / (hl + 1) + gr**2 / (hr + 1) - (g.sum(1) ** 2 / (h.sum(1) + 1))[:, None]
-                gain[(hl < self.least / 10) | (hr < self.least / 10)] = 0
+                gain[(hl < self.least) | (hr < self.least)] = 0
                 if not gain.size:
                     continue
                 for k in range(width):
@@ -234,11 +235,15 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str
     half = [_lexicon(stats, n.get((k, 1), 0.0), n.get((k, 0), 0.0), LEXICON_ENTRIES, f"t{k}", f"c{k}", 2) for k in (1, 0)]
     frame = _feature_rows(sample, half).toPandas()
     x, y, part = np.array(frame["x"].tolist()), frame["y"].to_numpy(float), frame["part"].to_numpy()
-    hold = part >= 8  # a fifth, of both halves, for the calibration
-    if len(set(y[hold])) < 2 or len(set(y[~hold])) < 2:
-        return Model(full, None, None, toxic / (toxic + clean))
-    trees = Trees().fit(x[~hold], y[~hold])
-    return Model(full, trees, isotonic(trees.raw(x[hold]), y[hold]))
+    # each row's raw score for the calibration comes from trees that have not seen it
+    raw = np.zeros(len(y))
+    for fold in range(FOLDS):
+        own = part % FOLDS == fold
+        if own.any() and len(set(y[~own])) == 2:
+            raw[own] = Trees().fit(x[~own], y[~own]).raw(x[own])
+        else:
+            return Model(full, None, None, toxic / (toxic + clean))
+    return Model(full, Trees().fit(x, y), isotonic(raw, y))
 
 
 def _key_counts(sample: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def search(spark, rows, k=20, every=20):
 def test_small_table_is_exact(spark):
     rng = np.random.default_rng(0)
     rows = [(k, rng.normal(size=5).astype(np.float32).tolist()) for k in range(90)]
-    rows += [(100, None), (120, [0.0] * 5), (140, [float("nan"), 1, 1, 1, 1]), (160, [None, 1.0, 1.0, 1.0, 1.0]), (180, [float("inf"), 0, 0, 0, 0]), (200, rows[3][1]), (201, rows[3][1]), (202, rows[3][1])]
+    rows += [(100, None), (120, [0.0] * 5), (140, [float("nan"), 1.0, 1.0, 1.0, 1.0]), (160, [None, 1.0, 1.0, 1.0, 1.0]), (180, [float("inf"), 0.0, 0.0, 0.0, 0.0]), (200, rows[3][1]), (201, rows[3][1]), (202, rows[3][1])]
     got, truth = search(spark, rows), brute(rows, lambda i: i % 20 == 0, 20)
     assert got.keys() == truth.keys()
     for i in truth:
