@@ -32,8 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regivane.llm.bpe_codec import _loaded
-from regivane.llm.common import materialise
+from regivane.llm.common import materialise, per_process
 
 #: Rows wanted in a list, vectors sampled for each list, and the most lists.
 LIST_ROWS, SAMPLE_PER_LIST, MOST_LISTS = 160, 40, 8192
@@ -197,7 +196,7 @@ def search(table: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_i
     sent = spark.sparkContext.broadcast(pickle.dumps(index))
 
     def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = _loaded("ann", hash(sent.value), lambda: pickle.loads(sent.value))
+        index = per_process(("ann", hash(sent.value)), lambda: pickle.loads(sent.value))
         for frame in frames:
             if len(frame):
                 x = np.array(frame["vector"].tolist())
@@ -205,7 +204,7 @@ def search(table: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_i
                 yield pd.DataFrame({"list": np.concatenate(lists), "id": np.repeat(frame["id"].to_numpy(), [len(y) for y in lists]), "vector": [v for v, y in zip(frame["vector"], lists, strict=True) for _ in y]})
 
     def asked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = _loaded("ann", hash(sent.value), lambda: pickle.loads(sent.value))
+        index = per_process(("ann", hash(sent.value)), lambda: pickle.loads(sent.value))
         for frame in frames:
             if len(frame):
                 lists = index.probes(np.array(frame["vector"].tolist()), probes, ratio)

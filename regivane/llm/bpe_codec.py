@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regivane.llm.common import UNICODE_SPACE, small_batches
+from regivane.llm.common import UNICODE_SPACE, per_process, small_batches
 from regivane.llm.transducer import Lexicon, compile_lexicon, mapped
 
 #: Fixed value: the byte-level pre-tokenisation pattern of the tokenizer files.
@@ -171,16 +171,6 @@ def build_lexicon(docs: DataFrame, source: str, text: str = "text", size: int =
     return compile_lexicon({w: tokenizer.merge(w) for w in words})
 
 
-_LOADED: dict = {}
-
-
-def _loaded(kind, key, make):
-    """One object per worker process and broadcast, kept between tasks."""
-    if _LOADED.get(kind, (None,))[0] != key:
-        _LOADED[kind] = (key, make())
-    return _LOADED[kind][1]
-
-
 def encode(docs: DataFrame, source: str, lexicon: bytes, text: str = "text", out: str = "ids") -> DataFrame:
     """Append ``out`` array<int>: the ids of ``text`` (null: empty)."""
     spark = docs.sparkSession
@@ -190,8 +180,8 @@ def encode(docs: DataFrame, source: str, lexicon: bytes, text: str = "text", out
     names = [f.name for f in schema if f.name != out]
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = hash(sent.value[1]), len(sent.value[0])
-        encoder = _loaded("encoder", key, lambda: Encoder(Tokenizer(sent.value[0]), mapped(sent.value[1])))
+        key = "encoder", hash(sent.value[1]), hash(sent.value[0])
+        encoder = per_process(key, lambda: Encoder(Tokenizer(sent.value[0]), mapped(sent.value[1])))
         for batch in batches:
             packed = [encoder.encode(v or "") for v in batch.column(batch.schema.get_field_index(text)).to_pylist()]
             ends = np.zeros(len(packed) + 1, dtype=np.int32)
@@ -211,7 +201,7 @@ def decode(encoded: DataFrame, source: str, ids: str = "ids", out: str = "decode
     names = [f.name for f in schema if f.name != out]
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _loaded("pieces", len(sent.value), lambda: Tokenizer(sent.value).bytes_of)
+        table = per_process(("pieces", hash(sent.value)), lambda: Tokenizer(sent.value).bytes_of)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
             ends, flat = column.offsets.to_pylist(), column.values

@@ -49,6 +49,17 @@ def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
 
 
+_HELD: list = [None, None]
+
+
+def per_process(key: tuple, make):
+    """The object of ``key``, kept between the tasks of this worker process; one at a time, so memos do not add up."""
+    if _HELD[0] != key:
+        _HELD[:] = [None, None]
+        _HELD[:] = [key, make()]
+    return _HELD[1]
+
+
 class TwoGenerationCache:
     """A memo of at most ``2 * limit`` entries: when the young half is full it becomes the old half."""
 

@@ -26,8 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regivane.llm.bpe_codec import _loaded
-from regivane.llm.common import materialise, small_batches
+from regivane.llm.common import materialise, per_process, small_batches
 
 WINDOW, OPEN_WINDOWS, FAN_IN = 2048, 64, 256
 #: Separators to Python's split() that the tokenizer's pattern takes for characters.
@@ -246,7 +245,7 @@ def pack(docs: DataFrame, source: str, doc_id: str = "doc_id", text: str = "text
     sent = spark.sparkContext.broadcast(source)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _loaded("word-encoder", len(sent.value), lambda: WordEncoder(sent.value))
+        encode = per_process(("word-encoder", hash(sent.value)), lambda: WordEncoder(sent.value))
         task, end = TaskContext.get().partitionId(), np.uint32(end_id).tobytes()
         rows = _Rows(0, task)
         packer = Packer(window, open_windows, rows.emit)

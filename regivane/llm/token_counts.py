@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from regivane.llm.bpe_codec import CHUNK, Tokenizer, _loaded
-from regivane.llm.common import TwoGenerationCache, small_batches
+from regivane.llm.bpe_codec import CHUNK, Tokenizer
+from regivane.llm.common import TwoGenerationCache, per_process, small_batches
 
 
 class PieceCounter:
@@ -89,7 +89,7 @@ def count_tokens(docs: DataFrame, source: str, text: str = "text", memo: int = 1
             tokenizer = Tokenizer(sent.value)
             return tokenizer.words, PieceCounter(tokenizer.ids), TwoGenerationCache(memo)
 
-        words, counter, cache = _loaded("pieces-counter", len(sent.value), make)
+        words, counter, cache = per_process(("piece-counter", hash(sent.value)), make)
 
         def fresh(chunk: str) -> int:
             found = words(chunk)

@@ -24,8 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regivane.llm.bpe_codec import _loaded
-from regivane.llm.common import UNICODE_SPACE, TwoGenerationCache, materialise, small_batches
+from regivane.llm.common import UNICODE_SPACE, TwoGenerationCache, materialise, per_process, small_batches
 
 #: Labelled rows that the trees, the lexicon and the calibration are fitted on, at most about.
 TRAINING_ROWS = 20_000
@@ -291,7 +290,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "toxicit
             model = pickle.loads(sent.value)
             return model, Extractor(model.lexicon)
 
-        model, extractor = _loaded("toxicity", hash(sent.value), make)
+        model, extractor = per_process(("toxicity", hash(sent.value)), make)
         for batch in batches:
             x = np.array([extractor.features(t or "") for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]).reshape(-1, len(FEATURES))
             kept = [batch.column(batch.schema.get_field_index(c)) for c in names]
