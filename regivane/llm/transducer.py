@@ -17,6 +17,8 @@ from collections.abc import Sequence
 
 import numpy as np
 
+#: Bytes at the beginning of a word whose walk is remembered.
+PREFIX = 4
 _HEADER = struct.Struct("<6I")
 
 
@@ -104,18 +106,33 @@ class Lexicon:
         self._first, self._target, self._skip, self._id_first, self._ids = sections
         self._labels, self._finals = at, at + arcs + (-arcs % 4)
         self.size = words
+        self._heads: dict[bytes, tuple[int, int]] = {}  # where the walk over a word's beginning ends
 
-    def lookup(self, word: bytes) -> list[int] | None:
-        """The ids of a word, or None where the lexicon lacks it."""
-        state, rank, first, base = self._root, 0, self._first, self._labels
-        for k in range(len(word)):
-            arc = self._map.find(word[k : k + 1], base + first[state], base + first[state + 1])
+    def _walk(self, word: bytes, state: int, rank: int, at: int, end: int) -> tuple[int, int]:
+        """State and rank after the bytes from ``at`` to ``end``; state -1 where an arc lacks."""
+        first, base, find, skip, target = self._first, self._labels, self._map.find, self._skip, self._target
+        for k in range(at, end):
+            arc = find(word[k : k + 1], base + first[state], base + first[state + 1])
             if arc < 0:
-                return None
+                return -1, 0
             arc -= base
-            rank += self._skip[arc]
-            state = self._target[arc]
-        if not self._map[self._finals + state]:
+            rank += skip[arc]
+            state = target[arc]
+        return state, rank
+
+    def lookup(self, word: bytes) -> list[int] | None:
+        """The ids of a word, or None where the lexicon lacks it."""
+        n = len(word)
+        head = word[:PREFIX]
+        got = self._heads.get(head)
+        if got is None:
+            if len(self._heads) >= 1 << 17:
+                self._heads.clear()
+            got = self._heads[head] = self._walk(word, self._root, 0, 0, min(n, PREFIX))
+        state, rank = got
+        if state >= 0 and n > PREFIX:
+            state, rank = self._walk(word, state, rank, PREFIX, n)
+        if state < 0 or not self._map[self._finals + state]:
             return None
         return self._ids[self._id_first[rank] : self._id_first[rank + 1]].tolist()
 
