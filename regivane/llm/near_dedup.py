@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regivane.llm.common import materialise, small_batches
+from regivane.llm.common import materialise, per_process, small_batches
 from regivane.llm.components import components
 
 WORDS, SIMILARITY = 5, 0.8
@@ -55,7 +55,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Sorted shingle hashes of a text; word hashes come from a memo."""
 
-    def __init__(self, words: int = WORDS, memo: int = 1 << 19):
+    def __init__(self, words: int = WORDS, memo: int = 1 << 18):
         self.words, self.limit, self.memo = words, memo, {}
         self.powers = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(words)], dtype=np.uint64)
 
@@ -141,7 +141,7 @@ def signatures(docs: DataFrame, doc_id: str, text: str, bands: int = BANDS, rows
     small_batches(docs.sparkSession)
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        shingler = per_process(("shingler", WORDS), Shingler)
         for batch in batches:
             with np.errstate(over="ignore"):
                 texts = [t or "" for t in batch.column(1).to_pylist()]
@@ -183,7 +183,7 @@ def verified_links(docs: DataFrame, groups: DataFrame, doc_id: str, text: str, s
     met = texts.join(dealt, "doc_id").repartition(parts, "root", "one", "two").sortWithinPartitions("root", "one", "two", "doc_id")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        shingler = per_process(("shingler", WORDS), Shingler)
         key, members = None, []
         for batch in batches:
             for doc, value, root, one, two, block in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "text", "root", "one", "two", "block")), strict=True):
