@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import json
+import time
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -160,4 +165,48 @@ def union_months(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-RECORD_TYPES = T.StructType(S.RAW_SCHEMA.fields)
+def records_from_responses(responses: DataFrame, tolerant: bool = False) -> DataFrame:
+    """Raw records of (status_id, year, month, id_estado, http_status, body).
+
+    A response that failed, is empty, is no JSON or has no markup contributes nothing.
+    """
+    html = F.when((F.col("http_status") == 200) & (F.length("body") > 0), page_html(F.col("body")))
+    pages = responses.select("status_id", "year", "month", "id_estado", html.alias("html")).where("html IS NOT NULL")
+    rows = with_dimensions((extract_rows_tolerant if tolerant else extract_rows)(pages))
+    named = rows.select("*", F.col("year").alias("anio"), F.col("month").alias("mes"), F.col("status_id").alias("id_estatus_victima"))
+    return named.select(*(F.col(f.name).cast(f.dataType) for f in S.RAW_SCHEMA))
+
+
+def fetch(requests: DataFrame, send: Callable[[str], tuple[int, str]], attempts: int = 4, pause: float = 0.5, factor: float = 1.5) -> DataFrame:
+    """Add ``http_status`` and ``body`` to rows with a ``payload``, by ``send(payload)``.
+
+    A request that raises an OSError, or whose answer is not a 200 with a ``Html`` field, is
+    sent again after a growing pause; after the last attempt its last answer stays (null where
+    there was none).  A row that is computed again is sent again.
+    """
+    schema = T.StructType([*requests.schema.fields, T.StructField("http_status", T.IntegerType()), T.StructField("body", T.StringType())])
+
+    def good(status: int | None, body: str | None) -> bool:
+        try:
+            return status == 200 and bool(body) and bool(json.loads(body).get("Html"))
+        except (ValueError, AttributeError):
+            return False
+
+    def ask(payload: str) -> tuple[int | None, str | None]:
+        status, body, wait = None, None, pause
+        for attempt in range(attempts):
+            with contextlib.suppress(OSError):
+                status, body = send(payload)
+                if good(status, body):
+                    break
+            if attempt + 1 < attempts:
+                time.sleep(wait)
+                wait *= factor
+        return status, body
+
+    def fetched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            answers = [ask(p) for p in frame["payload"]]
+            yield frame.assign(http_status=pd.array([a for a, _ in answers], dtype="Int32"), body=[b for _, b in answers])
+
+    return requests.mapInPandas(fetched, schema)

@@ -122,6 +122,29 @@ def test_html(spark):
     assert len(acquire.extract_rows_tolerant(loose).collect()) <= 1
 
 
+def test_fetch_and_assemble(spark, tmp_path):
+    page = '{"Html": "<tr><td>A</td><td>1</td><td>0</td><td>2</td></tr>"}'
+    grid = acquire.payloads(acquire.request_grid(spark, [7], [2016], [2])).where("id_estado <= 4")
+    log = str(tmp_path / "log")
+
+    def send(payload):
+        with open(log, "a") as f:
+            f.write(".")
+        if '"idEstado":"1"' in payload:
+            return 200, page
+        if '"idEstado":"2"' in payload:
+            raise OSError("down")
+        return (500, "") if '"idEstado":"3"' in payload else (200, "no json")
+
+    answers = acquire.fetch(grid.coalesce(1), send, pause=0).cache()
+    assert {(r.id_estado, r.http_status) for r in answers.collect()} == {(1, 200), (2, None), (3, 500), (4, 200)}
+    assert len(open(log).read()) == 1 + 3 * 4
+    for tolerant in (False, True):
+        rows = acquire.records_from_responses(answers, tolerant)
+        assert rows.schema.names == S.RAW_SCHEMA.names
+        assert [(r.municipio, r.total_personas, r.estado, r.anio, r.mes, r.id_estatus_victima) for r in rows.collect()] == [("A", 3, "Aguascalientes", 2016, 2, 7)]
+
+
 def test_grid_and_payload(spark):
     grid = acquire.request_grid(spark)
     assert grid.count() == 17_424
