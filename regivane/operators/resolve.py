@@ -2,8 +2,9 @@
 
 Stages come in this order, which is part of the result: corrections of the state, a simple
 and an aggressive lookup, overrides for what is unmatched, sentinel codes (which overwrite a
-match), and a code for what is still unmatched.  Joins carry no broadcast hint: adaptive
-execution broadcasts a rule table where its measured size allows and shuffles it beyond.
+match), and a code for what is still unmatched.  The planner or adaptive execution broadcasts
+a rule table where its size allows and shuffles it beyond; only the overrides, whose size the
+planner overrates, are counted first.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from regivane import schemas as S
 from regivane.functions import text
 from regivane.operators.dedup import keep_first, keep_last
+from regivane.storage import sized_broadcast
 
 _GEO = ["cvegeo", "cve_estado", "cve_mun", "state", "municipality"]
 
@@ -114,7 +116,7 @@ def unmatched_overrides(overrides: DataFrame, ref: DataFrame) -> DataFrame:
 def apply_overrides(records: DataFrame, rules: DataFrame) -> DataFrame:
     """Give unmatched rows the geography that a rule states for their (corrected) state and name."""
     keyed = records.withColumn("__state", F.when(F.col("match_type") == "unmatched", F.coalesce("cve_estado_raw", F.lit(""))))
-    joined = keyed.join(rules, (F.col("__state") == F.col("key_state")) & (F.col("municipio_norm") == F.col("key_name")), "left")
+    joined = keyed.join(sized_broadcast(rules), (F.col("__state") == F.col("key_state")) & (F.col("municipio_norm") == F.col("key_name")), "left")
     hit = F.col("key_state").isNotNull()
     columns = {f"geo_{c}": F.when(hit, F.col(f"o_{c}")).otherwise(F.col(f"geo_{c}")) for c in _GEO}
     columns["match_type"] = F.when(hit, F.lit("override")).otherwise(F.col("match_type"))

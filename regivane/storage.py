@@ -6,6 +6,20 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+#: Rows of a rule table that may be broadcast; a row is a few short texts.
+BROADCAST_ROWS = 200_000
+
+
+def sized_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint where a count shows that it is small, else as it is.
+
+    For tables whose size the planner overrates, so that the large side need not be shuffled
+    before adaptive execution sees the true size.
+    """
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def fixed(df: DataFrame, label: str) -> DataFrame:
