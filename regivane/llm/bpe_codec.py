@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regivane.llm.common import UNICODE_SPACE, per_process, small_batches
+from regivane.llm.common import UNICODE_SPACE, materialise, per_process, small_batches
 from regivane.llm.transducer import Lexicon, compile_lexicon, mapped
 
 #: Fixed value: the byte-level pre-tokenisation pattern of the tokenizer files.
@@ -161,13 +161,22 @@ def count_words(docs: DataFrame, source: str, text: str = "text", special_cut: b
 
 
 def build_lexicon(docs: DataFrame, source: str, text: str = "text", size: int = LEXICON_WORDS, min_count: int = MIN_COUNT) -> bytes:
-    """The compiled transducer of the ``size`` most frequent words (ties: lower word first).
+    """The compiled transducer of the most frequent words, ``size`` at most.
 
-    Counts cover every document; ``size`` bounds what reaches the driver and the executors.
+    Counts cover every document.  Words are taken by steps of their count (sixteen to a
+    doubling), as many whole steps as ``size`` allows; so only these words and a histogram of
+    steps reach the driver, not the best words of each partition.
     """
     tokenizer = Tokenizer(source)
-    top = count_words(docs, source, text).where(F.col("n") >= min_count).orderBy(F.desc("n"), "word").limit(size)
-    words = [row.word.encode() for row in top.select("word").collect()]
+    counts = materialise(count_words(docs, source, text).where(F.col("n") >= min_count), "word-counts")
+    step = F.floor(F.log2("n") * 16)
+    lowest, total = None, 0
+    for row in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        total += row["count"]
+        if total > size:
+            break
+        lowest = row["step"]
+    words = [r.word.encode() for r in counts.where(step >= lowest).select("word").collect()] if lowest is not None else []
     return compile_lexicon({w: tokenizer.merge(w) for w in words})
 
 
