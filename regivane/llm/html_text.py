@@ -181,42 +181,50 @@ def line_keys(lines: list[tuple[str, bool, bool]]) -> list[int]:
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
-    """(page_id, url, text, n_lines, n_shared) of each page."""
+    """(page_id, url, text, n_lines, n_shared) of each page.
+
+    Pages are cut twice: once for the line hashes that neighbours are compared by, and once
+    for the lines, which so cross the network once, packed, and are stored nowhere.
+    """
     spark = pages.sparkSession
     small_batches(spark, 256)
-    columns = [F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(source).alias("html")]
     address = F.regexp_replace(F.lower(F.coalesce(F.col("url"), F.lit(""))), r"^[a-z][a-z0-9+.-]*://", "")
     host = F.regexp_extract(address, r"^([^/?#]*)", 1)
     path = F.regexp_extract(address, r"^[^/?#]*([^?#]*)", 1)
+    plain = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(source).alias("html"))
+    # equal rows share an identity, and with it the neighbour of one of them
+    plain = plain.withColumn("row", F.xxhash64("page_id", "url", "html"))
+
+    def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame[["row", "host", "path"]].assign(keys=[line_keys(lines_of(h or "")) for h in frame["html"]])
 
-    def parsed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             lines = [lines_of(h or "") for h in frame["html"]]
-            yield frame[["page_id", "url", "host", "path"]].assign(
-                keys=[line_keys(x) for x in lines],
-                lines=[zlib.compress(json.dumps(candidates(x), ensure_ascii=False).encode("utf-8", "surrogatepass"), 6) for x in lines],
-            )
-
-    kinds = f"page_id {pages.schema[page_id].dataType.simpleString()}, url string, host string, path string, keys array<int>, lines binary"
-    cut = pages.select(*columns).withColumns({"host": host, "path": path}).mapInPandas(parsed, kinds)
-    cut = materialise(cut.withColumn("uid", F.monotonically_increasing_id()), "page-lines")
-    partner = nearest(cut.select("uid", "host", "path"))
-    theirs = cut.select(F.col("uid").alias("partner"), F.col("keys").alias("other"))
-    matched = partner.join(theirs, "partner").select("uid", "other")
+            kept = [zlib.compress(json.dumps(candidates(x), ensure_ascii=False).encode("utf-8", "surrogatepass"), 6) for x in lines]
+            yield frame[["row", "page_id", "url"]].assign(keys=[line_keys(x) for x in lines], lines=kept)
 
     def differenced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             texts, n_lines, n_shared = [], [], []
-            for packed, keys, other in zip(frame["lines"], frame["keys"], frame["other"], strict=True):
-                marked, lines = json.loads(zlib.decompress(packed).decode("utf-8", "surrogatepass"))
+            for pack, keys, other in zip(frame["lines"], frame["keys"], frame["other"], strict=True):
+                marked, lines = json.loads(zlib.decompress(pack).decode("utf-8", "surrogatepass"))
                 shared = common_lines(list(keys), list(other)) if other is not None else set()
                 texts.append("\n\n".join(main_lines(marked, lines, shared)))
                 n_lines.append(len(keys))
                 n_shared.append(len(shared))
             yield frame[["page_id", "url"]].assign(text=texts, n_lines=n_lines, n_shared=n_shared)
 
-    joined = cut.select("uid", "page_id", "url", "keys", "lines").join(matched, "uid", "left").drop("uid")
-    return joined.mapInPandas(differenced, kinds.split(",")[0] + ", url string, text string, n_lines bigint, n_shared bigint")
+    kind = f"page_id {pages.schema[page_id].dataType.simpleString()}, url string"
+    cut = plain.select("row", host.alias("host"), path.alias("path"), "html").mapInPandas(hashed, "row bigint, host string, path string, keys array<int>")
+    cut = materialise(cut.withColumn("uid", F.monotonically_increasing_id()), "page-keys")
+    theirs = cut.select(F.col("uid").alias("partner"), F.col("keys").alias("other"))
+    matched = nearest(cut.select("uid", "host", "path")).join(theirs, "partner").select("uid", "other")
+    matched = cut.select("uid", "row").join(matched, "uid").groupBy("row").agg(F.min_by("other", "uid").alias("other"))
+    lines = plain.mapInPandas(packed, f"row bigint, {kind}, keys array<int>, lines binary")
+    joined = lines.join(matched, "row", "left").drop("row")
+    return joined.mapInPandas(differenced, f"{kind}, text string, n_lines bigint, n_shared bigint")
 
 
 def nearest(rows: DataFrame) -> DataFrame:
