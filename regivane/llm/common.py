@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -56,6 +59,9 @@ def per_process(key: tuple, make):
     """The object of ``key``, kept between the tasks of this worker process; one at a time, so memos do not add up."""
     if _HELD[0] != key:
         _HELD[:] = [None, None]
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):  # give freed memory back, where the C library can
+            ctypes.CDLL(None).malloc_trim(0)
         _HELD[:] = [key, make()]
     return _HELD[1]
 

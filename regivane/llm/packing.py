@@ -113,24 +113,25 @@ class WordEncoder:
 
     The tokenizer drops white space and lower-cases, so each run of other characters is
     encoded by itself, and a word among marks as the lower-cased word and the marks.
-    What was encoded before comes from two memos: of runs, and of lower-cased words.
+    What was encoded before comes from a memo, with 16-bit ids where the vocabulary allows.
     """
 
-    def __init__(self, source: str, runs: int = 3 << 18, words: int = 1 << 18):
+    def __init__(self, source: str, runs: int = 5 << 17):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.runs, self.words, self.limits = Tokenizer.from_str(source), {}, {}, (runs, words)
+        self.tokenizer, self.runs, self.limit = Tokenizer.from_str(source), {}, runs
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.kind = "<u2" if len(self.ends) <= 1 << 16 else "<u4"
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.marks: dict[str, bytes] = {"": b""}
         self.special = [t["content"] for t in json.loads(source)["added_tokens"]]
 
     def plain(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
     def split(self, run: str) -> tuple[str, str, str] | None:
         """(marks before, lower-cased word, marks behind) of a run that is just that."""
@@ -151,31 +152,29 @@ class WordEncoder:
         return len(low) == len(word) and low.isalpha() and "\u03a3" not in word and is_normalized("NFC", word)
 
     def learn(self, lacking: set[str]) -> None:
-        """Put runs into the memos; new words are encoded in one go and cut at their last pieces."""
-        if len(self.runs) + len(lacking) > self.limits[0]:
-            self.runs.clear()
+        """Put runs into the memo; new words are encoded in one go and cut at their last pieces."""
+        memo = self.runs
+        if len(memo) + len(lacking) > self.limit:
+            memo.clear()
         whole, odd = [], {}
         for run in lacking:
             if run.isalpha() and self.foldable(run):
                 whole.append(run)
             else:
                 odd[run] = self.split(run)
-        self.encode_words(whole, self.runs)
-        inner = {x[1] for x in odd.values() if x}
-        if len(self.words) + len(inner) > self.limits[1]:
-            self.words.clear()
-        self.encode_words([w for w in inner if w not in self.words], self.words)
+        self.encode_words(whole)
+        self.encode_words(list({x[1] for x in odd.values() if x}.difference(memo)))
         for run, x in odd.items():
-            self.runs[run] = self.mark(x[0]) + self.words[x[1]] + self.mark(x[2]) if x else self.plain(run)
+            memo[run] = self.mark(x[0]) + memo[x[1]] + self.mark(x[2]) if x else self.plain(run)
 
-    def encode_words(self, fresh: list[str], memo: dict[str, bytes]) -> None:
-        ids = np.asarray(self.tokenizer.encode(" ".join(fresh), add_special_tokens=False).ids, dtype="<u4")
+    def encode_words(self, fresh: list[str]) -> None:
+        ids = np.asarray(self.tokenizer.encode(" ".join(fresh), add_special_tokens=False).ids, dtype=self.kind)
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) == len(fresh):
-            packed, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
-            memo.update({w: packed[a:b] for w, a, b in zip(fresh, at, at[1:], strict=False)})
+            packed, at = ids.tobytes(), [0, *(ids.itemsize * cuts).tolist()]
+            self.runs.update({w: packed[a:b] for w, a, b in zip(fresh, at, at[1:], strict=False)})
         else:  # a word was more than one pre-token
-            memo.update((w, self.plain(w)) for w in fresh)
+            self.runs.update((w, self.plain(w)) for w in fresh)
 
     def mark(self, marks: str) -> bytes:
         ids = self.marks.get(marks)
@@ -205,8 +204,9 @@ class WordEncoder:
         present = set().union(*(r for r in split if r))
         lacking = present.difference(self.runs)
         if lacking:
-            self.learn(present if len(self.runs) + len(lacking) > self.limits[0] else lacking)
-        return [self.plain(t) if r is None else b"".join(map(self.runs.__getitem__, r)) for t, r in zip(texts, split, strict=True)]
+            self.learn(present if len(self.runs) + len(lacking) > self.limit else lacking)
+        joined = [self.plain(t) if r is None else b"".join(map(self.runs.__getitem__, r)) for t, r in zip(texts, split, strict=True)]
+        return joined if self.kind == "<u4" else [np.frombuffer(x, dtype=self.kind).astype("<u4").tobytes() for x in joined]
 
 
 class _Rows:
@@ -254,7 +254,7 @@ def pack(docs: DataFrame, source: str, doc_id: str = "doc_id", text: str = "text
             for doc, ids in zip(batch.column(0).to_pylist(), encode(texts), strict=True):
                 ids += end
                 packer.add(doc, 0, ids, len(ids) // 4)
-                if rows.bytes > 1 << 23:
+                if rows.bytes > 1 << 22:
                     yield rows.batch()
         rows.leave(packer.rest(), task)
         yield rows.batch()

@@ -121,7 +121,7 @@ def test_packing(odd, libraries):
 
 
 def test_word_encoder(libraries):
-    encoder = packing.WordEncoder(WORD, runs=8, words=4)
+    encoder = packing.WordEncoder(WORD, runs=8)
     texts = ["Hello, World. x., 'quoted' (a) &&&, don't ÉTÉ. 12, b_", "Á İstanbul ΣΑΣ. x\x1cy", "<|endoftext|>, <|startoftext|>.", "", "...,\n.\n a ,b", "ﬁne ² Ⅷ x²,"]
     for text in texts * 2:
         assert encoder([text])[0] == np.array(libraries[1].encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes(), text
