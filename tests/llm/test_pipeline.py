@@ -30,3 +30,23 @@ def test_clean_documents_stay(spark, sf):
     clean = [i for i, t in labels.items() if t == 0]
     assert sum(i in kept for i in clean) / len(clean) > 0.97
     assert pipeline.drop_unidentified(spark, docs, sf).count() > 0.98 * docs.count()
+
+
+def test_odd_rows_and_clashing_columns(spark, sf, odd):
+    """Null and empty texts, repeated rows, a very long text, and columns that operators use inside."""
+    docs = documents(spark, sf).unionByName(odd.where("doc_id > 0").withColumn("doc_id", odd.doc_id + 10_000_000), allowMissingColumns=True)
+    kept = pipeline.drop_toxic(spark, docs, sf)
+    assert kept.columns == docs.columns and kept.where("rejected = 'x'").count() == odd.count()
+    named = pipeline.drop_unidentified(spark, kept, sf)
+    assert named.where("rejected = 'x' AND size = 'x'").count() >= 6
+    once = pipeline.drop_near_duplicates(spark, named, sf)
+    assert once.where("doc_id > 10000000").count() >= 4 and once.columns == docs.columns
+    cut = pipeline.cut_repeats(spark, once, sf)
+    assert cut.count() == once.count() and cut.where("n_chars != length(text)").count() == 0
+
+
+def test_empty_table(spark, sf):
+    docs = documents(spark, sf).limit(0)
+    for _, stage in pipeline.STAGES:
+        out = stage(spark, docs, sf)
+        assert out.count() == 0
