@@ -30,9 +30,9 @@ from regivane.llm.common import materialise, per_process, small_batches
 
 WINDOW, OPEN_WINDOWS, FAN_IN = 2048, 64, 256
 #: Separators to Python's split() that the tokenizer's pattern takes for characters.
-_ODD = re.compile("[\x1c-\x1f]")
+_ODD = "\x1c\x1d\x1e\x1f"
 #: A comma or full stop behind another mark.
-_STACKED = re.compile(r"(?:[^\w\s]|_)[.,](?!\S)")
+_STACKED = re.compile(r"[.,](?<=(?:[^\w\s]|_)[.,])(?!\S)")
 _MARKED_WORD = re.compile(r"([\W_]*)([^\W\d_]+)([\W_]*)")
 
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary, part bigint"
@@ -151,11 +151,13 @@ class WordEncoder:
         low = word.lower()
         return len(low) == len(word) and low.isalpha() and "\u03a3" not in word and is_normalized("NFC", word)
 
-    def learn(self, lacking: set[str]) -> None:
+    def learn(self, lacking: set[str], present: set[str]) -> None:
         """Put runs into the memo; new words are encoded in one go and cut at their last pieces."""
         memo = self.runs
-        if len(memo) + len(lacking) > self.limit:
+        if len(memo) + len(lacking) > self.limit:  # keep what is in use
+            used = {r: memo[r] for r in present - lacking}
             memo.clear()
+            memo.update(used)
         whole, odd = [], {}
         for run in lacking:
             if run.isalpha() and self.foldable(run):
@@ -186,7 +188,7 @@ class WordEncoder:
 
     def runs_of(self, text: str) -> list[str] | None:
         """Runs with the same ids as the text's, lower-cased and with a mark at a word's end by itself where that is safe."""
-        if _ODD.search(text):
+        if any(c in text for c in _ODD):
             return None
         if not text.isascii():
             low = text.lower()
@@ -204,7 +206,7 @@ class WordEncoder:
         present = set().union(*(r for r in split if r))
         lacking = present.difference(self.runs)
         if lacking:
-            self.learn(present if len(self.runs) + len(lacking) > self.limit else lacking)
+            self.learn(lacking, present)
         joined = [self.plain(t) if r is None else b"".join(map(self.runs.__getitem__, r)) for t, r in zip(texts, split, strict=True)]
         return joined if self.kind == "<u4" else [np.frombuffer(x, dtype=self.kind).astype("<u4").tobytes() for x in joined]
 
