@@ -116,7 +116,7 @@ class WordEncoder:
     What was encoded before comes from a memo, with 16-bit ids where the vocabulary allows.
     """
 
-    def __init__(self, source: str, runs: int = 5 << 17):
+    def __init__(self, source: str, runs: int = 1 << 19):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
