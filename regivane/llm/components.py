@@ -26,6 +26,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # every node hands its larger neighbours to the least node it sees
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # written, so that the join has a plain shuffle on both sides and a hub's rows can be split
+        least = materialise(least, "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         # every node hands its smaller neighbours, and itself, to the least of them
         large = materialise(large, "large-star")
