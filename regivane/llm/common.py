@@ -8,6 +8,7 @@ import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +61,7 @@ def per_process(key: tuple, make):
     if _HELD[0] != key:
         _HELD[:] = [None, None]
         gc.collect()
+        pa.default_memory_pool().release_unused()
         with contextlib.suppress(OSError, AttributeError):  # give freed memory back, where the C library can
             ctypes.CDLL(None).malloc_trim(0)
         _HELD[:] = [key, make()]

@@ -75,7 +75,7 @@ def _point_kinds() -> np.ndarray:
 class Extractor:
     """Features of whole texts; what a run of characters holds is kept in a memo."""
 
-    def __init__(self, lexicon: Lexicon, memo: int = 1 << 18):
+    def __init__(self, lexicon: Lexicon, memo: int = 1 << 17):
         self.lexicon, self.memo, self.kinds = lexicon, TwoGenerationCache(memo), _point_kinds()
 
     def run(self, run: str) -> tuple:
@@ -250,15 +250,23 @@ def _key_counts(sample: DataFrame) -> DataFrame:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {name: Counter() for name in ("t0", "t1", "c0", "c1")}
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            keys = list(set().union(*sums.values()))
+            for at in range(0, len(keys), 100_000):
+                part = keys[at : at + 100_000]
+                columns = [pa.array(part, pa.string()), *(pa.array([c[k] for k in part], pa.int64()) for c in sums.values())]
+                yield pa.RecordBatch.from_arrays(columns, ["key", *sums])
+            for c in sums.values():
+                c.clear()
+
         for batch in batches:
             for text, y, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = {w.lower() for w in _WORD.findall(text)}
                 sums[f"{'t' if y else 'c'}{part % 2}"].update({k for w in words for k in keys_of(w)})
-        keys = list({k for c in sums.values() for k in c})
-        for at in range(0, len(keys), 200_000):
-            part = keys[at : at + 200_000]
-            columns = [pa.array(part, pa.string()), *(pa.array([c[k] for k in part], pa.int64()) for c in sums.values())]
-            yield pa.RecordBatch.from_arrays(columns, ["key", *sums])
+                if sum(map(len, sums.values())) > 200_000:  # bounded memory; the sums meet after the shuffle
+                    yield from rows()
+        yield from rows()
 
     parts = sample.mapInArrow(counted, "key string, t0 bigint, t1 bigint, c0 bigint, c1 bigint")
     summed = parts.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("t0", "t1", "c0", "c1")))
