@@ -3,17 +3,19 @@
 A page is cut into lines (the text between block-level tags) that carry where they stand.
 Pages are ordered by host and URL path; each is compared with the neighbour whose path has
 the longer common beginning.  Lines are aligned by longest common subsequence; shared lines
-are template and go, except inside the page's own ``article`` or ``main`` element, whose
-author marks it as content: there a shared line is a repeated article, not a template.  One
-page alone cannot show a template, and neighbours seldom share every menu entry or advert,
-so lines inside navigation, header, footer, aside, form, script, hidden or so named elements
-go as well; and where a page has an ``article`` or ``main``, lines outside it.
+are template and go, inside an ``article`` or ``main`` element as well, and lines that are
+not shared stay, outside it as well.  Only where over half of the letters inside ``article``
+or ``main`` are shared, the page is a copy of its neighbour and these lines stay.  One page
+alone cannot show a template, and neighbours seldom share every menu entry or advert, so
+lines inside navigation, header, footer, aside, form, script, hidden or so named elements go
+as well.
 
 Only line hashes travel to the neighbour.  The order is found by a range sort and global
 positions, so a host with a third of all pages is spread like any other.
 
 Defined results: null html counts as empty and gives an empty text; a null or odd URL has an
-empty host and path; a page with no neighbour on its host is judged by its own marks; a page
+empty host and path; a page with no neighbour on its host is judged by its own marks (of a
+page with ``article`` or ``main``, the lines inside); a page
 whose every line outside boilerplate is shared (a copy) keeps these lines; ties of nearness
 go to the page before; repeated rows stay repeated.
 """
@@ -164,16 +166,19 @@ def common_lines(a: list[int], b: list[int]) -> set[int]:
     return out
 
 
-def candidates(lines: list[tuple[str, bool, bool]]) -> tuple[bool, list[tuple[int, str]]]:
-    """Whether the page marks its content, and the lines (with their places) that may stay."""
-    marked = [(k, t) for k, (t, content, waste) in enumerate(lines) if content and not waste]
-    return bool(marked), marked or [(k, t) for k, (t, _, waste) in enumerate(lines) if not waste]
+def candidates(lines: list[tuple[str, bool, bool]]) -> list[tuple[int, str, bool]]:
+    """(place, text, inside content) of the lines outside boilerplate, which may stay."""
+    return [(k, t, content) for k, (t, content, waste) in enumerate(lines) if not waste]
 
 
-def main_lines(marked: bool, lines: list[tuple[int, str]], shared: set[int]) -> list[str]:
-    """The lines that stay."""
-    own = [] if marked else [t for k, t in lines if k not in shared]
-    return own or [t for _, t in lines]
+def main_lines(lines: list[tuple[int, str, bool]], shared: set[int] | None) -> list[str]:
+    """The lines that stay; ``shared`` is None for a page without a neighbour."""
+    marked = [(k, t) for k, t, content in lines if content]
+    if shared is None:
+        return [t for _, t in marked] or [t for _, t, _ in lines]
+    copy = 2 * sum(len(t) for k, t in marked if k in shared) > sum(len(t) for _, t in marked)
+    own = [t for k, t, content in lines if k not in shared or (copy and content)]
+    return own or [t for _, t, _ in lines]
 
 
 def line_keys(lines: list[tuple[str, bool, bool]]) -> list[int]:
@@ -209,11 +214,11 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
         for frame in frames:
             texts, n_lines, n_shared = [], [], []
             for pack, keys, other in zip(frame["lines"], frame["keys"], frame["other"], strict=True):
-                marked, lines = json.loads(zlib.decompress(pack).decode("utf-8", "surrogatepass"))
-                shared = common_lines(list(keys), list(other)) if other is not None else set()
-                texts.append("\n\n".join(main_lines(marked, lines, shared)))
+                lines = json.loads(zlib.decompress(pack).decode("utf-8", "surrogatepass"))
+                shared = common_lines(list(keys), list(other)) if other is not None else None
+                texts.append("\n\n".join(main_lines(lines, shared)))
                 n_lines.append(len(keys))
-                n_shared.append(len(shared))
+                n_shared.append(len(shared or ()))
             yield frame[["page_id", "url"]].assign(text=texts, n_lines=n_lines, n_shared=n_shared)
 
     kind = f"page_id {pages.schema[page_id].dataType.simpleString()}, url string"

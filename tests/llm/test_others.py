@@ -107,6 +107,18 @@ def test_shared_lines_go(spark):
     assert got[200].text == got[201].text and "Own text 200" in got[200].text
 
 
+def test_alignment_decides_on_marked_pages(spark):
+    def body(k, own="Long own text of the article, number"):
+        return f"<div><p>Site line</p></div><article><p>By our staff</p><p>{own} {k}</p></article><div><p>Second block {k}</p></div>"
+
+    rows = [(k, f"http://h.example/p/{k}", body(k)) for k in range(6)]
+    copies = [(k, f"http://copy.example/{k}", body(k, "The same article on both pages").replace(f"pages {k}", "pages")) for k in (10, 11)]
+    got = extract(spark, [*rows, *copies, (20, "http://alone.example/", body(20))])
+    assert all(got[k].text == f"Long own text of the article, number {k}\n\nSecond block {k}" for k in range(6))
+    assert all(got[k].text == f"By our staff\n\nThe same article on both pages\n\nSecond block {k}" for k in (10, 11))
+    assert got[20].text == "By our staff\n\nLong own text of the article, number 20"
+
+
 def test_nearest_is_global(spark):
     rng = random.Random(1)
     rows = [(k, f"h{rng.randrange(3)}", f"/{rng.randrange(50)}/{rng.randrange(50)}") for k in range(400)]
