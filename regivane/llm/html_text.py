@@ -47,7 +47,7 @@ RAW = frozenset("script style noscript template svg canvas iframe object math he
 BOILERPLATE = frozenset("nav header footer aside form button select dialog menu fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 CONTENT = frozenset("article main".split())
-#: Parts of class and id names of elements that hold no main text.
+#: Class and id names (whole ones) of elements that hold no main text.
 NAMES = frozenset(
     """ad ads adv advert advertisement adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr
     notice notification alert sidebar side menu navbar nav navigation breadcrumb breadcrumbs footer header masthead
@@ -62,8 +62,9 @@ LOOSE = INLINE | frozenset("p li dt dd tr td th option thead tbody tfoot colgrou
 
 def lines_of(source: str) -> list[tuple[str, bool, bool]]:
     """(text, inside content, inside boilerplate) of each line that is not empty, in page order."""
-    out: list[tuple[str, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, content, boilerplate
+    out: list[tuple[str, bool, bool, tuple[int, ...]]] = []
+    stack: list[tuple[str, bool, bool, tuple[int, ...]]] = []  # name, content, boilerplate, elements around named as such
+    holders: set[int] = set()  # named elements that hold an article or main
     text: list[str] = []
     at, n = 0, len(source)
 
@@ -72,8 +73,8 @@ def lines_of(source: str) -> list[tuple[str, bool, bool]]:
             line = _SPACE.sub(" ", html.unescape("".join(text))).strip()
             text.clear()
             if line:
-                _, content, waste = stack[-1] if stack else ("", False, False)
-                out.append((line, content, waste))
+                _, content, waste, around = stack[-1] if stack else ("", False, False, ())
+                out.append((line, content, waste, around))
 
     while at < n:
         found = _TAG.search(source, at)
@@ -107,14 +108,37 @@ def lines_of(source: str) -> list[tuple[str, bool, bool]]:
             continue
         if name in VOID or name in LOOSE or (attributes or "").rstrip().endswith("/"):
             continue
-        _, content, waste = stack[-1] if stack else ("", False, False)
+        _, content, waste, around = stack[-1] if stack else ("", False, False, ())
         named, role, hidden = _marks(attributes or "")
         inner_header = name == "header" and content
+        if (name in CONTENT or role in ("main", "article")) and not waste:
+            holders.update(around)
         content = content or name in CONTENT or role in ("main", "article")
-        waste = waste or (name in BOILERPLATE and not inner_header) or role in ROLES or hidden or (named and name not in ("body", "html", "article", "main"))
-        stack.append((name, content, waste))
+        waste = waste or (name in BOILERPLATE and not inner_header) or role in ROLES or hidden
+        if named and name not in ("body", "html", "article", "main"):
+            around = (*around, at)
+        stack.append((name, content, waste, around))
     flush()
-    return out
+    return _without_wrappers(out, holders)
+
+
+def _without_wrappers(lines: list[tuple[str, bool, bool, tuple[int, ...]]], holders: set[int]) -> list[tuple[str, bool, bool]]:
+    """Lines inside named elements are boilerplate, unless the element wraps the page's content.
+
+    That is so where no article or main stands outside named elements: then those that hold
+    one are wrappers, or, without any, those with over half of the page's letters.
+    """
+    wrappers: set[int] = set()
+    if any(around for _, _, _, around in lines) and not any(content and not waste and not around for _, content, waste, around in lines):
+        wrappers = holders
+        if not any(content and not waste and holders.issuperset(around) for _, content, waste, around in lines):
+            sizes: dict[int, int] = defaultdict(int)
+            for t, _, waste, around in lines:
+                for k in around if not waste else ():
+                    sizes[k] += len(t)
+            half = sum(len(t) for t, _, waste, _ in lines if not waste) / 2
+            wrappers = holders | {k for k, n in sizes.items() if n > half}
+    return [(t, content, waste or not wrappers.issuperset(around)) for t, content, waste, around in lines]
 
 
 def _marks(attributes: str) -> tuple[bool, str, bool]:
@@ -125,7 +149,7 @@ def _marks(attributes: str) -> tuple[bool, str, bool]:
     for key, a, b, c, bare in _ATTRIBUTE.findall(attributes):
         value, key = (a or b or c).lower(), (key or bare).lower()
         if key in ("class", "id"):
-            named = named or not NAMES.isdisjoint(re.split(r"[^a-z]+", value))
+            named = named or not NAMES.isdisjoint(value.split())
         elif key == "role":
             role = value.strip()
         elif key == "hidden" or (key == "aria-hidden" and value == "true"):

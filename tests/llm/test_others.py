@@ -119,6 +119,18 @@ def test_alignment_decides_on_marked_pages(spark):
     assert got[20].text == "By our staff\n\nLong own text of the article, number 20"
 
 
+def test_named_wrappers_keep_their_content():
+    def kept(source):
+        return html_text.main_lines(html_text.candidates(html_text.lines_of(source)), None)
+
+    for name in ("site has-sidebar", "with-header", "post share-enabled", "no-comments", "sidebar", "content header"):
+        assert kept(f"<nav>Home</nav><div class='{name}'><article><p>Text</p><div class='comments'>Reply</div></article></div>") == ["Text"]
+        assert kept(f"<nav>Home</nav><div class='{name}'><p>Most of the text</p><div class='ad'>Buy</div></div><p>Rest</p>") == ["Most of the text", "Rest"]
+    comments = "<div id='comments'><article><p>A comment longer than the text</p></article></div>"
+    assert kept(f"<article><p>Text</p></article>{comments}<div class='ad'>Buy</div>") == ["Text"]
+    assert kept("<p>Long text of the page</p><div class='ad'>Buy</div>") == ["Long text of the page"]
+
+
 def test_nearest_is_global(spark):
     rng = random.Random(1)
     rows = [(k, f"h{rng.randrange(3)}", f"/{rng.randrange(50)}/{rng.randrange(50)}") for k in range(400)]
