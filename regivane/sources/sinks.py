@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+MONTH_KEY = ["anio", "mes", "id_estatus_victima"]
+
 
 def write_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
     """Header, nothing for null or empty, in the order of columns given.
@@ -24,19 +26,21 @@ def write_discrepancies(df: DataFrame, path: str) -> bool:
 
 
 def present_partitions(spark: SparkSession, folder: str) -> DataFrame:
-    """(anio, mes) of the months that have rows."""
+    """(anio, mes, id_estatus_victima) of the months and statuses that have rows."""
     try:
-        return spark.read.parquet(folder).select(F.col("anio").cast("bigint"), F.col("mes").cast("bigint")).distinct()
+        return spark.read.parquet(folder).select(*(F.col(c).cast("bigint") for c in MONTH_KEY)).distinct()
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return spark.createDataFrame([], "anio bigint, mes bigint")
+            return spark.createDataFrame([], ", ".join(f"{c} bigint" for c in MONTH_KEY))
         raise
 
 
 def write_new_months(df: DataFrame, folder: str) -> None:
-    """Append the months that ``folder`` lacks, one folder a month; present ones stay, empty ones are not made."""
-    fresh = df.join(present_partitions(df.sparkSession, folder), ["anio", "mes"], "left_anti")
-    fresh.repartition("anio", "mes").write.mode("append").partitionBy("anio", "mes").option("compression", "snappy").parquet(folder)
+    """Append the months of each status that ``folder`` lacks, one folder a month; present ones stay, empty ones are not made."""
+    present = present_partitions(df.sparkSession, folder).alias("present")
+    same = [F.col(f"fresh.{c}").eqNullSafe(F.col(f"present.{c}")) for c in MONTH_KEY]
+    fresh = df.alias("fresh").join(present, same, "left_anti")
+    fresh.repartition(*MONTH_KEY).write.mode("append").partitionBy("anio", "mes").option("compression", "snappy").parquet(folder)
 
 
 def consolidate(monthly: DataFrame, path: str) -> None:

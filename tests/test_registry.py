@@ -187,6 +187,15 @@ def test_monthly_files(spark, tmp_path):
     assert not sinks.write_discrepancies(df.limit(0), str(tmp_path / "none"))
 
 
+def test_months_are_present_by_status(spark, tmp_path):
+    df = make_records(spark, [("A", 1, "x", 1)]).drop("ordinal")
+    folder = str(tmp_path / "months")
+    for status in (0, 7, None, 7, None):
+        sinks.write_new_months(df.withColumn("id_estatus_victima", F.lit(status).cast("bigint")), folder)
+    got = [r.id_estatus_victima for r in spark.read.parquet(folder).collect()]
+    assert sorted(got, key=str) == [0, 7, None]
+
+
 def test_incremental_load(spark, tmp_path):
     from regivane.streaming.incremental import load_new_months
 
