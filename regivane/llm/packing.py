@@ -34,6 +34,8 @@ _ODD = "\x1c\x1d\x1e\x1f"
 #: A comma or full stop behind another mark.
 _STACKED = re.compile(r"[.,](?<=(?:[^\w\s]|_)[.,])(?!\S)")
 _MARKED_WORD = re.compile(r"([\W_]*)([^\W\d_]+)([\W_]*)")
+#: Endings that the tokenizer's pattern cuts off with the apostrophe before them.
+_SHORT = ("s", "t", "re", "ve", "m", "ll", "d")
 
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary, part bigint"
 
@@ -141,7 +143,10 @@ class WordEncoder:
         before, word, behind = found.groups()
         if not word.isalpha() or not (before + behind).isascii() or not self.foldable(word):
             return None
-        return before, word.lower(), behind
+        word = word.lower()
+        if before.endswith("'") and word.startswith(_SHORT):  # an opening quote takes the beginning along
+            return None
+        return before, word, behind
 
     @staticmethod
     def foldable(word: str) -> bool:

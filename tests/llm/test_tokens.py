@@ -1,4 +1,5 @@
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -127,6 +128,19 @@ def test_word_encoder(libraries):
         assert encoder([text])[0] == np.array(libraries[1].encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes(), text
 
 
+def test_word_encoder_on_random_strings(libraries):
+    """Strings over all classes of the tokenizer's pattern, apostrophes at word starts included."""
+    rng = random.Random(6)
+    short = ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d"]
+    pieces = [*short, *(x.upper() for x in short), "'", "''", "'tis", "'the cat'", "he said 'some people' left", "'Don", *"abdlmrstveABDSTZéßÉñиЖσςΣİıſK漢字あ한ﬁ", "word", "Word", "12", "٣", "²", "Ⅷ", "½", "_", ",", ".", "!", "&&", "(", "\"", "’", "…", "🙂", "e\u0301", "x\u0302", "\u0301", "\u200d", "\u00a0", "\u3000", "\x1c", "\x00", "\n", "\t", ", ", ". ", " ", " ", " ", "<|endoftext|>", "<|startoftext|>"]
+    encoder = packing.WordEncoder(WORD, runs=512)
+    texts = ["".join(rng.choices(pieces, k=rng.randint(1, 9))) for _ in range(12_000)]
+    for at in range(0, len(texts), 40):
+        part = texts[at : at + 40]
+        for text, got in zip(part, encoder(part), strict=True):
+            assert got == np.array(libraries[1].encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes(), text
+
+
 def test_digest_queries(spark, sf, libraries):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in queries.op2_bpe_codec(spark, sf).collect():
