@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,13 +23,38 @@ def sized_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+@functools.cache
+def _local_root() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="regivane-ckpt-")
+
+
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder that ``spark.checkpoint.dir`` names; a local one of this process only where none is set.
+
+    The session's setting is read, never changed.
+    """
+    return (spark.conf.get("spark.checkpoint.dir", None) or _local_root()).rstrip("/")
+
+
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A fresh path below the shared folder, in a folder of this application."""
+    return f"{checkpoint_root(spark)}/regivane/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
 def fixed(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` below ``spark.checkpoint.dir`` and read it back; a local folder only where none is set."""
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="regivane-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/regivane/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write ``df`` once to the shared folder and read it back: cuts lineage and fixes the rows.
+
+    A lost executor costs only its unfinished tasks, since readers use the written files.
+    """
+    path = shared_path(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the files of tables that :func:`fixed` returned, once nothing reads them any more."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
