@@ -5,46 +5,58 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import tempfile
-import uuid
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: White space as Rust and PCRE engines read ``\s`` (Python's own adds 1C-1F).
-UNICODE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-
+from regivane.storage import discard, fixed, shared_path
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="regivane-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+materialise = fixed
 
+__all__ = ["MEMO_CHARS", "UNICODE_SPACE", "TwoGenerationCache", "discard", "documents", "frames_in_portions", "kept_fields", "materialise", "per_process", "portions", "shared_path", "text_or_empty"]
 
-def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{checkpoint_root(spark)}/regivane/{label}-{uuid.uuid4().hex}"
+#: White space as Rust and PCRE engines read ``\s`` (Python's own adds 1C-1F).
+UNICODE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Rows and bytes that an operator works on at once.
+PORTION_ROWS, PORTION_BYTES = 512, 4 << 20
+#: Longer keys are not kept in memos, so a memo's entries bound its bytes.
+MEMO_CHARS = 64
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: cuts lineage and fixes the rows.
+def portions(batches: Iterable[pa.RecordBatch], rows: int = PORTION_ROWS, size: int = PORTION_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into portions of at most ``rows`` rows and, but for single rows, ``size`` bytes.
 
-    A lost executor costs only its unfinished tasks, since readers use the written files.
+    Spark bounds a batch by bytes; what an operator makes of a portion is bounded by this.
     """
-    path = shared_path(df.sparkSession, label)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    for batch in batches:
+        at = 0
+        while at < batch.num_rows:
+            part = batch.slice(at, rows)
+            while part.num_rows > 1 and part.nbytes > size:
+                part = part.slice(0, part.num_rows // 2)
+            yield part
+            at += part.num_rows
+
+
+def frames_in_portions(frames: Iterable[pd.DataFrame], rows: int = 128) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        for at in range(0, len(frame), rows):
+            yield frame.iloc[at : at + rows]
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound the rows handed to Python at once, so a few very long texts fit in memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def kept_fields(df: DataFrame, added: Iterable[str]) -> list:
+    """The fields of ``df`` but for those with an added name, in whichever case, as Spark tells names apart."""
+    names = {n.lower() for n in added}
+    return [f for f in df.schema if f.name.lower() not in names]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -69,15 +81,16 @@ def per_process(key: tuple, make):
 
 
 class TwoGenerationCache:
-    """A memo of at most ``2 * limit`` entries: when the young half is full it becomes the old half."""
+    """A memo of at most ``2 * limit`` short keys: when the young half is full it becomes the old half."""
 
     def __init__(self, limit: int):
         self.limit, self.young, self.old = limit, {}, {}
 
     def put(self, key, value):
-        if len(self.young) >= self.limit:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
+        if len(key) <= MEMO_CHARS:
+            if len(self.young) >= self.limit:
+                self.old, self.young = self.young, {}
+            self.young[key] = value
         return value
 
     def get(self, key):

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regivane.llm.common import materialise
+from regivane.llm.common import discard, materialise
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, root) for every id of ``edges``: root is the least id of its component.
 
     Each step joins on node ids only and is written to the shared folder; steps go on until
-    the edges no longer change, which takes about the logarithm of the widest path.  Edges
-    of a node to itself and nulls are ignored; an empty table gives no rows.
+    the edges no longer change, which takes about the logarithm of the widest path.  What a
+    step has read is removed once its result is written.  Ids are of any one type.  Edges of a
+    node to itself and nulls are ignored; an empty table gives no rows.
     """
     proper = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     now = materialise(proper.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
@@ -28,10 +29,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # written, so that the join has a plain shuffle on both sides and a hub's rows can be split
         least = materialise(least, "least")
+        held = [now, least]
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         # every node hands its smaller neighbours, and itself, to the least of them
         large = materialise(large, "large-star")
+        discard(*held)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         now = materialise(small, "small-star")
+        discard(large)

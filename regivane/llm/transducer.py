@@ -137,13 +137,19 @@ class Lexicon:
         return self._ids[self._id_first[rank] : self._id_first[rank + 1]].tolist()
 
 
+def _holds(path: str, block: bytes) -> bool:
+    with open(path, "rb") as f:
+        return f.read() == block
+
+
 def mapped(block: bytes) -> Lexicon:
     """Put a compiled lexicon into this machine's temporary folder once and map it.
 
-    The file is a cache of a broadcast block, named by its content: any process may make it anew.
+    The file is a cache of a broadcast block, named and verified by its content: any process of
+    this machine may make it anew, and none needs one of another machine.
     """
     path = os.path.join(tempfile.gettempdir(), f"lexicon-{hashlib.sha256(block).hexdigest()[:24]}")
-    if not os.path.exists(path) or os.path.getsize(path) != len(block):
+    if not os.path.exists(path) or not _holds(path, block):
         part = f"{path}.{os.getpid()}"
         with open(part, "wb") as f:
             f.write(block)
