@@ -9,7 +9,10 @@ time, until one is left, which is cut at powers of two.  So no sequence needs pa
 id lies in exactly one piece.
 
 Defined results: a null text counts as empty, an empty text has the end id alone; repeated
-rows are packed each for itself; an empty table gives no rows; other columns are ignored.
+rows are packed each for itself; a null doc_id stays null; doc_id is a long; an empty table
+gives no rows; other columns are ignored; a text of any length is packed whole, a task holds
+its ids and ``open_windows`` windows, and what is kept between texts (short runs only) does not
+grow with it.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regivane.llm.common import materialise, per_process, small_batches
+from regivane.llm.common import MEMO_CHARS, materialise, per_process, portions
 
 WINDOW, OPEN_WINDOWS, FAN_IN = 2048, 64, 256
 #: Separators to Python's split() that the tokenizer's pattern takes for characters.
@@ -188,7 +191,9 @@ class WordEncoder:
         if ids is None:
             if len(self.marks) > 1 << 16:
                 self.marks = {"": b""}
-            ids = self.marks[marks] = self.plain(marks)
+            ids = self.plain(marks)
+            if len(marks) <= MEMO_CHARS:
+                self.marks[marks] = ids
         return ids
 
     def runs_of(self, text: str) -> list[str] | None:
@@ -213,6 +218,9 @@ class WordEncoder:
         if lacking:
             self.learn(lacking, present)
         joined = [self.plain(t) if r is None else b"".join(map(self.runs.__getitem__, r)) for t, r in zip(texts, split, strict=True)]
+        if any(len(r) > MEMO_CHARS for r in lacking):
+            for run in [r for r in self.runs if len(r) > MEMO_CHARS]:
+                del self.runs[run]
         return joined if self.kind == "<u4" else [np.frombuffer(x, dtype=self.kind).astype("<u4").tobytes() for x in joined]
 
 
@@ -248,7 +256,6 @@ def pack(docs: DataFrame, source: str, doc_id: str = "doc_id", text: str = "text
     is made of merge level, task and a running number.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     sent = spark.sparkContext.broadcast(source)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +263,7 @@ def pack(docs: DataFrame, source: str, doc_id: str = "doc_id", text: str = "text
         task, end = TaskContext.get().partitionId(), np.uint32(end_id).tobytes()
         rows = _Rows(0, task)
         packer = Packer(window, open_windows, rows.emit)
-        for batch in batches:
+        for batch in portions(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for doc, ids in zip(batch.column(0).to_pylist(), encode(texts), strict=True):
                 ids += end
@@ -288,7 +295,7 @@ def _merged(left: DataFrame, level: int, parts: int, fan_in: int, window: int) -
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups: dict[int, list] = {}
-        for batch in batches:
+        for batch in portions(batches):
             for r in batch.to_pylist():
                 groups.setdefault(r["part"] // fan_in, []).append((r["part"], r["doc_id"], r["start"], r["ids"], r["doc_tokens"]))
         for group, pieces in sorted(groups.items()):

@@ -7,7 +7,10 @@ popped pieces is kept, so a count walks each byte once and makes no pieces.
 The vocabulary is that of a byte-level tokenizer file: every single byte is a piece, so each
 word has a segmentation.  Words are the pre-tokens of that file's pattern.
 
-Defined results: null and empty texts have 0 words and 0 pieces; other columns pass through.
+Defined results: null and empty texts have 0 words and 0 pieces; other columns pass through,
+but for those named as the output in whichever case, which are replaced; repeated rows are
+counted each for itself; an empty table gives no rows; a text of any length is counted whole,
+and what is kept between texts (short pieces only) does not grow with it.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from regivane.llm.bpe_codec import CHUNK, Tokenizer
-from regivane.llm.common import TwoGenerationCache, per_process, small_batches
+from regivane.llm.common import TwoGenerationCache, kept_fields, per_process, portions
 
 
 class PieceCounter:
@@ -78,10 +81,9 @@ class PieceCounter:
 def count_tokens(docs: DataFrame, source: str, text: str = "text", memo: int = 1 << 18) -> DataFrame:
     """Append ``n_words`` and ``n_tokens`` (both long) for the whole ``text``."""
     spark = docs.sparkSession
-    small_batches(spark)
     sent = spark.sparkContext.broadcast(source)
     added = [T.StructField("n_words", T.LongType()), T.StructField("n_tokens", T.LongType())]
-    schema = T.StructType([*(f for f in docs.schema if f.name not in ("n_words", "n_tokens")), *added])
+    schema = T.StructType([*kept_fields(docs, ["n_words", "n_tokens"]), *added])
     names = [f.name for f in schema][:-2]
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,7 +99,7 @@ def count_tokens(docs: DataFrame, source: str, text: str = "text", memo: int = 1
             return cache.put(chunk, (len(found) << 40) + sum(counter.count(w.encode("utf-8", "surrogatepass")) for w in found))
 
         get = cache.get
-        for batch in batches:
+        for batch in portions(batches):
             sums = [sum(get(c) or fresh(c) for c in CHUNK.findall(v or "")) for v in batch.column(batch.schema.get_field_index(text)).to_pylist()]
             kept = [batch.column(batch.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays([*kept, pa.array([s >> 40 for s in sums], pa.int64()), pa.array([s & (1 << 40) - 1 for s in sums], pa.int64())], [*names, "n_words", "n_tokens"])
