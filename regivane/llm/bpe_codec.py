@@ -7,7 +7,10 @@ lexicon is merged exactly by the tokenizer's ranked merges.  Ids equal those of
 own string in a text becomes its id, as there.
 
 Defined results: a null text counts as empty and gives an empty id list; null ids decode
-to the empty text; other columns pass through untouched; repeated rows stay repeated.
+to the empty text; other columns pass through untouched, but for one named as the output in
+whichever case, which is replaced; repeated rows stay repeated; an empty table gives no rows,
+and an empty lexicon; a text of any length is encoded whole, and what is kept between texts
+(short pieces only) does not grow with it.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regivane.llm.common import UNICODE_SPACE, materialise, per_process, small_batches
+from regivane.llm.common import MEMO_CHARS, UNICODE_SPACE, discard, kept_fields, materialise, per_process, portions
 from regivane.llm.transducer import Lexicon, compile_lexicon, mapped
 
 #: Fixed value: the byte-level pre-tokenisation pattern of the tokenizer files.
@@ -117,9 +120,11 @@ class Encoder:
         for word in words:
             raw = word.encode("utf-8", "surrogatepass")
             out += lookup(raw) or self.merge(raw)
-        if len(self.memo) >= self.limit:
-            self.memo.clear()
-        packed = self.memo[chunk] = array("i", out).tobytes()
+        packed = array("i", out).tobytes()
+        if len(chunk) <= MEMO_CHARS:
+            if len(self.memo) >= self.limit:
+                self.memo.clear()
+            self.memo[chunk] = packed
         return packed
 
     def encode(self, text: str) -> bytes:
@@ -138,7 +143,7 @@ def count_words(docs: DataFrame, source: str, text: str = "text", special_cut: b
     """(word, n) over all documents; counts are summed inside each partition before the shuffle."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, chunks = Tokenizer(source), Counter()
+        tokenizer, chunks, letters = Tokenizer(source), Counter(), 0
 
         def flush():
             words: Counter = Counter()
@@ -148,13 +153,15 @@ def count_words(docs: DataFrame, source: str, text: str = "text", special_cut: b
             chunks.clear()
             return pa.RecordBatch.from_pydict({"word": pa.array(words.keys(), pa.string()), "n": pa.array(words.values(), pa.int64())})
 
-        for batch in batches:
+        for batch in portions(batches):
             for value in batch.column(0).to_pylist():
                 for segment in tokenizer.segments(value or "") if special_cut else [value or ""]:
                     if segment not in tokenizer.special:
                         chunks.update(CHUNK.findall(segment))
-            if len(chunks) > 400_000:
-                yield flush()
+                        letters += len(segment)
+                if len(chunks) > 400_000 or letters > 1 << 26:  # bounded in number and in bytes
+                    yield flush()
+                    letters = 0
         yield flush()
 
     return docs.select(text).mapInArrow(counted, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
@@ -177,21 +184,21 @@ def build_lexicon(docs: DataFrame, source: str, text: str = "text", size: int =
             break
         lowest = row["step"]
     words = [r.word.encode() for r in counts.where(step >= lowest).select("word").collect()] if lowest is not None else []
+    discard(counts)
     return compile_lexicon({w: tokenizer.merge(w) for w in words})
 
 
 def encode(docs: DataFrame, source: str, lexicon: bytes, text: str = "text", out: str = "ids") -> DataFrame:
     """Append ``out`` array<int>: the ids of ``text`` (null: empty)."""
     spark = docs.sparkSession
-    small_batches(spark)
     sent = spark.sparkContext.broadcast((source, lexicon))
-    schema = T.StructType([*(f for f in docs.schema if f.name != out), T.StructField(out, T.ArrayType(T.IntegerType()))])
-    names = [f.name for f in schema if f.name != out]
+    schema = T.StructType([*kept_fields(docs, [out]), T.StructField(out, T.ArrayType(T.IntegerType()))])
+    names = [f.name for f in schema][:-1]
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = "encoder", hash(sent.value[1]), hash(sent.value[0])
         encoder = per_process(key, lambda: Encoder(Tokenizer(sent.value[0]), mapped(sent.value[1])))
-        for batch in batches:
+        for batch in portions(batches):
             packed = [encoder.encode(v or "") for v in batch.column(batch.schema.get_field_index(text)).to_pylist()]
             ends = np.zeros(len(packed) + 1, dtype=np.int32)
             np.cumsum([len(p) // 4 for p in packed], out=ends[1:])
@@ -204,14 +211,13 @@ def encode(docs: DataFrame, source: str, lexicon: bytes, text: str = "text", out
 def decode(encoded: DataFrame, source: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Append ``out``: the text that ``ids`` stand for, special tokens included (invalid UTF-8 becomes U+FFFD)."""
     spark = encoded.sparkSession
-    small_batches(spark)
     sent = spark.sparkContext.broadcast(source)
-    schema = T.StructType([*(f for f in encoded.schema if f.name != out), T.StructField(out, T.StringType())])
-    names = [f.name for f in schema if f.name != out]
+    schema = T.StructType([*kept_fields(encoded, [out]), T.StructField(out, T.StringType())])
+    names = [f.name for f in schema][:-1]
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = per_process(("pieces", hash(sent.value)), lambda: Tokenizer(sent.value).bytes_of)
-        for batch in batches:
+        for batch in portions(batches):
             column = batch.column(batch.schema.get_field_index(ids))
             ends, flat = column.offsets.to_pylist(), column.values
             texts = [b"".join(map(table.__getitem__, flat[a:b].to_numpy(zero_copy_only=False).tolist())).decode("utf-8", "replace") for a, b in zip(ends, ends[1:], strict=False)]
