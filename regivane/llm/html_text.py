@@ -17,7 +17,9 @@ Defined results: null html counts as empty and gives an empty text; a null or od
 empty host and path; a page with no neighbour on its host is judged by its own marks (of a
 page with ``article`` or ``main``, the lines inside); a page
 whose every line outside boilerplate is shared (a copy) keeps these lines; ties of nearness
-go to the page before; repeated rows stay repeated.
+go to the page before; repeated rows stay repeated; an empty table gives no rows; other columns
+are ignored; a page of any length is read whole, in time linear in its length but for the
+alignment of lines that both pages have and that do not stand at their ends.
 """
 
 from __future__ import annotations
@@ -26,19 +28,21 @@ import html
 import json
 import re
 import zlib
-from bisect import bisect_left
-from collections import defaultdict
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regivane.llm.common import materialise, small_batches
+from regivane.llm.common import frames_in_portions, materialise
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:\s+|/)(?:[^>\"']|\"[^\"]*\"|'[^']*')*)?>", re.S)
-_ATTRIBUTE = re.compile(r"([\w:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|(?<=\s)(hidden)(?=\s|$|/)", re.S)
+_OPEN = re.compile(r"<(?:(!--)|[!?]|(/?)([a-zA-Z][\w:-]*+)(?=[\s/>]))")
+_STOP = re.compile("[>\"']")
+#: An attribute begins where no name runs on, so that each character is read once.
+_ATTRIBUTE = re.compile(r"(?<![\w:-])([\w:-]++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))|(?<=\s)(hidden)(?=\s|$|/)", re.S)
 _SPACE = re.compile(r"\s+")
 
 #: Elements whose content is not text of the page.
@@ -54,91 +58,159 @@ NAMES = frozenset(
     comment comments disqus respond reply share sharing social related recommended newsletter subscribe signup
     login popup modal overlay widget pagination pager toolbar skip""".split()
 )
+#: Bits of an alignment that are held at once.
+TABLE_BITS = 1 << 28
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp small span strike strong sub sup time tt u var wbr img".split())
 #: Elements that others of the same kind, or the end of what is around, close silently.
 LOOSE = INLINE | frozenset("p li dt dd tr td th option thead tbody tfoot colgroup".split())
 
 
+class Tags:
+    """The tags, comments and declarations of a page in order, in time linear in its length.
+
+    A tag ends at the first ``>`` outside quotes; a ``<`` without such an end is text.
+    """
+
+    def __init__(self, source: str):
+        self.source, self.last = source, source.rfind(">")
+        self.dead: set[int] = set()  # quotes that open outside quotes of a tag without an end
+        self.gap = (0, -1)  # a stretch without quotes and ends, and where it stops
+
+    def _end(self, at: int) -> int:
+        """Where the tag ends whose name ends at ``at``; -1 if it does not."""
+        source, path = self.source, []
+        if not self.gap[0] <= at <= self.gap[1]:
+            stop = _STOP.search(source, at)
+            self.gap = (at, stop.start() if stop else len(source))
+        stop = self.gap[1]
+        while stop < len(source) and stop not in self.dead:
+            if source[stop] == ">":
+                return stop
+            path.append(stop)
+            close = source.find(source[stop], stop + 1)
+            found = _STOP.search(source, close + 1) if close >= 0 else None
+            stop = found.start() if found else len(source)
+        self.dead.update(path)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, closing slash, name, attributes) of the next one; comments and declarations have no name."""
+        source = self.source
+        while found := _OPEN.search(source, at):
+            comment, closing, name = found.groups()
+            at = found.end()
+            if comment:
+                end = source.find("-->", at)
+                return found.start(), (end + 3 if end >= 0 else len(source)), "", "", ""
+            if found.start() > self.last:
+                continue
+            if name is None:
+                return found.start(), source.index(">", at) + 1, "", "", ""
+            end = self._end(at)
+            if end >= 0:
+                return found.start(), end + 1, closing, name.lower(), source[at:end]
+        return None
+
+
 def lines_of(source: str) -> list[tuple[str, bool, bool]]:
     """(text, inside content, inside boilerplate) of each line that is not empty, in page order."""
-    out: list[tuple[str, bool, bool, tuple[int, ...]]] = []
-    stack: list[tuple[str, bool, bool, tuple[int, ...]]] = []  # name, content, boilerplate, elements around named as such
+    out: list[tuple[str, bool, bool, int]] = []
+    stack: list[tuple[str, bool, bool, int]] = []  # name, content, boilerplate, innermost element around that is named as such
+    open_names: Counter = Counter()
+    above: list[int] = []  # by named element: the named one around it, or -1
     holders: set[int] = set()  # named elements that hold an article or main
+    unclosed: set[str] = set()  # raw elements that are not closed any more
     text: list[str] = []
-    at, n = 0, len(source)
+    tags, at, n = Tags(source), 0, len(source)
 
     def flush() -> None:
         if text:
             line = _SPACE.sub(" ", html.unescape("".join(text))).strip()
             text.clear()
             if line:
-                _, content, waste, around = stack[-1] if stack else ("", False, False, ())
+                _, content, waste, around = stack[-1] if stack else ("", False, False, -1)
                 out.append((line, content, waste, around))
 
     while at < n:
-        found = _TAG.search(source, at)
+        found = tags.next(at)
         if not found:
             text.append(source[at:])
             break
-        if found.start() > at:
-            text.append(source[at : found.start()])
-        at = found.end()
-        closing, name, attributes = found.groups()
-        if name is None:
+        start, end, closing, name, attributes = found
+        if start > at:
+            text.append(source[at:start])
+        at = end
+        if not name:
             continue
-        name = name.lower()
         if name == "br":
             text.append(" ")
             continue
         if name not in INLINE:
             flush()
         if closing:
-            if name not in LOOSE:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
+            if name not in LOOSE and open_names[name]:
+                while True:
+                    ended = stack.pop()[0]
+                    open_names[ended] -= 1
+                    if ended == name:
                         break
             continue
         if name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(source, at)
+            end = None if name in unclosed else re.compile(rf"</{name}\s*+>", re.I).search(source, at)
+            if not end:
+                unclosed.add(name)
             at = end.end() if end else (n if name in ("script", "style") else at)
             if name not in INLINE:
                 flush()
             continue
-        if name in VOID or name in LOOSE or (attributes or "").rstrip().endswith("/"):
+        if name in VOID or name in LOOSE or attributes.rstrip().endswith("/"):
             continue
-        _, content, waste, around = stack[-1] if stack else ("", False, False, ())
-        named, role, hidden = _marks(attributes or "")
+        _, content, waste, around = stack[-1] if stack else ("", False, False, -1)
+        named, role, hidden = _marks(attributes)
         inner_header = name == "header" and content
         if (name in CONTENT or role in ("main", "article")) and not waste:
-            holders.update(around)
+            k = around
+            while k >= 0 and k not in holders:
+                holders.add(k)
+                k = above[k]
         content = content or name in CONTENT or role in ("main", "article")
         waste = waste or (name in BOILERPLATE and not inner_header) or role in ROLES or hidden
         if named and name not in ("body", "html", "article", "main"):
-            around = (*around, at)
+            above.append(around)
+            around = len(above) - 1
         stack.append((name, content, waste, around))
+        open_names[name] += 1
     flush()
-    return _without_wrappers(out, holders)
+    return _without_wrappers(out, above, holders)
 
 
-def _without_wrappers(lines: list[tuple[str, bool, bool, tuple[int, ...]]], holders: set[int]) -> list[tuple[str, bool, bool]]:
+def _without_wrappers(lines: list[tuple[str, bool, bool, int]], above: list[int], holders: set[int]) -> list[tuple[str, bool, bool]]:
     """Lines inside named elements are boilerplate, unless the element wraps the page's content.
 
     That is so where no article or main stands outside named elements: then those that hold
     one are wrappers, or, without any, those with over half of the page's letters.
     """
-    wrappers: set[int] = set()
-    if any(around for _, _, _, around in lines) and not any(content and not waste and not around for _, content, waste, around in lines):
-        wrappers = holders
-        if not any(content and not waste and holders.issuperset(around) for _, content, waste, around in lines):
-            sizes: dict[int, int] = defaultdict(int)
+
+    def inside(wrappers: set[int]) -> list[bool]:
+        """By named element: whether it and all named ones around it are wrappers; the last, for none, holds."""
+        whole = [True] * (len(above) + 1)
+        for k, over in enumerate(above):
+            whole[k] = k in wrappers and whole[over]
+        return whole
+
+    clear = inside(set())
+    if above and not any(content and not waste and clear[around] for _, content, waste, around in lines):
+        clear = inside(holders)
+        if not any(content and not waste and clear[around] for _, content, waste, around in lines):
+            sizes = [0] * (len(above) + 1)
             for t, _, waste, around in lines:
-                for k in around if not waste else ():
-                    sizes[k] += len(t)
-            half = sum(len(t) for t, _, waste, _ in lines if not waste) / 2
-            wrappers = holders | {k for k, n in sizes.items() if n > half}
-    return [(t, content, waste or not wrappers.issuperset(around)) for t, content, waste, around in lines]
+                sizes[around] += len(t) if not waste else 0
+            half = sum(sizes) / 2
+            for k in range(len(above) - 1, -1, -1):
+                sizes[above[k]] += sizes[k]
+            clear = inside(holders | {k for k in range(len(above)) if sizes[k] > half})
+    return [(t, content, waste or not clear[around]) for t, content, waste, around in lines]
 
 
 def _marks(attributes: str) -> tuple[bool, str, bool]:
@@ -160,36 +232,77 @@ def _marks(attributes: str) -> tuple[bool, str, bool]:
 
 
 def common_lines(a: list[int], b: list[int]) -> set[int]:
-    """Positions in ``a`` of one longest common subsequence with ``b`` (Hunt and Szymanski)."""
-    lo = 0
-    while lo < min(len(a), len(b)) and a[lo] == b[lo]:
+    """Positions in ``a`` of one longest common subsequence with ``b``.
+
+    Lines that the other page lacks and then common ends go first; the rest is aligned by the
+    bit-parallel recurrence, one addition over all lines of ``b`` for each line of ``a``.
+    """
+    theirs, mine = set(b), set(a)
+    own = [k for k, x in enumerate(a) if x in theirs]
+    other = [x for x in b if x in mine]
+    lo, up, least = 0, 0, min(len(own), len(other))
+    while lo < least and a[own[lo]] == other[lo]:
         lo += 1
-    up = 0
-    while up < min(len(a), len(b)) - lo and a[-1 - up] == b[-1 - up]:
+    while up < least - lo and a[own[-1 - up]] == other[-1 - up]:
         up += 1
-    where: dict[int, list[int]] = defaultdict(list)
-    for k in range(len(b) - up - 1, lo - 1, -1):
-        where[b[k]].append(k)
-    tails: list[int] = []
-    links: list[tuple] = []
-    for k in range(lo, len(a) - up):
-        for j in where.get(a[k], ()):  # descending, so that one line is used once
-            at = bisect_left(tails, j)
-            link = (k, links[at - 1] if at else None)
-            if at == len(tails):
-                tails.append(j)
-                links.append(link)
-            else:
-                tails[at] = j
-                links[at] = link
-    out = {*range(lo), *range(len(a) - up, len(a))}
-    link = links[-1] if links else None
-    while link:
-        out.add(link[0])
-        link = link[1]
+    out = {*own[:lo], *own[len(own) - up :]}
+    own, other = own[lo : len(own) - up], other[lo : len(other) - up]
+    todo = [(own, other)]
+    while todo:
+        part, other = todo.pop()
+        if not part or not other:
+            continue
+        if len(part) * len(other) <= TABLE_BITS or len(part) == 1:
+            out.update(_aligned(a, part, other))
+            continue
+        # too large for a table: halve one side where both halves together reach the best (Hirschberg)
+        half = len(part) // 2
+        left = _lengths([a[k] for k in part[:half]], other)
+        right = _lengths([a[k] for k in reversed(part[half:])], other[::-1])
+        cut = int((left + right[::-1]).argmax())
+        todo += [(part[:half], other[:cut]), (part[half:], other[cut:])]
     return out
 
 
+def _steps(a: Iterable[int], b: list[int]) -> Iterator[int]:
+    """After each line of ``a``, the bits of ``b``: 0 where one more line of ``b`` makes a longer common subsequence."""
+    where: dict[int, int] = defaultdict(int)
+    for k, x in enumerate(b):
+        where[x] |= 1 << k
+    whole = state = (1 << len(b)) - 1
+    for x in a:
+        matched = state & where.get(x, 0)
+        state = ((state + matched) | (state - matched)) & whole
+        yield state
+
+
+def _bits(state: int, n: int) -> bytes:
+    return state.to_bytes((n + 7) // 8, "little")
+
+
+def _lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` with each beginning of ``b``."""
+    state = 0
+    for state in _steps(a, b):
+        pass
+    gains = np.unpackbits(np.frombuffer(_bits(state, len(b)), dtype=np.uint8), count=len(b), bitorder="little") == 0
+    return np.concatenate(([0], np.cumsum(gains)))
+
+
+def _aligned(a: list[int], part: list[int], b: list[int]) -> Iterator[int]:
+    rows = [_bits(state, len(b)) for state in _steps((a[k] for k in part), b)]
+    i, j = len(part), len(b)
+    while i and j:
+        byte, bit = (j - 1) >> 3, 1 << ((j - 1) & 7)
+        if rows[i - 1][byte] & bit:
+            j -= 1
+            continue
+        i -= 1
+        if not i or rows[i - 1][byte] & bit:
+            j -= 1
+            yield part[i]
+
+
 def candidates(lines: list[tuple[str, bool, bool]]) -> list[tuple[int, str, bool]]:
     """(place, text, inside content) of the lines outside boilerplate, which may stay."""
     return [(k, t, content) for k, (t, content, waste) in enumerate(lines) if not waste]
@@ -216,26 +329,25 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
     for the lines, which so cross the network once, packed, and are stored nowhere.
     """
     spark = pages.sparkSession
-    small_batches(spark, 256)
+    plain = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(source).alias("html"))
     address = F.regexp_replace(F.lower(F.coalesce(F.col("url"), F.lit(""))), r"^[a-z][a-z0-9+.-]*://", "")
     host = F.regexp_extract(address, r"^([^/?#]*)", 1)
     path = F.regexp_extract(address, r"^[^/?#]*([^?#]*)", 1)
-    plain = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(source).alias("html"))
     # equal rows share an identity, and with it the neighbour of one of them
     plain = plain.withColumn("row", F.xxhash64("page_id", "url", "html"))
 
     def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in frames_in_portions(frames):
             yield frame[["row", "host", "path"]].assign(keys=[line_keys(lines_of(h or "")) for h in frame["html"]])
 
     def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in frames_in_portions(frames):
             lines = [lines_of(h or "") for h in frame["html"]]
             kept = [zlib.compress(json.dumps(candidates(x), ensure_ascii=False).encode("utf-8", "surrogatepass"), 6) for x in lines]
             yield frame[["row", "page_id", "url"]].assign(keys=[line_keys(x) for x in lines], lines=kept)
 
     def differenced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in frames_in_portions(frames):
             texts, n_lines, n_shared = [], [], []
             for pack, keys, other in zip(frame["lines"], frame["keys"], frame["other"], strict=True):
                 lines = json.loads(zlib.decompress(pack).decode("utf-8", "surrogatepass"))
