@@ -2,13 +2,16 @@
 
 ``write_archives`` stores each payload as the samples of an 8-bit grey PNG, a tar archive per
 partition, with an index file of member offsets beside it.  ``MediaArchives`` reads a folder
-of such archives: it plans partitions by byte range from the file sizes alone; a reader takes
-the members that begin in its range, streams them through Arrow in bounded batches, and
-retries each one by itself at its offset.
+of such archives, or of any tar archives of PNG files: it plans partitions by byte range from
+the file sizes alone; a reader takes the members that begin in its range (from the index, or
+without one by hopping from header to header), streams them through Arrow in bounded batches,
+and retries each one by itself at its offset, on a connection opened anew.
 
 Defined results: a null text counts as empty; an empty payload is filled up to one unit; a
-member that still fails after all attempts gives a row with ``error`` set and null media; an
-empty folder gives no rows; repeated rows give a member each.
+member that still fails after all attempts (one that is no such PNG too) gives a row with
+``error`` set and null media; members of an archive without an index have a null doc_id; an
+empty folder or table gives no rows; repeated rows give a member each; doc_id is a long; a
+member is as long as its text, which a task holds whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from regivane.llm.common import shared_path, small_batches
+from regivane.llm.common import kept_fields, portions, shared_path
 
 UNIT, FILL, WIDTH = 576, 255, 576
 RANGE_BYTES, BATCH_BYTES, ATTEMPTS = 16 << 20, 8 << 20, 4
@@ -37,6 +40,8 @@ SCHEMA = "archive string, member_offset bigint, doc_id bigint, media binary, pay
 
 #: Fixed value: the eight bytes that begin every PNG file.
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
+#: What an index entry knows of its member.
+_DOC, _CRC = 1, 2
 _INDEX = np.dtype([("header", "<i8"), ("data", "<i8"), ("size", "<i8"), ("doc_id", "<i8"), ("crc", "<u4"), ("known", "<u4")])
 
 
@@ -107,7 +112,6 @@ def write_archives(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: s
     Names depend on the partition alone and files appear whole, so a task that runs again
     after a lost executor writes the same files over.
     """
-    small_batches(docs.sparkSession, 256)
     filesystem, root = _file_system(folder)
     filesystem.create_dir(root, recursive=True)
 
@@ -118,14 +122,14 @@ def write_archives(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: s
         index: list[tuple] = []
         at = 0
         with filesystem.open_output_stream(part) as out:
-            for batch in batches:
+            for batch in portions(batches):
                 for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     media = encode_png(payload_of(value))
                     info = tarfile.TarInfo(f"{len(index):09d}.png")
                     info.size = len(media)
                     head = info.tobuf(tarfile.GNU_FORMAT)
                     out.write(head + media + bytes(-len(media) % 512))
-                    index.append((at, at + len(head), len(media), doc or 0, zlib.crc32(media), doc is not None))
+                    index.append((at, at + len(head), len(media), doc or 0, zlib.crc32(media), _CRC | (_DOC if doc is not None else 0)))
                     at += len(head) + len(media) + -len(media) % 512
             out.write(bytes(1024))
         if index:
@@ -175,30 +179,66 @@ class ArchiveReader(DataSourceReader):
         if not partition.archive:
             return
         filesystem, _ = _file_system(self.folder)
-        with filesystem.open_input_stream(f"{partition.archive}.idx") as f:
-            index = np.frombuffer(f.read(), dtype=_INDEX)
-        own = index[(index["header"] >= partition.first) & (index["header"] < partition.last)]
+        handle = _Handle(filesystem, partition.archive)
+        try:
+            index = filesystem.open_input_stream(f"{partition.archive}.idx")
+        except FileNotFoundError:
+            index = None
+        if index:
+            with index:
+                entries = np.frombuffer(index.read(), dtype=_INDEX)
+            own = entries[(entries["header"] >= partition.first) & (entries["header"] < partition.last)]
+        else:
+            own = headers(handle.read_at, partition.first, partition.last)
         rows, size = [], 0
-        with filesystem.open_input_file(partition.archive) as handle:
-            for entry in own:
-                media, payload, error = read_member(lambda at, n: handle.read_at(n, at), entry)
-                doc = int(entry["doc_id"]) if entry["known"] else None
-                rows.append((partition.archive, int(entry["header"]), doc, media, payload, error))
-                size += len(media or b"") + len(payload or b"")
-                if size > BATCH_BYTES:
-                    yield _batch(rows)
-                    rows, size = [], 0
+        for entry in own:
+            media, payload, error = read_member(handle.read_at, entry)
+            doc = int(entry["doc_id"]) if entry["known"] & _DOC else None
+            rows.append((partition.archive, int(entry["header"]), doc, media, payload, error))
+            size += len(media or b"") + len(payload or b"")
+            if size > BATCH_BYTES:
+                yield _batch(rows)
+                rows, size = [], 0
         if rows:
             yield _batch(rows)
 
 
+class _Handle:
+    """An open archive; after an error the next read opens it anew."""
+
+    def __init__(self, filesystem: fs.FileSystem, path: str):
+        self.filesystem, self.path, self.file = filesystem, path, None
+
+    def read_at(self, at: int, n: int) -> bytes:
+        try:
+            if self.file is None:
+                self.file = self.filesystem.open_input_file(self.path)
+            return bytes(self.file.read_at(n, at))
+        except OSError:
+            self.file = None
+            raise
+
+
+def headers(read_at: Callable[[int, int], bytes], first: int, last: int) -> Iterator[np.void]:
+    """Index entries of an archive's files whose headers begin in a range, found from header to header."""
+    at = 0
+    while at < last:
+        head = read_at(at, tarfile.BLOCKSIZE)
+        if len(head) < tarfile.BLOCKSIZE or not any(head):
+            return
+        info = tarfile.TarInfo.frombuf(head, tarfile.ENCODING, "surrogateescape")
+        if at >= first and info.isreg():
+            yield np.array([(at, at + tarfile.BLOCKSIZE, info.size, 0, 0, 0)], dtype=_INDEX)[0]
+        at += tarfile.BLOCKSIZE + info.size + -info.size % tarfile.BLOCKSIZE
+
+
 def read_member(read_at: Callable[[int, int], bytes], entry, attempts: int = ATTEMPTS, pause: float = 0.05):
     """(media, payload, error) of one member; each attempt reads it anew at its offset."""
     error = ""
     for attempt in range(attempts):
         try:
             media = bytes(read_at(int(entry["data"]), int(entry["size"])))
-            if len(media) != entry["size"] or zlib.crc32(media) != entry["crc"]:
+            if len(media) != entry["size"] or (entry["known"] & _CRC and zlib.crc32(media) != entry["crc"]):
                 raise ValueError("stored bytes differ from the index")
             return media, decode_png(media), None
         except (OSError, ValueError, zlib.error, struct.error) as e:
@@ -221,12 +261,11 @@ def read_archives(spark: SparkSession, folder: str, range_bytes: int = RANGE_BYT
 
 def with_features(media: DataFrame, payload: str = "payload", out: str = "feature") -> DataFrame:
     """Append ``out``: the feature text of each payload (null: null)."""
-    schema = T.StructType([*(f for f in media.schema if f.name != out), T.StructField(out, T.StringType())])
+    schema = T.StructType([*kept_fields(media, [out]), T.StructField(out, T.StringType())])
     names = [f.name for f in schema][:-1]
-    small_batches(media.sparkSession, 256)
 
     def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             features = [None if p is None else feature_of(p) for p in batch.column(batch.schema.get_field_index(payload)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in names), pa.array(features, pa.string())], [*names, out])
 
