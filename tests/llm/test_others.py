@@ -1,6 +1,7 @@
 import math
 import random
 import tarfile
+import time
 import zlib
 
 import numpy as np
@@ -157,6 +158,39 @@ def test_common_lines():
         assert all(a[k] in rest for k in got)
 
 
+def test_alignment_halved(monkeypatch):
+    """A table of few bits is put together from halves."""
+    monkeypatch.setattr(html_text, "TABLE_BITS", 40)
+    test_common_lines()
+
+
+def test_odd_markup_takes_linear_time():
+    for part in ('<a href="', "<a ", "<!", "</x>", "<div class=ad>", "<textarea>", "<a \"<b '", "<p>same line"):
+        began = time.process_time()
+        html_text.lines_of(part * 50_000)
+        assert time.process_time() - began < 8, part
+    html_text.lines_of("<a " + "x" * 1_000_000 + ">")
+    began = time.process_time()
+    assert len(html_text.common_lines([1, *[7] * 100_000, 2], [3, *[7] * 99_000, 4])) == 99_000
+    assert time.process_time() - began < 8
+
+
+def test_word_named_blocks_of_an_article_stay():
+    for name in ("related-work", "side-effects", "share-price"):
+        lines = html_text.lines_of(f"<article><p>Text</p><div class='{name}'><p>More</p></div></article>")
+        assert [t for t, _, waste in lines if not waste] == ["Text", "More"]
+
+
+def test_repeated_rows_and_long_pages(spark):
+    long = "<article>" + "".join(f"<p>Line {k} of a long page</p>" for k in range(20_000)) + "</article>"
+    rows = [(1, "http://a.example/1", "<article><p>One</p></article>")] * 3 + [(2, "http://a.example/2", long), (None, "http://a.example/3", "<p>No id</p>")]
+    table = spark.createDataFrame(rows, "page_id bigint, link string, html string").withColumn("url", F.lit("http://x.example/"))
+    got = html_text.extract(table, url="link").collect()
+    assert sorted((r.page_id or 0, r.url) for r in got) == sorted((i or 0, u) for i, u, _ in rows)
+    assert [r.text for r in got if r.page_id == 1] == ["One"] * 3
+    assert [len(r.text.split("\n\n")) for r in got if r.page_id == 2] == [20_000]
+
+
 # ---- media ----
 
 
@@ -183,9 +217,47 @@ def test_archives_are_tar_and_ranges_cover_them(spark, odd, tmp_path):
     assert media.read_archives(spark, folder, range_bytes=700).count() == odd.count()
 
 
+def test_ordinary_archives(spark, tmp_path):
+    """Tar files without an index, in three formats; what is no such picture has an error."""
+    import io
+
+    good = [media.encode_png(media.payload_of(t)) for t in ("one", "two " * 900, "")]
+    for n, form in enumerate((tarfile.GNU_FORMAT, tarfile.PAX_FORMAT, tarfile.USTAR_FORMAT)):
+        with tarfile.open(tmp_path / f"a{n}.tar", "w", format=form) as tar:
+            for k, data in enumerate([*good, b"no picture"]):
+                info = tarfile.TarInfo(f"{'long/' * (30 if n < 2 else 1)}é{k}.png")
+                info.size = len(data)
+                tar.addfile(info, io.BytesIO(data))
+    for size in (700, 1 << 20):
+        rows = media.read_archives(spark, str(tmp_path), range_bytes=size).collect()
+        assert len(rows) == 12 and all(r.doc_id is None for r in rows)
+        assert sorted(bytes(r.media) for r in rows if r.error is None) == sorted(good * 3)
+        assert [r.media for r in rows if r.error] == [None] * 3
+
+
+def test_connection_is_opened_anew():
+    class Flaky:
+        opened = 0
+
+        def open_input_file(self, path):
+            Flaky.opened += 1
+            return self
+
+        def read_at(self, n, at):
+            if Flaky.opened < 3:
+                raise OSError("connection lost")
+            return b"x" * n
+
+    handle = media._Handle(Flaky(), "a.tar")
+    for _ in range(2):
+        with pytest.raises(OSError):
+            handle.read_at(0, 4)
+    assert handle.read_at(0, 4) == b"xxxx" == handle.read_at(9, 4) and Flaky.opened == 3
+
+
 def test_members_are_retried_one_by_one():
     good = media.encode_png(media.payload_of("text"))
-    entry = {"data": 3, "size": len(good), "crc": zlib.crc32(good)}
+    entry = {"data": 3, "size": len(good), "crc": zlib.crc32(good), "known": 3}
     calls = []
 
     def flaky(at, n):
