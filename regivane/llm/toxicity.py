@@ -6,8 +6,17 @@ and obfuscated words.  Trees are fitted on a bounded sample of labelled rows; fo
 lexicon features come from the other half of the sample, so they look as on new rows.  Raw
 scores are turned into probabilities by isotonic regression over cross-fitted raw scores.
 
+A lexicon key is kept where its smoothed rate in toxic rows is over ``LEAST_ODDS`` times that
+in clean ones and enough toxic rows have it, whatever the share of toxic rows.
+
 Defined results: null and empty texts have all-zero features and get the score of those; with
-no labelled rows, or labels of one kind, the score is the share of toxic labels (0 if none).
+no labelled rows, or labels of one kind, the score is the share of toxic labels (0 if none);
+where labels are so few that a calibration fold cannot be fitted without them, the other folds
+calibrate, and where none can, the trees' own scores.  Repeated rows are scored each for
+itself (labelled ones count as often as they stand); an empty table gives no rows; other
+columns pass through, but for one named as the output in whichever case, which is replaced; a
+text of any length is read whole, and what is kept between texts (short runs only) does not
+grow with it; words of more than ``MEMO_CHARS`` characters are keys by their beginnings alone.
 """
 
 from __future__ import annotations
@@ -24,11 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regivane.llm.common import UNICODE_SPACE, TwoGenerationCache, materialise, per_process, small_batches
+from regivane.llm.common import MEMO_CHARS, UNICODE_SPACE, TwoGenerationCache, discard, frames_in_portions, kept_fields, materialise, per_process, portions
 
 #: Labelled rows that the trees, the lexicon and the calibration are fitted on, at most about.
 TRAINING_ROWS = 20_000
 LEXICON_ENTRIES = 4_000
+LEAST_ODDS = 8.0
 PREFIXES = (4, 5, 6)
 FOLDS = 5
 
@@ -46,7 +56,7 @@ FEATURES = ("hits", "hit_rate", "weight_rate", "weight_max", "you_near", "you_ra
 
 def keys_of(word: str) -> list[str]:
     """Lexicon keys of a word: itself and its beginnings."""
-    return [f"={word}", *(f"^{word[:n]}" for n in PREFIXES if len(word) >= n)]
+    return [*([f"={word}"] if len(word) <= MEMO_CHARS else []), *(f"^{word[:n]}" for n in PREFIXES if len(word) >= n)]
 
 
 class Lexicon:
@@ -114,9 +124,9 @@ class Extractor:
 
 
 class Trees:
-    """Boosted regression trees on the logistic loss, split on quantile bins."""
+    """Boosted regression trees on the logistic loss, split on quantile bins; ``least`` rows on each side of a split."""
 
-    def __init__(self, rounds: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 64, least: float = 2.0):
+    def __init__(self, rounds: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 64, least: int = 4):
         self.rounds, self.depth, self.rate, self.bins, self.least = rounds, depth, rate, bins, least
         self.start, self.trees = 0.0, []
 
@@ -145,10 +155,11 @@ class Trees:
                 at = node * size + binned[:, f]
                 g = np.bincount(at, gradient, width * size).reshape(width, size)
                 h = np.bincount(at, hessian, width * size).reshape(width, size)
-                gl, hl = g.cumsum(1)[:, :-1], h.cumsum(1)[:, :-1]
+                n = np.bincount(at, minlength=width * size).reshape(width, size)
+                gl, hl, nl = g.cumsum(1)[:, :-1], h.cumsum(1)[:, :-1], n.cumsum(1)[:, :-1]
                 gr, hr = g.sum(1, keepdims=True) - gl, h.sum(1, keepdims=True) - hl
                 gain = gl**2 / (hl + 1) + gr**2 / (hr + 1) - (g.sum(1) ** 2 / (h.sum(1) + 1))[:, None]
-                gain[(hl < self.least) | (hr < self.least)] = 0
+                gain[(nl < self.least) | (n.sum(1, keepdims=True) - nl < self.least)] = 0
                 if not gain.size:
                     continue
                 for k in range(width):
@@ -210,14 +221,13 @@ class Model:
 def _lexicon(stats: pd.DataFrame, toxic: float, clean: float, size: int, tox: str, rest: str, least: int = 3) -> Lexicon:
     """Keys that are far commoner in toxic rows, with their log-odds."""
     odds = np.log((stats[tox] + 0.2) / (toxic + 1)) - np.log((stats[rest] + 0.2) / (clean + 1))
-    keep = stats.assign(odds=odds)[(odds > np.log(8)) & (stats[tox] >= least)].sort_values(["odds", "key"], ascending=[False, True]).head(size)
+    keep = stats.assign(odds=odds)[(odds > np.log(LEAST_ODDS)) & (stats[tox] >= least)].sort_values(["odds", "key"], ascending=[False, True]).head(size)
     return Lexicon(dict(zip(keep["key"], keep["odds"].astype(float), strict=True)))
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", rows: int = TRAINING_ROWS) -> Model:
     """Fit on about ``rows`` rows of ``labelled`` (text, label, key), taken by key hash; others are not read as text."""
     spark = labelled.sparkSession
-    small_batches(spark)
     labelled = labelled.where(F.col(label).isNotNull() & F.col(key).isNotNull())
     hashed = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 20))
     share = min(1.0, rows / max(1, labelled.select(key).count()))
@@ -228,25 +238,30 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str
     toxic, clean = (sum(v for (_, y), v in n.items() if y == k) for k in (1, 0))
     if not toxic or not clean:
         return Model(Lexicon({}), None, None, toxic / max(1.0, toxic + clean))
-    stats = _key_counts(sample).toPandas()
+    stats = _key_counts(sample, n).toPandas()
     full = _lexicon(stats.assign(t=stats.t0 + stats.t1, c=stats.c0 + stats.c1), toxic, clean, LEXICON_ENTRIES, "t", "c")
     # a row's half sees the lexicon of the other half
     half = [_lexicon(stats, n.get((k, 1), 0.0), n.get((k, 0), 0.0), LEXICON_ENTRIES, f"t{k}", f"c{k}", 2) for k in (1, 0)]
     frame = _feature_rows(sample, half).toPandas()
+    discard(sample)
     x, y, part = np.array(frame["x"].tolist()), frame["y"].to_numpy(float), frame["part"].to_numpy()
     # each row's raw score for the calibration comes from trees that have not seen it
-    raw = np.zeros(len(y))
+    raw, used, trees = np.zeros(len(y)), np.zeros(len(y), dtype=bool), Trees().fit(x, y)
     for fold in range(FOLDS):
         own = part % FOLDS == fold
         if own.any() and len(set(y[~own])) == 2:
             raw[own] = Trees().fit(x[~own], y[~own]).raw(x[own])
-        else:
-            return Model(full, None, None, toxic / (toxic + clean))
-    return Model(full, Trees().fit(x, y), isotonic(raw, y))
+            used |= own
+    if len(set(y[used])) < 2:
+        raw, used = trees.raw(x), np.ones(len(y), dtype=bool)
+    return Model(full, trees, isotonic(raw[used], y[used]))
+
 
+def _key_counts(sample: DataFrame, n: dict[tuple[int, int], float]) -> DataFrame:
+    """Rows by lexicon key, half and label, of the keys that :func:`_lexicon` can take for either half or for both.
 
-def _key_counts(sample: DataFrame) -> DataFrame:
-    """Documents by lexicon key, half and label; keys of fewer than two toxic documents are of no use."""
+    ``n`` has the rows by half and label.
+    """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {name: Counter() for name in ("t0", "t1", "c0", "c1")}
@@ -260,7 +275,7 @@ def _key_counts(sample: DataFrame) -> DataFrame:
             for c in sums.values():
                 c.clear()
 
-        for batch in batches:
+        for batch in portions(batches):
             for text, y, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = {w.lower() for w in _WORD.findall(text)}
                 sums[f"{'t' if y else 'c'}{part % 2}"].update({k for w in words for k in keys_of(w)})
@@ -270,7 +285,13 @@ def _key_counts(sample: DataFrame) -> DataFrame:
 
     parts = sample.mapInArrow(counted, "key string, t0 bigint, t1 bigint, c0 bigint, c1 bigint")
     summed = parts.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("t0", "t1", "c0", "c1")))
-    return summed.where((F.col("t0") + F.col("t1") >= 2) & (F.col("t0") + F.col("t1") > (F.col("c0") + F.col("c1")) / 2))
+    rows = [n.get(k, 0.0) for k in ((0, 1), (1, 1), (0, 0), (1, 0))]
+    t0, t1, c0, c1 = (F.col(c) for c in ("t0", "t1", "c0", "c1"))
+    keep = F.lit(False)
+    for t, c, toxic, clean in ((t0, c0, rows[0], rows[2]), (t1, c1, rows[1], rows[3]), (t0 + t1, c0 + c1, rows[0] + rows[1], rows[2] + rows[3])):
+        # a little below the limit, which is applied afterwards in the same arithmetic for all
+        keep |= (t >= 2) & ((t + 0.2) / (toxic + 1) > 0.999 * LEAST_ODDS * (c + 0.2) / (clean + 1))
+    return summed.where(keep)
 
 
 def _feature_rows(sample: DataFrame, halves: list[Lexicon]) -> DataFrame:
@@ -278,7 +299,7 @@ def _feature_rows(sample: DataFrame, halves: list[Lexicon]) -> DataFrame:
 
     def extracted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         by_half = [Extractor(Lexicon(w)) for w in sent.value]
-        for frame in frames:
+        for frame in frames_in_portions(frames):
             x = [by_half[part % 2].features(t) for t, part in zip(frame["text"], frame["part"], strict=True)]
             yield pd.DataFrame({"x": x, "y": frame["y"], "part": frame["part"]})
 
@@ -288,9 +309,8 @@ def _feature_rows(sample: DataFrame, halves: list[Lexicon]) -> DataFrame:
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "toxicity") -> DataFrame:
     """Append ``out`` (0 to 1) for the whole text; all other columns pass through."""
     spark = docs.sparkSession
-    small_batches(spark)
     sent = spark.sparkContext.broadcast(pickle.dumps(model))
-    schema = T.StructType([*(f for f in docs.schema if f.name != out), T.StructField(out, T.DoubleType())])
+    schema = T.StructType([*kept_fields(docs, [out]), T.StructField(out, T.DoubleType())])
     names = [f.name for f in schema][:-1]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,7 +319,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "toxicit
             return model, Extractor(model.lexicon)
 
         model, extractor = per_process(("toxicity", hash(sent.value)), make)
-        for batch in batches:
+        for batch in portions(batches):
             x = np.array([extractor.features(t or "") for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]).reshape(-1, len(FEATURES))
             kept = [batch.column(batch.schema.get_field_index(c)) for c in names]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(model.score(x))], [*names, out])
