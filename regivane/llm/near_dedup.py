@@ -7,15 +7,23 @@ point whose weight position the document's count covers.  Two registers agree wi
 the probability of the weighted Jaccard similarity.  Processes stop once they are later than
 every register.
 
+The splits of an interval by a point's position are drawn at once, as one uniform number,
+and not level by level; the points have the same distribution.
+
 Equal multisets collapse first.  Bands of registers link each document to the least one of
-its bucket, and linked documents form candidate groups.  Inside a group the exact multiset
-overlap is counted: for each document against all others at once, in blocks of bounded size,
-block pairs spread over tasks.  Only links that join two classes leave a block, so nothing
-grows with the square of a group.  Classes are the components of verified links.
+its bucket; the exact multiset overlap of each linked pair decides, and the components of
+links that hold are first classes.  A bucket whose members are of one class is settled.  In
+the others, every member is compared with all others exactly: the bucket is dealt into blocks
+of bounded size, block pairs are spread over tasks, and an index of shared shingles in each
+block finds who overlaps.  Only links that join two
+classes leave a block, so nothing grows with the square of a bucket but the exact work on
+what no link has settled.  Classes are the components of verified links.
 
 Defined results: texts without a word are alike only if equal (null counts as empty); fewer
-than five words make one shingle; the class id is the least doc_id of the class; rows with
-null doc_id get a null class; repeated rows share a class; an empty table gives no rows.
+than five words make one shingle; the class id is the least doc_id of the class; ids are of
+any one type; rows with null doc_id get a null class; repeated rows share a class; an empty
+table gives no rows; other columns are ignored; a text of any length is read whole, a task
+holds its shingles, and what is kept between texts (short words only) does not grow with it.
 """
 
 from __future__ import annotations
@@ -30,13 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regivane.llm.common import materialise, per_process, small_batches
+from regivane.llm.common import MEMO_CHARS, discard, materialise, per_process, portions
 from regivane.llm.components import components
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 6
 #: Shingles in one block of a candidate group.
-BLOCK_ELEMENTS = 400_000
+BLOCK_ELEMENTS = 100_000
 #: Ids that may be broadcast, 8 bytes each; beyond this a join shuffles.
 BROADCAST_IDS = 1_000_000
 
@@ -67,7 +75,11 @@ class Shingler:
                 memo.clear()
                 fresh = set(words)
             memo.update((w, xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))) for w in fresh)
-        return np.fromiter(map(memo.__getitem__, words), dtype=np.uint64, count=len(words))
+        out = np.fromiter(map(memo.__getitem__, words), dtype=np.uint64, count=len(words))
+        for w in fresh:
+            if len(w) > MEMO_CHARS:
+                del memo[w]
+        return out
 
     def hashes(self, text: str) -> np.ndarray:
         words = _WORD.findall(text.lower())
@@ -138,11 +150,10 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def signatures(docs: DataFrame, doc_id: str, text: str, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, print binary, size long, bands array<long>): fingerprint of the shingle multiset and its band keys."""
-    small_batches(docs.sparkSession)
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = per_process(("shingler", WORDS), Shingler)
-        for batch in batches:
+        for batch in portions(batches):
             with np.errstate(over="ignore"):
                 texts = [t or "" for t in batch.column(1).to_pylist()]
                 hashes = [shingler.hashes(t) for t in texts]
@@ -162,48 +173,86 @@ def signatures(docs: DataFrame, doc_id: str, text: str, bands: int = BANDS, rows
 
 
 def with_ids(df: DataFrame, ids: DataFrame, column: str, how: str = "left_semi") -> DataFrame:
-    """Rows whose ``column`` is (``left_anti``: is not) in ``ids``; these are broadcast only below a checked count."""
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+    """Rows whose ``column`` is (``left_anti``: is not) in ``ids``; numbers are broadcast below a checked count."""
+    if ids.schema[column].dataType.simpleString() in ("int", "bigint") and ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     return df.join(ids, column, how)
 
 
+def _overlap(a: np.ndarray, b: np.ndarray) -> int:
+    return len(np.intersect1d(a, b, assume_unique=True))
+
+
+def alike(both, a, b, similarity: float):
+    """Whether an overlap of two multisets of given sizes is a weighted Jaccard similarity of at least ``similarity``."""
+    return both >= similarity * (a + b - both) - 1e-9
+
+
+def verified_pairs(texts: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) of at least ``similarity``; ``texts`` has (doc_id, text), one row a document."""
+    kind = pairs.schema["a"].dataType.simpleString()
+    own = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("one")), "a")
+    # plain shuffles on both sides, so that the rows of a document that many link to can be split
+    both = own.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("two")), "b").select("a", "b", "one", "two")
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = per_process(("shingler", WORDS), Shingler)
+        for batch in portions(batches):
+            known: dict[str, np.ndarray] = {}  # a linked document stands in many rows
+            marks = []
+            with np.errstate(over="ignore"):
+                for one, two in zip(batch.column("one").to_pylist(), batch.column("two").to_pylist(), strict=True):
+                    x, y = (known[t] if t in known else known.setdefault(t, elements(shingler.hashes(t))) for t in (one or "", two or ""))
+                    smaller, larger = sorted((len(x), len(y)))
+                    marks.append(smaller >= similarity * larger - 1e-9 and alike(_overlap(x, y), len(x), len(y), similarity))
+            yield batch.select(["a", "b"]).filter(pa.array(marks, pa.bool_()))
+
+    return both.mapInArrow(kept, f"a {kind}, b {kind}")
+
+
 def verified_links(docs: DataFrame, groups: DataFrame, doc_id: str, text: str, similarity: float = SIMILARITY, block_elements: int = BLOCK_ELEMENTS) -> DataFrame:
     """(a, b) links of at least ``similarity`` that join the classes of each candidate group.
 
-    ``groups`` has (doc_id, root, size).  A group is dealt into blocks by hash; every pair of
-    blocks meets in one task, whatever the size of the group.
+    ``groups`` has (doc_id, root, size) and, if classes are known already, class.  A group is
+    dealt into blocks by hash; every pair of blocks meets in one task, whatever its size.
     """
+    if "class" not in groups.columns:
+        groups = groups.withColumn("class", F.col("doc_id"))
     blocks = groups.groupBy("root").agg(F.ceil(F.sum("size") / block_elements).cast("int").alias("n"))
-    dealt = groups.join(blocks, "root").select("doc_id", "root", "n", F.pmod(F.xxhash64("doc_id"), F.col("n")).cast("int").alias("block"))
+    dealt = groups.join(blocks, "root").select("doc_id", "root", "class", "n", F.pmod(F.xxhash64("doc_id"), F.col("n")).cast("int").alias("block"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    dealt = dealt.select("doc_id", "root", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block")
+    dealt = dealt.select("doc_id", "root", "class", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block")
     texts = with_ids(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), groups.select("doc_id"), "doc_id")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = texts.join(dealt, "doc_id").repartition(parts, "root", "one", "two").sortWithinPartitions("root", "one", "two", "doc_id")
+    kind = docs.schema[doc_id].dataType.simpleString()
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = per_process(("shingler", WORDS), Shingler)
-        key, members = None, []
-        for batch in batches:
-            for doc, value, root, one, two, block in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "text", "root", "one", "two", "block")), strict=True):
+        key, members, ids = None, [], None
+        for batch in portions(batches):
+            ids = batch.schema.field("doc_id").type
+            for doc, value, root, one, two, block, class_ in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "text", "root", "one", "two", "block", "class")), strict=True):
                 if (root, one, two) != key:
                     if len(members) > 1:
-                        yield _links(members, similarity)
+                        yield _links(members, similarity, ids)
                     key, members = (root, one, two), []
                 if not members or members[-1][0] != doc:  # repeated rows
                     with np.errstate(over="ignore"):
-                        members.append((doc, elements(shingler.hashes(value or "")), block if one != two else -1))
+                        members.append((doc, elements(shingler.hashes(value or "")), block if one != two else -1, class_))
         if len(members) > 1:
-            yield _links(members, similarity)
+            yield _links(members, similarity, ids)
 
-    kind = docs.schema[doc_id].dataType.simpleString()
     return met.mapInArrow(linked, f"a {kind}, b {kind}")
 
 
-def _links(members: list, similarity: float) -> pa.RecordBatch:
-    """Links that join classes among the members (of two blocks: between the blocks), by exact overlap."""
-    parent = list(range(len(members)))
+def _links(members: list, similarity: float, kind: pa.DataType) -> pa.RecordBatch:
+    """Links that join classes among the members (of two blocks: between the blocks), by exact overlap.
+
+    Shingles lead to the members that have them, so a member meets only those it overlaps with.
+    """
+    first: dict = {}
+    parent = [first.setdefault(c, k) for k, (_, _, _, c) in enumerate(members)]
 
     def root(k: int) -> int:
         while parent[k] != k:
@@ -211,12 +260,16 @@ def _links(members: list, similarity: float) -> pa.RecordBatch:
             k = parent[k]
         return k
 
-    sizes = np.array([len(e) for _, e, _ in members])
-    codes = np.unique(np.concatenate([e for _, e, _ in members]), return_inverse=True)[1]
-    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    side = np.array([s for _, _, s in members])
-    label = np.arange(len(members))
-    mark = np.zeros(int(codes.max(initial=-1)) + 1, dtype=bool)
+    sizes = np.array([len(e) for _, e, _, _ in members])
+    owner = np.repeat(np.arange(len(members)), sizes)
+    codes, count = np.unique(np.concatenate([e for _, e, _, _ in members]), return_inverse=True, return_counts=True)[1:]
+    shared = count[codes] > 1  # a shingle of one member joins nobody
+    owner, codes = owner[shared], codes[shared]
+    begins = np.concatenate(([0], np.cumsum(np.where(count > 1, count, 0))))
+    having = owner[np.argsort(codes, kind="stable")]
+    starts = np.searchsorted(owner, np.arange(len(members) + 1))
+    side = np.array([s for _, _, s, _ in members])
+    label = np.array(parent)
     a, b = [], []
     for k in range(len(members) - 1):
         # a class's other members need no further look at what is in the class already
@@ -224,20 +277,20 @@ def _links(members: list, similarity: float) -> pa.RecordBatch:
         open_[:k] = False
         if not open_.any():
             continue
-        own = codes[starts[k] : starts[k] + sizes[k]]
-        mark[own] = True
-        shared = np.add.reduceat(mark[codes], starts)
-        mark[own] = False
-        alike = open_ & (shared >= similarity * (sizes + sizes[k] - shared) - 1e-9)
-        for j in np.flatnonzero(alike).tolist():
+        own = codes[starts[k] : starts[k + 1]]
+        lengths = begins[own + 1] - begins[own]
+        at = np.repeat(begins[own] - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths) + np.arange(lengths.sum())
+        both = np.bincount(having[at], minlength=len(members))
+        found = np.flatnonzero(open_ & (both > 0) & alike(both, sizes, sizes[k], similarity))
+        for j in found.tolist():
             x, y = root(k), root(j)
             if x != y:
                 parent[max(x, y)] = min(x, y)
                 a.append(members[k][0])
                 b.append(members[j][0])
-        if alike.any():
+        if len(found):
             label = np.array([root(x) for x in range(len(members))])
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], ["a", "b"])
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -251,12 +304,24 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     first = materialise(signed.where("doc_id IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("exact_id")), "first-copies")
     named = materialise(signed.select("doc_id", "print").join(first, "print", "left"), "exact-classes")
     # one document stands for each multiset; its rows may be repeated
-    stand_ins = with_ids_of(signed, first)
-    banded = stand_ins.select("doc_id", F.explode("bands").alias("band"))
-    links = banded.groupBy("band").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least != most")
-    linked = banded.join(links.select("band", "least"), "band").where("doc_id != least").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
-    groups = materialise(components(linked).withColumnRenamed("id", "doc_id").join(stand_ins.select("doc_id", "size").dropDuplicates(["doc_id"]), "doc_id"), "groups")
-    verified = components(verified_links(docs, groups, doc_id, text, similarity))
+    banded = with_ids_of(signed, first).select("doc_id", "size", F.explode("bands").alias("band"))
+    ends = banded.groupBy("band").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least != most")
+    # members of buckets of several documents
+    banded = materialise(banded.join(ends.select("band", "least"), "band"), "buckets")
+    pairs = materialise(banded.where("doc_id != least").select(F.col("doc_id").alias("a"), F.col("least").alias("b")).distinct(), "band-pairs")
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    some = materialise(with_ids(texts, banded.select("doc_id").distinct(), "doc_id").dropDuplicates(["doc_id"]), "banded-texts")
+    near = materialise(verified_pairs(some, pairs, similarity), "near-pairs")
+    early = components(near)
+    known = banded.join(early.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("class", F.coalesce("root", "doc_id"))
+    known = materialise(known.select("doc_id", "size", "band", "class").distinct(), "bucket-classes")
+    # all members of a bucket of several classes are compared; of buckets with the same members, one is
+    open_ = known.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("members"), F.count("*").alias("n")).where("low != high")
+    open_ = open_.groupBy("members", "n").agg(F.min("band").alias("band")).select("band")
+    groups = materialise(known.join(open_, "band").select("doc_id", F.col("band").alias("root"), "size", "class"), "open-buckets")
+    late = verified_links(some, groups, "doc_id", "text", similarity)
+    verified = components(near.unionByName(late))
+    discard(signed, first, banded, pairs, some, near, known, groups)
     result = named.join(verified.withColumnRenamed("id", "exact_id"), "exact_id", "left")
     return result.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "exact_id")).alias("class_id"), F.when(F.col("doc_id").isNotNull(), F.col("exact_id")).alias("exact_id"))
 
