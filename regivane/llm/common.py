@@ -47,10 +47,6 @@ def frames_in_portions(frames: Iterable[pd.DataFrame], rows: int = 128) -> Itera
             yield frame.iloc[at : at + rows]
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
 def kept_fields(df: DataFrame, added: Iterable[str]) -> list:
     """The fields of ``df`` but for those with an added name, in whichever case, as Spark tells names apart."""
     names = {n.lower() for n in added}

@@ -246,6 +246,27 @@ def verified_links(docs: DataFrame, groups: DataFrame, doc_id: str, text: str, s
     return met.mapInArrow(linked, f"a {kind}, b {kind}")
 
 
+class SharedCodes:
+    """An index of the codes that several members of a block have."""
+
+    def __init__(self, members: list[np.ndarray]):
+        self.n, sizes = len(members), [len(e) for e in members]
+        owner = np.repeat(np.arange(self.n), sizes)
+        codes, count = np.unique(np.concatenate(members), return_inverse=True, return_counts=True)[1:]
+        shared = count[codes] > 1  # a code of one member joins nobody
+        owner, self.codes = owner[shared], codes[shared]
+        self.begins = np.concatenate(([0], np.cumsum(np.where(count > 1, count, 0))))
+        self.having = owner[np.argsort(self.codes, kind="stable")]
+        self.starts = np.searchsorted(owner, np.arange(self.n + 1))
+
+    def overlaps(self, k: int) -> np.ndarray:
+        """How many codes each member has in common with member ``k``."""
+        own = self.codes[self.starts[k] : self.starts[k + 1]]
+        n = self.begins[own + 1] - self.begins[own]
+        at = np.repeat(self.begins[own] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return np.bincount(self.having[at], minlength=self.n)
+
+
 def _links(members: list, similarity: float, kind: pa.DataType) -> pa.RecordBatch:
     """Links that join classes among the members (of two blocks: between the blocks), by exact overlap.
 
@@ -261,13 +282,7 @@ def _links(members: list, similarity: float, kind: pa.DataType) -> pa.RecordBatc
         return k
 
     sizes = np.array([len(e) for _, e, _, _ in members])
-    owner = np.repeat(np.arange(len(members)), sizes)
-    codes, count = np.unique(np.concatenate([e for _, e, _, _ in members]), return_inverse=True, return_counts=True)[1:]
-    shared = count[codes] > 1  # a shingle of one member joins nobody
-    owner, codes = owner[shared], codes[shared]
-    begins = np.concatenate(([0], np.cumsum(np.where(count > 1, count, 0))))
-    having = owner[np.argsort(codes, kind="stable")]
-    starts = np.searchsorted(owner, np.arange(len(members) + 1))
+    index = SharedCodes([e for _, e, _, _ in members])
     side = np.array([s for _, _, s, _ in members])
     label = np.array(parent)
     a, b = [], []
@@ -277,10 +292,7 @@ def _links(members: list, similarity: float, kind: pa.DataType) -> pa.RecordBatc
         open_[:k] = False
         if not open_.any():
             continue
-        own = codes[starts[k] : starts[k + 1]]
-        lengths = begins[own + 1] - begins[own]
-        at = np.repeat(begins[own] - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths) + np.arange(lengths.sum())
-        both = np.bincount(having[at], minlength=len(members))
+        both = index.overlaps(k)
         found = np.flatnonzero(open_ & (both > 0) & alike(both, sizes, sizes[k], similarity))
         for j in found.tolist():
             x, y = root(k), root(j)
