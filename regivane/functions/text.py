@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: White space as Python's strip() sees it.
-_SPACES = "\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_SPACES = "".join(chr(cp) for cp in range(0x3001) if chr(cp).isspace())
 
 # Whole words that the aggressive form writes out.
 ABBREVIATIONS = {
@@ -44,15 +44,16 @@ def fold_table() -> tuple[str, str]:
 
 
 def strip(x: Column) -> Column:
-    return F.regexp_replace(x, f"^[{_SPACES}]+|[{_SPACES}]+$", "")
+    return F.btrim(x, F.lit(_SPACES))
 
 
 def normalize_text(x: Column) -> Column:
     """Lower-case ASCII words with single blanks between; empty and ``nan`` give the empty text, null stays null."""
-    bare = strip(x.cast("string"))
-    folded = F.lower(F.translate(bare, *fold_table()))
+    plain = x.cast("string")
+    folded = F.lower(F.translate(plain, *fold_table()))
     words = F.trim(F.regexp_replace(F.regexp_replace(folded, "[^a-z0-9 ]", " "), " +", " "))
-    return F.when(F.lower(bare) == "nan", F.lit("")).otherwise(words)
+    # the text as written is looked at only where its words are such
+    return F.when((words == "nan") & (F.lower(strip(plain)) == "nan"), F.lit("")).otherwise(words)
 
 
 def normalize_aggressive(x: Column) -> Column:

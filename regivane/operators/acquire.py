@@ -9,10 +9,10 @@ from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import udtf
 
 from regivane import schemas as S
 from regivane.functions import text
@@ -125,30 +125,35 @@ class _Table(HTMLParser):
             cell.append(data)
 
 
-@udtf(returnType="municipio string, c1 string, c2 string, c3 string")
-class TableRows:
-    """Rows of a page of any quality; a page that cannot be parsed gives none."""
-
-    def eval(self, html: str):
-        parser = _Table()
-        try:
-            parser.feed(html or "")
-            parser.close()
-        except (ValueError, AssertionError):
-            return
-        for row in parser.rows:
-            if len(row) >= 4:
-                yield "".join(t.strip() for t in row[0]), "".join(row[1]), "".join(row[2]), "".join(row[3])
+def table_rows(html: str | None) -> Iterator[tuple[str, str, str, str]]:
+    """Name and three cells of the rows of a page of any quality; a page that cannot be parsed gives none."""
+    parser = _Table()
+    try:
+        parser.feed(html or "")
+        parser.close()
+    except (ValueError, AssertionError):
+        return
+    for row in parser.rows:
+        if len(row) >= 4:
+            yield "".join(t.strip() for t in row[0]), "".join(row[1]), "".join(row[2]), "".join(row[3])
 
 
 def extract_rows_tolerant(pages: DataFrame, html: str = "html") -> DataFrame:
     """As :func:`extract_rows` for malformed and nested markup, through the standard library's parser."""
-    spark = pages.sparkSession
-    spark.udtf.register("regivane_table_rows", TableRows)
     meta = [c for c in pages.columns if c != html]
-    pages.createOrReplaceTempView("regivane_pages")
-    cells = spark.sql(f"SELECT {', '.join(f'p.`{c}`' for c in meta)}{',' if meta else ''} r.* FROM regivane_pages p, LATERAL regivane_table_rows(p.`{html}`) r")
-    return _records(cells, meta)
+    cells = ["municipio", "c1", "c2", "c3"]
+    schema = T.StructType([*(pages.schema[c] for c in meta), *(T.StructField(c, T.StringType()) for c in cells)])
+
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                rows = list(table_rows(batch.column(len(meta))[at].as_py()))
+                if rows:
+                    page = pa.array([at] * len(rows), pa.int32())
+                    columns = [batch.column(k).take(page) for k in range(len(meta))]
+                    yield pa.RecordBatch.from_arrays([*columns, *(pa.array(c, pa.string()) for c in zip(*rows, strict=True))], [*meta, *cells])
+
+    return _records(pages.select(*meta, html).mapInArrow(parsed, schema), meta)
 
 
 def with_dimensions(records: DataFrame, id_column: str = "id_estado") -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from regivane import schemas as S
@@ -95,10 +97,23 @@ def match_type_counts(resolved: DataFrame) -> DataFrame:
     return resolved.groupBy("match_type").agg(F.count("*").alias("n_rows"))
 
 
-def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """Rows after each stage, as one table."""
-    frames = [df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows") for name, df in stages.items()]
-    out = frames[0]
-    for df in frames[1:]:
-        out = out.unionByName(df)
-    return out
+class StageCounts:
+    """Rows that pass each stage of a plan, observed while the plan runs once."""
+
+    def __init__(self):
+        self.stages: dict[str, Observation] = {}
+
+    def __call__(self, name: str, df: DataFrame) -> DataFrame:
+        """``df``, observed under ``name``."""
+        self.stages[name] = Observation()
+        return df.observe(self.stages[name], F.count(F.lit(1)).alias("n_rows"))
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(stage, n_rows), once an action has run the plan."""
+        return spark.createDataFrame([(name, seen.get["n_rows"]) for name, seen in self.stages.items()], "stage string, n_rows bigint")
+
+
+def log_counts(counts: DataFrame, log: logging.Logger) -> None:
+    """One line a stage to a logger, whose handlers decide between file and console."""
+    for row in counts.collect():
+        log.info("%s: %s rows", row["stage"], f"{row['n_rows']:,}")

@@ -9,7 +9,7 @@ planner overrates, are counted first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regivane import schemas as S
@@ -67,11 +67,16 @@ def aggressive_lookup(ref: DataFrame) -> DataFrame:
     return once.select("key_state", "municipality_agg", "geo.*")
 
 
+def _rule_name() -> Column:
+    """The normalised name of a rule; a rule without one names the records whose name is empty."""
+    return F.coalesce(text.normalize_text(F.col("raw_municipio")), F.lit("")).alias("key_name")
+
+
 def correction_rules(corrections: DataFrame) -> DataFrame:
     """(key_state, key_name, target_state); the last of equal keys."""
     padded = corrections.select(
         text.pad_code(F.col("source_id_estado"), 2).alias("key_state"),
-        text.normalize_text(F.col("raw_municipio")).alias("key_name"),
+        _rule_name(),
         text.pad_code(F.col("target_cve_estado"), 2).alias("target_state"),
         "ordinal",
     )
@@ -102,7 +107,7 @@ def geo_join(records: DataFrame, ref: DataFrame) -> DataFrame:
 
 def override_rules(overrides: DataFrame, ref: DataFrame) -> DataFrame:
     """(key_state, key_name, geo columns) of the overrides whose code is in the catalog; the last of equal keys."""
-    padded = overrides.select(text.pad_code(F.col("raw_id_estado"), 2).alias("key_state"), text.normalize_text(F.col("raw_municipio")).alias("key_name"), text.pad_code(F.col("cvegeo"), 5).alias("code"), "ordinal")
+    padded = overrides.select(text.pad_code(F.col("raw_id_estado"), 2).alias("key_state"), _rule_name(), text.pad_code(F.col("cvegeo"), 5).alias("code"), "ordinal")
     catalog = keep_last(ref, ["cvegeo"], "ordinal").select(*(F.col(c).alias(f"o_{c}") for c in _GEO))
     found = padded.join(catalog, F.col("code") == F.col("o_cvegeo")).drop("code")
     return keep_last(found, ["key_state", "key_name"], "ordinal").drop("ordinal")

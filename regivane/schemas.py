@@ -6,18 +6,66 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def _schema(text: str) -> T.StructType:
-    names = {"s": T.StringType(), "l": T.LongType(), "d": T.DoubleType(), "b": T.BooleanType()}
-    return T.StructType([T.StructField(n, names[k]) for n, k in (x.split(":") for x in text.split())])
+def _schema(*columns: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns])
 
 
-RAW_SCHEMA = _schema("municipio:s hombres:l mujeres:l indeterminado:l total_personas:l id_estado:l estado:s anio:l mes:l id_estatus_victima:l")
-CATALOG_SCHEMA = _schema("CVEGEO:s CVE_ENT:s NOM_ENT:s CVE_MUN:s NOM_MUN:s")
-CORRECTIONS_SCHEMA = _schema("source_id_estado:s raw_municipio:s target_cve_estado:s target_cve_mun:s")
-OVERRIDES_SCHEMA = _schema("raw_id_estado:s raw_municipio:s cvegeo:s notes:s source_dataset:s")
-FACT_SCHEMA = _schema("cvegeo:s cve_estado:s state:s cve_mun:s municipality:s male:l female:l undefined:l total:l year:l month:l status_id:l")
+_TEXT, _LONG = T.StringType(), T.LongType()
+
+# Names, types and order of the columns of each table.
+RAW_SCHEMA = _schema(
+    ("municipio", _TEXT),
+    ("hombres", _LONG),
+    ("mujeres", _LONG),
+    ("indeterminado", _LONG),
+    ("total_personas", _LONG),
+    ("id_estado", _LONG),
+    ("estado", _TEXT),
+    ("anio", _LONG),
+    ("mes", _LONG),
+    ("id_estatus_victima", _LONG),
+)
+CATALOG_SCHEMA = _schema(("CVEGEO", _TEXT), ("CVE_ENT", _TEXT), ("NOM_ENT", _TEXT), ("CVE_MUN", _TEXT), ("NOM_MUN", _TEXT))
+CORRECTIONS_SCHEMA = _schema(("source_id_estado", _TEXT), ("raw_municipio", _TEXT), ("target_cve_estado", _TEXT), ("target_cve_mun", _TEXT))
+OVERRIDES_SCHEMA = _schema(("raw_id_estado", _TEXT), ("raw_municipio", _TEXT), ("cvegeo", _TEXT), ("notes", _TEXT), ("source_dataset", _TEXT))
+FACT_SCHEMA = _schema(
+    ("cvegeo", _TEXT),
+    ("cve_estado", _TEXT),
+    ("state", _TEXT),
+    ("cve_mun", _TEXT),
+    ("municipality", _TEXT),
+    ("male", _LONG),
+    ("female", _LONG),
+    ("undefined", _LONG),
+    ("total", _LONG),
+    ("year", _LONG),
+    ("month", _LONG),
+    ("status_id", _LONG),
+)
+QUALITY_SCHEMA = _schema(
+    ("dataset", _TEXT),
+    ("schema_ok", T.BooleanType()),
+    ("total_rows", _LONG),
+    ("missing_cvegeo", _LONG),
+    ("missing_state", _LONG),
+    ("duplicates", _LONG),
+    ("invalid_year", _LONG),
+    ("invalid_month", _LONG),
+    ("sex_total_mismatch", _LONG),
+    ("match_rate_pct", T.DoubleType()),
+)
+DISCREPANCY_SCHEMA = _schema(
+    ("dataset", _TEXT),
+    ("id_estado", _LONG),
+    ("municipio_raw", _TEXT),
+    ("municipio_norm", _TEXT),
+    ("row_count", _LONG),
+    ("total_persons", _LONG),
+    ("issue_type", _TEXT),
+    ("notes", _TEXT),
+)
+ERROR_SCHEMA = _schema(("check", _TEXT), ("line", _LONG), ("cvegeo", _TEXT), ("detail", _TEXT))
 TARGET_COLUMNS = FACT_SCHEMA.names
-ERROR_SCHEMA = _schema("check:s line:l cvegeo:s detail:s")
 
 GEO_COLUMNS = ["geo_cvegeo", "geo_cve_estado", "geo_cve_mun", "geo_state", "geo_municipality"]
 RECORD_KEY = ["id_estado", "municipio", "anio", "mes", "id_estatus_victima"]
@@ -43,11 +91,40 @@ STATUSES = {
 
 # State names by id, 1 to 33.
 STATES = (
-    "Aguascalientes, Baja California, Baja California Sur, Campeche, Coahuila, Colima, Chiapas, Chihuahua, "
-    "Ciudad de México, Durango, Guanajuato, Guerrero, Hidalgo, Jalisco, México, Michoacán, Morelos, Nayarit, "
-    "Nuevo León, Oaxaca, Puebla, Querétaro, Quintana Roo, San Luis Potosí, Sinaloa, Sonora, Tabasco, Tamaulipas, "
-    "Tlaxcala, Veracruz, Yucatán, Zacatecas, Se desconoce"
-).split(", ")
+    "Aguascalientes",
+    "Baja California",
+    "Baja California Sur",
+    "Campeche",
+    "Coahuila",
+    "Colima",
+    "Chiapas",
+    "Chihuahua",
+    "Ciudad de México",
+    "Durango",
+    "Guanajuato",
+    "Guerrero",
+    "Hidalgo",
+    "Jalisco",
+    "México",
+    "Michoacán",
+    "Morelos",
+    "Nayarit",
+    "Nuevo León",
+    "Oaxaca",
+    "Puebla",
+    "Querétaro",
+    "Quintana Roo",
+    "San Luis Potosí",
+    "Sinaloa",
+    "Sonora",
+    "Tabasco",
+    "Tamaulipas",
+    "Tlaxcala",
+    "Veracruz",
+    "Yucatán",
+    "Zacatecas",
+    "Se desconoce",
+)
 
 #: Output datasets in their order: label and status; the first is the total of the others.
 DATASETS = {"total": 0, "disappeared_not_located": 7, "located_alive": 2, "located_dead": 3}
