@@ -211,10 +211,11 @@ def verified_pairs(texts: DataFrame, pairs: DataFrame, similarity: float = SIMIL
 
 
 def verified_links(docs: DataFrame, groups: DataFrame, doc_id: str, text: str, similarity: float = SIMILARITY, block_elements: int = BLOCK_ELEMENTS) -> DataFrame:
-    """(a, b) links of at least ``similarity`` that join the classes of each candidate group.
+    """(a, b): classes of a candidate group that a link of at least ``similarity`` joins.
 
-    ``groups`` has (doc_id, root, size) and, if classes are known already, class.  A group is
-    dealt into blocks by hash; every pair of blocks meets in one task, whatever its size.
+    ``groups`` has (doc_id, root, size) and class, the least document of those known to be
+    linked; without it each document is a class.  A group is dealt into blocks by hash; every
+    pair of blocks meets in one task, whatever its size.
     """
     if "class" not in groups.columns:
         groups = groups.withColumn("class", F.col("doc_id"))
@@ -268,7 +269,7 @@ class SharedCodes:
 
 
 def _links(members: list, similarity: float, kind: pa.DataType) -> pa.RecordBatch:
-    """Links that join classes among the members (of two blocks: between the blocks), by exact overlap.
+    """Pairs of classes that the members' exact overlap joins (of two blocks: overlap between the blocks).
 
     Shingles lead to the members that have them, so a member meets only those it overlaps with.
     """
@@ -298,8 +299,8 @@ def _links(members: list, similarity: float, kind: pa.DataType) -> pa.RecordBatc
             x, y = root(k), root(j)
             if x != y:
                 parent[max(x, y)] = min(x, y)
-                a.append(members[k][0])
-                b.append(members[j][0])
+                a.append(members[k][3])
+                b.append(members[j][3])
         if len(found):
             label = np.array([root(x) for x in range(len(members))])
     return pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], ["a", "b"])
@@ -332,9 +333,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     open_ = open_.groupBy("members", "n").agg(F.min("band").alias("band")).select("band")
     groups = materialise(known.join(open_, "band").select("doc_id", F.col("band").alias("root"), "size", "class"), "open-buckets")
     late = verified_links(some, groups, "doc_id", "text", similarity)
-    verified = components(near.unionByName(late))
+    joined = components(late)
     discard(signed, first, banded, pairs, some, near, known, groups)
-    result = named.join(verified.withColumnRenamed("id", "exact_id"), "exact_id", "left")
+    result = named.join(early.select(F.col("id").alias("exact_id"), F.col("root").alias("early")), "exact_id", "left").withColumn("early", F.coalesce("early", "exact_id"))
+    result = result.join(joined.select(F.col("id").alias("early"), "root"), "early", "left").withColumn("root", F.coalesce("root", "early"))
     return result.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "exact_id")).alias("class_id"), F.when(F.col("doc_id").isNotNull(), F.col("exact_id")).alias("exact_id"))
 
 
