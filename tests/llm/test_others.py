@@ -62,6 +62,58 @@ def test_recall_on_many(spark, sf):
     assert np.mean([len(got[i] & {j for j, _ in t}) / len(t) for i, t in truth.items()]) >= 0.9
 
 
+def clustered(n, size=16, seed=5):
+    """Unit vectors in groups of about fifty."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n // 50, size))[rng.integers(0, n // 50, n)] + 0.15 * rng.normal(size=(n, size))
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+
+
+def test_far_more_lists_than_probes(spark):
+    """The lists that a query takes do not grow with the table, and recall holds; an infinite ratio is exact."""
+    taken = []
+    for n in (3000, 12_000):
+        x = clustered(n)
+        table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id bigint, embedding array<float>").repartition(4)
+        rows = table.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+        index = ann.fit(rows, n, 1.0, list_rows=12)
+        ratio = ann.tuned_ratio(rows, n, index, 20)
+        queries = np.arange(0, n, 30)
+        owner, _ = index.probes(x[queries].astype(float), ratio)
+        taken.append(len(owner) / len(queries))
+        near = x.astype(float)[queries] @ x.astype(float).T
+        near[np.arange(len(queries)), queries] = -np.inf
+        truth = np.argsort(-near, axis=1, kind="stable")[:, :20]
+        got = {}
+        for r in ann.search(table, F.col("vec_id") % 30 == 0, list_rows=12).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        recall = np.array([len(got[q] & set(t)) / 20 for q, t in zip(queries.tolist(), truth.tolist(), strict=True)])
+        print(f"{n} vectors, {len(index.centroids)} lists, {taken[-1]:.1f} taken, recall {recall.mean():.3f}, worst {recall.min():.2f}")
+        assert recall.mean() >= 0.95 and len(index.centroids) > 10 * taken[-1]
+    assert taken[1] < 1.5 * taken[0]
+
+
+def test_infinite_ratio_is_exact(spark):
+    x = np.random.default_rng(3).normal(size=(1500, 24)).astype(np.float32)
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = {}
+    for r in ann.search(table, F.col("vec_id") % 20 == 0, ratio=math.inf, list_rows=20).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {i: [j for j, _ in t] for i, t in brute(rows, lambda i: i % 20 == 0, 20).items()}
+
+
+def test_ties_lengths_and_repeated_ids(spark):
+    """Equal vectors are cut in the block to the least ids; other lengths take no part; an id counts once."""
+    same = [1.0, 0.5, 0.25]
+    rows = [(k, same) for k in range(1, 400)] + [(7, [3.0, 0.0, 0.0]), (7, [0.1, 0.0, 0.0]), (0, same), (900, [1.0, 2.0]), (920, [1.0, 2.0, 3.0, 4.0])]
+    got = search(spark, rows)
+    assert got.keys() == {0, *range(20, 400, 20)}
+    assert [j for j, _ in got[0]] == [7, *(j for j in range(1, 21) if j != 7)] and got[0][0][1] == 3.0
+    block = ann._best(np.array([0]), np.array([same]), np.arange(1, 4097), np.tile(same, (4096, 1)), 20)
+    assert block.num_rows == 20 and block.column("vec_id").to_pylist() == list(range(1, 21))
+
+
 def test_lists_are_balanced():
     rng = np.random.default_rng(2)
     crowd = np.concatenate([rng.normal(size=(200, 8)), 5 + 0.01 * rng.normal(size=(1800, 8))])

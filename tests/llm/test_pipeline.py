@@ -1,5 +1,49 @@
+import zlib
+
+import numpy as np
+from tokenizers import Tokenizer
+
 import corpus_pipeline as pipeline
-from regivane.llm.common import documents
+from regivane.llm import language_id, queries, toxicity
+from regivane.llm.common import documents, materialise
+from test_duplicates import brute_classes, repeated_words
+
+
+def test_against_brute_force(spark, sf):
+    """Each stage against a plain version of its rule, over what the stage before kept."""
+    stages = dict(pipeline.STAGES)
+    docs = documents(spark, sf)
+    kept = materialise(stages["toxicity"](spark, docs, sf), "test")
+    model = queries.toxicity_model(spark, sf, docs)
+    scores = {r.doc_id: r.s for r in toxicity.score(docs, model, out="s").collect()}
+    assert {r.doc_id for r in kept.collect()} == {i for i, s in scores.items() if s < 0.5}
+    docs, kept = kept, materialise(stages["language_id"](spark, kept, sf), "test")
+    models = language_id.train(docs, queries.crc_mod("doc_id", 4) != 2)
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in language_id.identify(docs, models).collect() if not r.rejected}
+    docs, kept = kept, materialise(stages["near_dedup"](spark, kept, sf), "test")
+    truth = brute_classes([(r.doc_id, r.text) for r in docs.collect()])
+    assert {r.doc_id for r in kept.collect()} == set(truth.values())
+    docs, kept = kept, materialise(stages["substring_dedup"](spark, kept, sf), "test")
+    before, after = ({r.doc_id: r.text for r in x.collect()} for x in (docs, kept))
+    gone = repeated_words(before.items())
+    assert after.keys() == before.keys()
+    for i, text in before.items():
+        left = [w for k, w in enumerate(text.split()) if k not in gone[i]]
+        assert len(after[i].split()) <= len(left) and (gone[i] or after[i] == text or len(after[i].split()) <= len(left) - 50)
+    assert not any(repeated_words(after.items()).values())
+    library = Tokenizer.from_str(queries.tokenizer_source("word_bpe_49k.json"))
+    ids = {i: np.array([*library.encode(t or "", add_special_tokens=False).ids, 1], dtype="<u4") for i, t in after.items()}
+    pieces, sequences = {}, {}
+    for p in stages["packing"](spark, kept, sf).collect():
+        assert p.ids_crc32 == zlib.crc32(ids[p.doc_id][p.start : p.start + p.length].tobytes())
+        pieces.setdefault(p.doc_id, []).append((p.start, p.length))
+        sequences.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    assert {i: sum(n for _, n in x) for i, x in pieces.items()} == {i: len(x) for i, x in ids.items()}
+    for parts in (*pieces.values(), *sequences.values()):
+        at = 0
+        for begin, n in sorted(parts):
+            assert begin == at
+            at += n
 
 
 def test_stages(spark, sf):

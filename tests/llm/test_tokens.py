@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from regivane.llm import bpe_codec, packing, queries, token_counts, transducer
+from regivane.llm import bpe_codec, common, packing, queries, token_counts, transducer
 
 BYTE, WORD = queries.tokenizer_source("byte_bpe_50k.json"), queries.tokenizer_source("word_bpe_49k.json")
 
@@ -141,6 +141,27 @@ def test_word_encoder_on_random_strings(libraries):
             assert got == np.array(libraries[1].encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes(), text
 
 
+def test_long_words_stay_in_no_memo(libraries):
+    """Of texts without white space nothing is kept, and their ids are right."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abcdefgh.,'", k=200_000)) for _ in range(4)]
+    words = packing.WordEncoder(WORD)
+    assert words(texts) == [np.array(libraries[1].encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    byte = bpe_codec.Encoder(bpe_codec.Tokenizer(BYTE), None)
+    assert [np.frombuffer(byte.encode(t), dtype="<i4").tolist() for t in texts] == [libraries[0].encode(t, add_special_tokens=False).ids for t in texts]
+    for memo in (words.runs, words.marks, byte.memo):
+        assert sum(map(len, memo)) < 100_000
+
+
+def test_portions():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * n for n in (10, 5_000_000, 5_000_000, 20, 30, 40)] + ["y"] * 2000})
+    parts = list(common.portions([batch]))
+    assert [t for p in parts for t in p.column(0).to_pylist()] == batch.column(0).to_pylist()
+    assert all(p.num_rows == 1 or (p.nbytes <= 4 << 20 and p.num_rows <= 512) for p in parts)
+
+
 def test_digest_queries(spark, sf, libraries):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in queries.op2_bpe_codec(spark, sf).collect():
