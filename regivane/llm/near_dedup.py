@@ -43,8 +43,8 @@ from regivane.llm.components import components
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 6
-#: Shingles in one block of a candidate group.
-BLOCK_ELEMENTS = 100_000
+#: Shingles, and documents, in one block of a candidate group.
+BLOCK_ELEMENTS, BLOCK_MEMBERS = 100_000, 512
 #: Ids that may be broadcast, 8 bytes each; beyond this a join shuffles.
 BROADCAST_IDS = 1_000_000
 
@@ -219,7 +219,7 @@ def verified_links(docs: DataFrame, groups: DataFrame, doc_id: str, text: str, s
     """
     if "class" not in groups.columns:
         groups = groups.withColumn("class", F.col("doc_id"))
-    blocks = groups.groupBy("root").agg(F.ceil(F.sum("size") / block_elements).cast("int").alias("n"))
+    blocks = groups.groupBy("root").agg(F.greatest(F.ceil(F.sum("size") / block_elements), F.ceil(F.count("*") / BLOCK_MEMBERS)).cast("int").alias("n"))
     dealt = groups.join(blocks, "root").select("doc_id", "root", "class", "n", F.pmod(F.xxhash64("doc_id"), F.col("n")).cast("int").alias("block"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     dealt = dealt.select("doc_id", "root", "class", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block")
