@@ -21,7 +21,7 @@ __all__ = ["MEMO_CHARS", "UNICODE_SPACE", "TwoGenerationCache", "discard", "docu
 #: White space as Rust and PCRE engines read ``\s`` (Python's own adds 1C-1F).
 UNICODE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Rows and bytes that an operator works on at once.
-PORTION_ROWS, PORTION_BYTES = 512, 4 << 20
+PORTION_ROWS, PORTION_BYTES = 128, 1 << 20
 #: Longer keys are not kept in memos, so a memo's entries bound its bytes.
 MEMO_CHARS = 64
 
@@ -29,8 +29,10 @@ MEMO_CHARS = 64
 def portions(batches: Iterable[pa.RecordBatch], rows: int = PORTION_ROWS, size: int = PORTION_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut into portions of at most ``rows`` rows and, but for single rows, ``size`` bytes.
 
-    Spark bounds a batch by bytes; what an operator makes of a portion is bounded by this.
+    Spark bounds a batch by bytes; what an operator makes of a portion is bounded by this.  What
+    the task before has freed goes back first, and what this one has freed in the end.
     """
+    give_back()
     for batch in batches:
         at = 0
         while at < batch.num_rows:
@@ -39,12 +41,23 @@ def portions(batches: Iterable[pa.RecordBatch], rows: int = PORTION_ROWS, size:
                 part = part.slice(0, part.num_rows // 2)
             yield part
             at += part.num_rows
+        del batch
+    give_back()
+
+
+def give_back() -> None:
+    """Freed memory back to the system, where the libraries can, so that idle workers stay small."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def frames_in_portions(frames: Iterable[pd.DataFrame], rows: int = 128) -> Iterator[pd.DataFrame]:
+    give_back()
     for frame in frames:
         for at in range(0, len(frame), rows):
             yield frame.iloc[at : at + rows]
+    give_back()
 
 
 def kept_fields(df: DataFrame, added: Iterable[str]) -> list:
@@ -69,9 +82,7 @@ def per_process(key: tuple, make):
     if _HELD[0] != key:
         _HELD[:] = [None, None]
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # give freed memory back, where the C library can
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
         _HELD[:] = [key, make()]
     return _HELD[1]
 

@@ -17,7 +17,6 @@ grow with it.
 
 from __future__ import annotations
 
-import json
 import re
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
@@ -121,7 +120,7 @@ class WordEncoder:
     What was encoded before comes from a memo, with 16-bit ids where the vocabulary allows.
     """
 
-    def __init__(self, source: str, runs: int = 1 << 19):
+    def __init__(self, source: str, runs: int = 1 << 18):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -133,7 +132,7 @@ class WordEncoder:
         self.kind = "<u2" if len(self.ends) <= 1 << 16 else "<u4"
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.marks: dict[str, bytes] = {"": b""}
-        self.special = [t["content"] for t in json.loads(source)["added_tokens"]]
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def plain(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()

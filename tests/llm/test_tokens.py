@@ -159,7 +159,7 @@ def test_portions():
     batch = pa.RecordBatch.from_pydict({"text": ["x" * n for n in (10, 5_000_000, 5_000_000, 20, 30, 40)] + ["y"] * 2000})
     parts = list(common.portions([batch]))
     assert [t for p in parts for t in p.column(0).to_pylist()] == batch.column(0).to_pylist()
-    assert all(p.num_rows == 1 or (p.nbytes <= 4 << 20 and p.num_rows <= 512) for p in parts)
+    assert all(p.num_rows == 1 or (p.nbytes <= common.PORTION_BYTES and p.num_rows <= common.PORTION_ROWS) for p in parts)
 
 
 def test_digest_queries(spark, sf, libraries):
