@@ -48,6 +48,8 @@ COPIES, SPREAD_RATIO = 4, 1.5
 #: Share of the true neighbours of the sampled queries that the ratio must reach, and the most such queries.
 TARGET, TUNING_QUERIES = 0.97, 192
 BLOCK_ROWS = 4096
+#: Hits that a task holds.
+HELD_HITS = 1 << 20
 #: Centroids that a walk begins at, and nodes that it opens in one step.
 ENTRIES, STEP = 16, 4
 
@@ -350,6 +352,7 @@ def search(table: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_i
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a block's rows come first, by id, then its queries, which may be many
         key, held, names, matrix = None, [], None, None
+        hits, size = [], 0  # a task's best of all its blocks meet before the shuffle
         for batch in portions(batches, 4096):
             lists, block, asks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("list", "block", "asks"))
             changes = np.flatnonzero((lists[1:] != lists[:-1]) | (block[1:] != block[:-1]) | (asks[1:] != asks[:-1])) + 1
@@ -363,7 +366,16 @@ def search(table: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_i
                 if matrix is None:
                     names, matrix = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (np.zeros(0, np.int64), vectors[:0])
                 for q in range(0, len(ids) if len(names) else 0, 256):
-                    yield _best(ids[q : q + 256], vectors[q : q + 256], names, matrix, k)
+                    hits.append(_best(ids[q : q + 256], vectors[q : q + 256], names, matrix, k))
+                    size += hits[-1].num_rows
+            if size > HELD_HITS:
+                hits = [_merged(hits, k)]
+                size = hits[0].num_rows
+                if size > HELD_HITS // 2:  # bounded memory for any number of queries
+                    yield hits.pop()
+                    size = 0
+        if hits:
+            yield _merged(hits, k)
 
     hits = met.mapInArrow(compared, "query_id bigint, vec_id bigint, score double")
     once = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
@@ -371,6 +383,19 @@ def search(table: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_i
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _merged(hits: list[pa.RecordBatch], k: int) -> pa.RecordBatch:
+    """The ``k`` best of all hits of each query, an id once with its best score, ties to the smaller id."""
+    query, vec, score = (np.concatenate([h.column(c).to_numpy() for h in hits]) for c in range(3))
+    order = np.lexsort((-score, vec, query))
+    query, vec, score = query[order], vec[order], score[order]
+    fresh = np.concatenate(([True], (query[1:] != query[:-1]) | (vec[1:] != vec[:-1])))[: len(query)]
+    query, vec, score = query[fresh], vec[fresh], score[fresh]
+    order = np.lexsort((vec, -score, query))
+    query, vec, score = query[order], vec[order], score[order]
+    top = np.arange(len(query)) - np.searchsorted(query, query) < k
+    return pa.RecordBatch.from_arrays([pa.array(query[top]), pa.array(vec[top]), pa.array(score[top], pa.float64())], ["query_id", "vec_id", "score"])
+
+
 def _best(ids: np.ndarray, queries: np.ndarray, names: np.ndarray, matrix: np.ndarray, k: int) -> pa.RecordBatch:
     """The ``k`` best rows of a block for each query, other rows than its own; exact scores, ties to the smaller id.
 
