@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regivane.llm import ann, bpe_codec, html_text, language_id, media, near_dedup, packing, substring_dedup, token_counts, toxicity
+from regivane.llm import ann, bpe_codec, embedding_dedup, html_text, language_id, media, near_dedup, packing, substring_dedup, token_counts, toxicity
 from regivane.llm.common import documents, text_or_empty
 
 
@@ -135,8 +135,36 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(documents(spark, sf_dir).select("doc_id", "text"))
 
 
-_ALL = [op1_ann, op2_bpe_codec, op3_substring_dedup, op4_token_counts, op5_html_text, op6_toxicity, op7_media, op8_language_id, op9_packing, op10_near_dedup]
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of ``embeddings`` linked by a cosine of 0.93 inside their label: links, component and whether kept.
+
+    Rows without a usable vector or a label come back with no link and as their own component.
+    """
+    return embedding_dedup.classes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+EMBEDDING_DEDUP_SQL = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+), usable AS (
+    SELECT vec_id, label, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS length FROM vectors
+    WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE a.length > 0 AND b.length > 0 AND list_inner_product(a.v, b.v) / (a.length * b.length) >= 0.93
+), reached AS (
+    SELECT a, b FROM links UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+), counted AS (
+    SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a
+), least AS (
+    SELECT a AS vec_id, min(b) AS least FROM reached GROUP BY a
+)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id, vec_id <= coalesce(least, vec_id) AS kept
+FROM embeddings LEFT JOIN counted USING (vec_id) LEFT JOIN least USING (vec_id)
+"""
+
+_ALL = [op1_ann, op2_bpe_codec, op3_substring_dedup, op4_token_counts, op5_html_text, op6_toxicity, op7_media, op8_language_id, op9_packing, op10_near_dedup, op11_embedding_dedup]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: application(q) for q in _ALL}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_embedding_dedup": EMBEDDING_DEDUP_SQL}
