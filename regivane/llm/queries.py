@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regivane.llm import ann, bpe_codec, embedding_dedup, html_text, language_id, media, near_dedup, packing, substring_dedup, token_counts, toxicity
+from regivane.llm import ann, bpe_codec, conversation_repair, embedding_dedup, html_text, language_id, media, near_dedup, packing, ranked_search, substring_dedup, token_counts, toxicity
 from regivane.llm.common import documents, text_or_empty
 
 
@@ -143,6 +143,23 @@ def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.classes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents of each ``benchmark`` item, by exact integer scores, equal ones by doc_id.
+
+    Items and documents without a term find and are nothing; null texts have none.
+    """
+    index = ranked_search.build_index(documents(spark, sf_dir))
+    return ranked_search.search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and digest of every damaged conversation of ``conversations``.
+
+    Nulls count as one space; conversations without a row after the damage give zeros.
+    """
+    return conversation_repair.damage_and_repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 EMBEDDING_DEDUP_SQL = """
 WITH RECURSIVE vectors AS (
     SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
@@ -163,8 +180,35 @@ SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, least(vec_id, co
 FROM embeddings LEFT JOIN counted USING (vec_id) LEFT JOIN least USING (vec_id)
 """
 
-_ALL = [op1_ann, op2_bpe_codec, op3_substring_dedup, op4_token_counts, op5_html_text, op6_toxicity, op7_media, op8_language_id, op9_packing, op10_near_dedup, op11_embedding_dedup]
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+RANKED_SEARCH_SQL = f"""
+WITH tokens AS (
+    SELECT doc_id, unnest({_TERMS}) AS term FROM documents
+), postings AS (
+    SELECT doc_id, term, count(*) AS tf FROM tokens GROUP BY doc_id, term
+), lengths AS (
+    SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM postings GROUP BY doc_id
+), totals AS (
+    SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS tokens FROM lengths
+), relative AS (
+    SELECT doc_id, 100 - 90 + (90 * n * documents) // tokens AS m FROM lengths, totals
+), asked AS (
+    SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * documents + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM postings, totals WHERE term IN (SELECT term FROM asked) GROUP BY term, documents
+), scored AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN relative USING (doc_id) GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+_ALL = [op1_ann, op2_bpe_codec, op3_substring_dedup, op4_token_counts, op5_html_text, op6_toxicity, op7_media, op8_language_id, op9_packing, op10_near_dedup, op11_embedding_dedup, op12_ranked_search, op13_conversation_repair]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: application(q) for q in _ALL}
 
-ORACLES: dict[str, str] = {"op11_embedding_dedup": EMBEDDING_DEDUP_SQL}
+ORACLES: dict[str, str] = {"op11_embedding_dedup": EMBEDDING_DEDUP_SQL, "op12_ranked_search": RANKED_SEARCH_SQL}
