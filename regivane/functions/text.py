@@ -74,9 +74,36 @@ def pad_code(x: Column, width: int) -> Column:
     return zfill(strip(x.cast("string")), width)
 
 
+@cache
+def digit_tables() -> tuple[str, str, str]:
+    """Decimal digits beyond ASCII, what they stand for, and digits that are no decimal ones."""
+    decimals, plain, others = [], [], []
+    for cp in range(0x80, 0x110000):
+        c = chr(cp)
+        if c.isdecimal():
+            decimals.append(c)
+            plain.append(str(int(c)))
+        elif c.isdigit():
+            others.append(c)
+    return "".join(decimals), "".join(plain), "".join(others)
+
+
+def _digits(x: Column) -> Column:
+    """Without white space around and thousands commas, decimal digits of any script as ASCII ones."""
+    decimals, plain, _ = digit_tables()
+    bare = F.replace(strip(x), F.lit(","), F.lit(""))
+    return F.when(bare.rlike(r"^\p{ASCII}*$"), bare).otherwise(F.translate(bare, decimals, plain))
+
+
+def is_odd_int(x: Column) -> Column:
+    """Whether a count is in digits of which one at least is no decimal one."""
+    others = digit_tables()[2]
+    return F.coalesce(_digits(x).rlike(f"^[0-9{others}]*[{others}][0-9{others}]*$"), F.lit(False))
+
+
 def to_int(x: Column) -> Column:
     """Digits with thousands commas as a number; anything else, null too, is 0."""
-    digits = F.replace(strip(x), F.lit(","), F.lit(""))
+    digits = _digits(x)
     return F.when(digits.rlike("^[0-9]+$"), F.coalesce(digits.try_cast("bigint"), F.lit(0))).otherwise(F.lit(0)).cast("bigint")
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from regivane import schemas as S
 from regivane.functions import text
+from regivane.operators import markup
 
 # The request's fields that never change, with their values.
 PAYLOAD_CONSTANTS = {
@@ -78,20 +79,16 @@ def _records(cells: DataFrame, meta: list[str]) -> DataFrame:
 
 
 def extract_rows(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Records of well-formed pages, in the JVM: rows with four or more cells, text nodes stripped and joined."""
-    meta = [c for c in pages.columns if c != html]
-    rows = pages.select(*meta, F.explode(F.regexp_extract_all(F.col(html), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), 1)).alias("tr"))
-    rows = rows.select(*meta, F.regexp_extract_all("tr", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1).alias("td")).where(F.size("td") >= 4)
-    plain = lambda c: _entities(F.array_join(F.transform(F.split(c, r"<[^>]*>"), text.strip), ""))
-    whole = lambda c: _entities(F.regexp_replace(c, r"<[^>]*>", ""))
-    return _records(rows.select(*meta, plain(F.col("td")[0]).alias("municipio"), *(whole(F.col("td")[k]).alias(f"c{k}") for k in (1, 2, 3))), meta)
-
+    """Records of pages of any quality, in the JVM; see :mod:`regivane.operators.markup`.
 
-def _entities(c):
-    # The references that such tables hold; the tolerant parser knows all.
-    for name, value in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(name), F.lit(value))
-    return c
+    A page with a count in digits that are no decimal ones (superscripts) cannot be read and gives
+    no rows.
+    """
+    meta = [c for c in pages.columns if c != html]
+    rows = markup.row_cells(F.col(html))
+    bad = F.exists(rows, lambda r: F.exists(F.slice(r, 2, 3), text.is_odd_int))
+    found = pages.select(*meta, F.explode(F.when(~bad, rows)).alias("td"))
+    return _records(found.select(*meta, F.col("td")[0].alias("municipio"), *(F.col("td")[k].alias(f"c{k}") for k in (1, 2, 3))), meta)
 
 
 class _Table(HTMLParser):
@@ -139,7 +136,7 @@ def table_rows(html: str | None) -> Iterator[tuple[str, str, str, str]]:
 
 
 def extract_rows_tolerant(pages: DataFrame, html: str = "html") -> DataFrame:
-    """As :func:`extract_rows` for malformed and nested markup, through the standard library's parser."""
+    """As :func:`extract_rows` through the standard library's parser; cells of a row without an end tag end with the page."""
     meta = [c for c in pages.columns if c != html]
     cells = ["municipio", "c1", "c2", "c3"]
     schema = T.StructType([*(pages.schema[c] for c in meta), *(T.StructField(c, T.StringType()) for c in cells)])

@@ -503,6 +503,39 @@ def html_rows_tolerant(spark, sf_dir):
     return acquire.extract_rows_tolerant(_pages(spark, sf_dir).withColumn("html", F.replace("html", F.lit("</table>"), F.lit(""))))
 
 
+_OUTER = "c_name || 'inner111'"
+_STRUCTURAL_SQL = f"""WITH own AS (SELECT n_nationkey, c_custkey, c_custkey % 6 AS kind, c_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey <> 7),
+found AS (
+  SELECT n_nationkey, 'É' || c_name || ' & ' || n_name AS municipio, 2 AS h, 1000 AS m, c_custkey % 5 AS i FROM own WHERE kind = 0
+  UNION ALL SELECT n_nationkey, c_name, 3, 4, 0 FROM own WHERE kind = 1
+  UNION ALL SELECT n_nationkey, {_OUTER}, 0, 1, 1 FROM own WHERE kind = 2
+  UNION ALL SELECT n_nationkey, 'inner', 1, 1, 1 FROM own WHERE kind = 2
+  UNION ALL SELECT n_nationkey, c_name || '123', 123, 23, 3 FROM own WHERE kind = 3
+  UNION ALL SELECT n_nationkey, c_name || n_name, 7, 0, 0 FROM own WHERE kind = 4
+  UNION ALL SELECT n_nationkey, c_name, 8, 12, 0 FROM own WHERE kind = 5)
+SELECT n_nationkey, municipio, CAST(h AS BIGINT) AS hombres, CAST(m AS BIGINT) AS mujeres, CAST(i AS BIGINT) AS indeterminado, CAST(h + m + i AS BIGINT) AS total_personas FROM found"""
+
+
+@query(_STRUCTURAL_SQL)
+def html_rows_structural(spark, sf_dir):
+    """H1, H2 on markup of any quality: references, nested rows, rows and cells without end tags, comments and scripts.
+
+    A customer a row, a nation a page; the page with a superscript for a count gives nothing.
+    """
+    t = syn.table(spark, sf_dir, "customer").join(syn.table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    row = F.expr(
+        "CASE c_custkey % 6 WHEN 0 THEN '<tr><td>&nbsp;&Eacute;' || c_name || ' &amp; ' || n_name || '&#160;</td><td>&#50;</td><td> 1,&#x30;00 </td><td>' || CAST(c_custkey % 5 AS STRING) || '</td></tr>' "
+        "WHEN 1 THEN '<table><tr><td>' || c_name || '</td><td>3</td><td>٤</td><td>-</td></table>' "
+        "WHEN 2 THEN '<tr><td>' || c_name || '<table><tr><td>inner</td><td>1</td><td>1</td><td>1</td></tr></table></td><td>5</td><td>6</td><td>7</td></tr>' "
+        "WHEN 3 THEN '<tr><td>' || c_name || '<td>1<td>2<td>3</tr>' "
+        "WHEN 4 THEN '<TR CLASS=\"a>b\"><TD> <b>' || c_name || ' </b><br> ' || n_name || '</TD><td>7</td><td></td><td>n/a</td><td>9</td></TR>' "
+        "ELSE '<tr><!-- <td>no</td> --><td><script>if (1<2) { }</script>' || c_name || '</td><td>8</td><td>1<i>2</i></td><td/></tr>' END"
+    )
+    odd = F.when(F.col("n_nationkey") == 7, "<tr><td>odd</td><td>1²</td><td>2</td><td>3</td></tr>").otherwise("")
+    pages = t.groupBy("n_nationkey").agg(F.concat(F.lit("<table>"), F.array_join(F.collect_list(row), "\n"), F.lit("</table>")).alias("html"))
+    return acquire.extract_rows(pages.withColumn("html", F.concat("html", odd)))
+
+
 @query(r"SELECT page_id, CAST(len(regexp_extract_all(html, '(?is)<li[^>]*>(.*?)</li>', 1)) AS BIGINT) AS n_items, array_to_string(list_transform(regexp_extract_all(html, '(?is)<li[^>]*>(.*?)</li>', 1), lambda x: trim(regexp_replace(x, '<[^>]*>', '', 'g'))), '|') AS items FROM pages")
 def page_items(spark, sf_dir):
     """H1's extraction on the raw pages."""
