@@ -7,12 +7,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regivane import schemas as S
 from regivane.operators import acquire, assemble, audit, quality, resolve
 from regivane.plans import registry
 from regivane.plans import synthetic as syn
-from regivane.sources import readers, sinks
+from regivane.sources import delimited, readers, sinks
 from regivane.storage import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +63,64 @@ def months_written_once(spark, sf_dir):
     return spark.read.parquet(folder).groupBy(*(F.col(c).cast("bigint").alias(c) for c in sinks.MONTH_KEY)).agg(F.count("*").alias("n_rows"), F.sum("total_personas").alias("persons"))
 
 
+#: A file in the usual shape, one with its columns in another order, one that lacks two, one with a column more.
+_SHAPES = {1: S.RAW_SCHEMA.names, 2: S.RAW_SCHEMA.names[::-1], 3: [c for c in S.RAW_SCHEMA.names if c not in ("estado", "indeterminado")], 4: [*S.RAW_SCHEMA.names[5:], "extra", *S.RAW_SCHEMA.names[:5]]}
+
+
+def _differing_files(spark, sf_dir) -> str:
+    """A folder of monthly files by month; months 5 and 6 cannot be read, 7 is a header alone, 8 has no byte."""
+    root = shared_path(spark, "differing")
+    raw = syn.raw(spark, sf_dir).where("mes <= 6").withColumn("extra", F.lit("x"))
+    # every ninth name has a line break in it
+    raw = raw.withColumn("municipio", F.when(F.col("ordinal") % 9 == 0, F.concat("municipio", F.lit('\n"x",'))).otherwise(F.col("municipio")))
+    for month, names in _SHAPES.items():
+        raw.where(f"mes = {month}").select(names).repartition(2).write.option("header", True).option("escape", '"').csv(f"{root}/{month}.csv")
+    own = raw.where("mes >= 5").select(F.concat_ws(",", F.lit("a"), "municipio", F.col("total_personas").cast("string")).alias("value"), "mes")
+    header = spark.range(1).select(F.lit("municipio,total_personas").alias("value"))
+    for month in (5, 6):  # rows of three fields below a header of two, and quotes that never close
+        rows = own.where(f"mes = {month}").select("value") if month == 5 else header.select(F.lit('"open,1').alias("value"))
+        header.unionByName(rows).coalesce(1).write.text(f"{root}/{month}.csv")
+    header.coalesce(1).write.text(f"{root}/7.csv")
+    header.limit(0).coalesce(1).write.text(f"{root}/8.csv")
+    return root
+
+
+_BROKEN = "CASE WHEN ordinal % 9 = 0 THEN municipio || chr(10) || '\"x\",' ELSE municipio END"
+
+
+@query(
+    syn.CTE + f"SELECT {_BROKEN} AS municipio, hombres, mujeres, CASE WHEN mes <> 3 THEN indeterminado END AS indeterminado, total_personas, id_estado, CASE WHEN mes <> 3 THEN estado END AS estado, anio, mes, id_estatus_victima FROM raw WHERE mes <= 4"
+)
+def monthly_files_by_name(spark, sf_dir):
+    """Files that differ in the order and number of their columns; broken ones are passed over alone."""
+    return readers.read_monthly(spark, f"{_differing_files(spark, sf_dir)}/*.csv").drop("ordinal")
+
+
+@query(
+    syn.CTE + "SELECT CAST(mes AS VARCHAR) AS month, 'read' AS status, count(*) AS n_rows FROM raw WHERE mes <= 4 GROUP BY mes "
+    "UNION ALL SELECT * FROM (VALUES ('5', 'unreadable', CAST(0 AS BIGINT)), ('6', 'unreadable', 0), ('7', 'read', 0), ('8', 'empty', 0))"
+)
+def monthly_file_status(spark, sf_dir):
+    """What became of each file, months with several files together."""
+    status = readers.monthly_tables(spark, f"{_differing_files(spark, sf_dir)}/*.csv").status
+    return status.groupBy(F.regexp_extract("file", r"/([0-9]+)\.csv/", 1).alias("month"), "status").agg(F.sum("n_rows").alias("n_rows"))
+
+
+@query(
+    syn.CTE.rstrip() + f", published AS (SELECT *, CASE WHEN male % 3 = 1 THEN municipality || chr(10) || 'a,' || chr(10) || '\"b\"' ELSE municipality END AS broken FROM fact) "
+    "SELECT cvegeo, year, month, status_id, broken AS municipality, row_number() OVER w + 1 AS line, CAST(1 + row_number() OVER w + 2 * coalesce(sum(CAST(municipality <> broken AS INTEGER)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS physical_line FROM published WINDOW w AS (ORDER BY cvegeo, year, month, status_id)"
+)
+def csv_line_breaks(spark, sf_dir):
+    """A record whose fields hold line breaks is one row; ``line`` counts records, ``physical_line`` the file's lines."""
+    path = shared_path(spark, "breaks.csv")
+    broken = F.when(F.col("male") % 3 == 1, F.concat("municipality", F.lit('\na,\n"b"'))).otherwise(F.col("municipality"))
+    fact = syn.fact(spark, sf_dir).orderBy("cvegeo", "year", "month", "status_id").withColumn("municipality", broken)
+    fact.select(S.TARGET_COLUMNS).coalesce(1).write.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    names = ["cvegeo", "year", "month", "status_id", "municipality"]
+    found = delimited.typed(delimited.read(spark, path, names).rows, T.StructType([S.FACT_SCHEMA[n] for n in names]))
+    return found.select(*names, "line", "physical_line")
+
+
 _ACCENTED = "replace(nom_mun, 'Ciudad', 'Ciudád')"
 
 
@@ -137,8 +196,7 @@ def discrepancies_from_csv(spark, sf_dir):
     sinks.write_discrepancies(quality.in_report_order(issues, ["registry"]), path)
     if sinks.write_discrepancies(issues.limit(0), f"{path}-none"):
         raise ValueError("an empty listing was written")
-    read = spark.read.schema(S.DISCREPANCY_SCHEMA).option("header", True).csv(path).withColumn("at", F.monotonically_increasing_id())
-    return readers.number_lines(read, "at").drop("at")
+    return delimited.typed(delimited.read(spark, path, S.DISCREPANCY_SCHEMA.names).rows, S.DISCREPANCY_SCHEMA).drop("file", "physical_line")
 
 
 #: Published files: one as it should be, one with its columns in another order, one that is missing.

@@ -79,6 +79,9 @@ SENTINEL_MUNICIPALITIES = {"sin municipio de referencia": "998", "se desconoce":
 SENTINEL_CVEGEO = ("99998", "99999")
 SENTINEL_CVE_MUN = (998, 999)
 CATALOG_NULLS = ("----", "---", "--", "-")
+# Fields that table readers take for null, and the least size of a file of rules.
+TABLE_NULLS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+LEAST_RULE_BYTES = 10
 YEARS, MONTHS = (2015, 2025), (1, 12)
 
 # Victim status by id, with the title that a request carries.

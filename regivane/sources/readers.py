@@ -9,25 +9,28 @@ from pyspark.sql.utils import AnalysisException
 
 from regivane import schemas
 from regivane.functions import text
+from regivane.sources import delimited
 from regivane.storage import fixed
 
 
-def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
-    """A number that follows the order of files by name and of rows in a file."""
-    # Spark has no row order of its own; path and row index give one that any task can tell
-    return df.withColumn(name, F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")))
-
-
 def read_records(spark: SparkSession, *paths: str) -> DataFrame:
     """Consolidated records; ``ordinal`` orders by file name, then row."""
     df = spark.read.schema(schemas.RAW_SCHEMA).parquet(*paths)
     return df.withColumn("ordinal", F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("row")))
 
 
-def read_monthly(spark: SparkSession, glob: str) -> DataFrame:
-    """Monthly CSV files by name; unreadable files are passed over."""
-    df = spark.read.schema(schemas.RAW_SCHEMA).option("header", True).option("mode", "PERMISSIVE").option("ignoreCorruptFiles", True).csv(glob)
-    return with_ordinal(df)
+def monthly_tables(spark: SparkSession, paths: str | list[str]) -> delimited.Tables:
+    """Monthly CSV files, columns by name, with a status for each file; empty and unreadable ones give no rows."""
+    return delimited.read(spark, paths, schemas.RAW_SCHEMA.names, nulls=schemas.TABLE_NULLS)
+
+
+def read_monthly(spark: SparkSession, glob: str | list[str]) -> DataFrame:
+    """Records of monthly CSV files; ``ordinal`` orders by file name, then record."""
+    return _ordered(delimited.typed(monthly_tables(spark, glob).rows, schemas.RAW_SCHEMA))
+
+
+def _ordered(rows: DataFrame) -> DataFrame:
+    return rows.select(*(c for c in rows.columns if c not in ("file", "line", "physical_line")), F.struct("file", "line").alias("ordinal"))
 
 
 def null_tokens(df: DataFrame, tokens: tuple[str, ...] = schemas.CATALOG_NULLS) -> DataFrame:
@@ -37,9 +40,8 @@ def null_tokens(df: DataFrame, tokens: tuple[str, ...] = schemas.CATALOG_NULLS)
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """The official code catalog, an ISO-8859-1 CSV with its columns in any order; ``ordinal`` is the file order."""
-    df = spark.read.option("header", True).option("encoding", "ISO-8859-1").option("quote", '"').option("escape", '"').csv(path)
-    df = null_tokens(df.select(*(F.col(c).cast("string") for c in schemas.CATALOG_SCHEMA.names)))
-    return df.withColumn("ordinal", F.monotonically_increasing_id())
+    found = delimited.read(spark, path, schemas.CATALOG_SCHEMA.names, "iso-8859-1", ("", *schemas.CATALOG_NULLS))
+    return _ordered(found.rows)
 
 
 def clean_audit_catalog(catalog: DataFrame) -> DataFrame:
@@ -51,15 +53,15 @@ def clean_audit_catalog(catalog: DataFrame) -> DataFrame:
 
 
 def _rules(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """An all-text CSV of rules with its file order; a missing or empty file is an empty table."""
-    empty = spark.createDataFrame([], schema).withColumn("ordinal", F.lit(0).cast("bigint"))
+    """A CSV of rules as text, columns by name, with its file order; without a file, or one of some bytes, an empty table."""
     try:
-        df = spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+        found = delimited.read(spark, path, schema.names, nulls=schemas.TABLE_NULLS)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
-            return empty
+            return spark.createDataFrame([], schema).withColumn("ordinal", F.lit(0).cast("bigint"))
         raise
-    return df.withColumn("ordinal", F.monotonically_increasing_id())
+    long_enough = found.status.where(F.col("size") >= schemas.LEAST_RULE_BYTES).select("file")
+    return _ordered(found.rows.join(long_enough, "file", "left_semi"))
 
 
 def read_corrections(spark: SparkSession, path: str) -> DataFrame:
@@ -72,16 +74,22 @@ def read_overrides(spark: SparkSession, path: str) -> DataFrame:
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
     """A processed CSV with its types; codes keep their zeros."""
-    return spark.read.schema(schemas.FACT_SCHEMA).option("header", True).csv(path)
+    return delimited.typed(delimited.read(spark, path, schemas.FACT_SCHEMA.names).rows, schemas.FACT_SCHEMA).select(*schemas.FACT_SCHEMA.names)
 
 
 def read_fact_text(spark: SparkSession, path: str) -> DataFrame:
-    """A processed CSV as text; ``line`` is the line in its file, the first row on line 2.
+    """A processed CSV as text, its columns in the order of its header; ``line`` counts the records, the first on 2.
 
-    Lines count rows in file order, as for a single file without line breaks in fields.
+    A record counts once, whatever line breaks its fields hold.  Of several files, by name, the
+    header is that of the first, and the records of each follow those of the one before.
     """
-    df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
-    return number_lines(df.withColumn("__at", F.monotonically_increasing_id()), "__at").drop("__at")
+    found = delimited.read(spark, path, None)
+    first = found.headers.orderBy("file").limit(1).collect()
+    names = first[0]["names"] if first else []
+    # a row a file
+    before = found.status.select("file", (F.sum("n_rows").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))).alias("before"))
+    rows = found.rows.join(before, "file").withColumn("line", F.col("line") + F.coalesce("before", F.lit(0)))
+    return rows.select(*names, "line")
 
 
 def number_lines(df: DataFrame, *order: str, name: str = "line", first: int = 2) -> DataFrame:
