@@ -299,7 +299,8 @@ def _merged(left: DataFrame, level: int, parts: int, fan_in: int, window: int) -
                 groups.setdefault(r["part"] // fan_in, []).append((r["part"], r["doc_id"], r["start"], r["ids"], r["doc_tokens"]))
         for group, pieces in sorted(groups.items()):
             rows = _Rows(level, group)
-            rest = fill([p[1:] for p in sorted(pieces, key=lambda p: p[:3])], window, rows.emit)
+            pieces.sort(key=lambda p: (p[0], p[1] is None, p[1] or 0, p[2]))  # null ids last
+            rest = fill([p[1:] for p in pieces], window, rows.emit)
             if parts > 1:
                 rows.leave(rest, group)
             while parts == 1 and rest:

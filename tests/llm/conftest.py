@@ -15,7 +15,7 @@ def make_docs(spark):
 
 
 LONG = "lorem ipsum dolor sit amet, consectetur " * 4000
-ODD = [(1, "Hello, world!"), (2, None), (3, ""), (4, "Hello, world!"), (4, "Hello, world!"), (5, "  \n\t "), (6, LONG), (7, "x<|endoftext|>y  z"), (8, "ßé 漢字 🙂 \x1c á İ Σς"), (9, "don't we'll 123 &&&, a_b.c")]
+ODD = [(1, "Hello, world!"), (2, None), (3, ""), (4, "Hello, world!"), (4, "Hello, world!"), (5, "  \n\t "), (6, LONG), (7, "x<|endoftext|>y  z"), (8, "ßé 漢字 🙂 \x1c á İ Σς"), (9, "don't we'll 123 &&&, a_b.c"), (None, "a text without an id"), (None, "Hello, world!"), (None, None)]
 
 
 @pytest.fixture(scope="session")

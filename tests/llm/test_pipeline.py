@@ -78,7 +78,7 @@ def test_clean_documents_stay(spark, sf):
 
 def test_odd_rows_and_clashing_columns(spark, sf, odd):
     """Null and empty texts, repeated rows, a very long text, and columns that operators use inside."""
-    docs = documents(spark, sf).unionByName(odd.where("doc_id > 0").withColumn("doc_id", odd.doc_id + 10_000_000), allowMissingColumns=True)
+    docs = documents(spark, sf).unionByName(odd.withColumn("doc_id", odd.doc_id + 10_000_000), allowMissingColumns=True)
     kept = pipeline.drop_toxic(spark, docs, sf)
     assert kept.columns == docs.columns and kept.where("rejected = 'x'").count() == odd.count()
     named = pipeline.drop_unidentified(spark, kept, sf)
@@ -87,6 +87,7 @@ def test_odd_rows_and_clashing_columns(spark, sf, odd):
     assert once.where("doc_id > 10000000").count() >= 4 and once.columns == docs.columns
     cut = pipeline.cut_repeats(spark, once, sf)
     assert cut.count() == once.count() and cut.where("n_chars != length(text)").count() == 0
+    assert pipeline.pack_tokens(spark, cut, sf).where("doc_id IS NULL AND start = 0").count() == cut.where("doc_id IS NULL").count()
 
 
 def test_empty_table(spark, sf):
