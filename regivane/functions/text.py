@@ -124,7 +124,9 @@ def list_text(values: Column) -> Column:
 
 
 def title(x: Column) -> Column:
-    return F.initcap(x)
+    """Each run of letters that have a case begins with a capital and goes on in small ones."""
+    runs = F.regexp_extract_all(x, F.lit(r"[\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+"), F.lit(0))
+    return F.array_join(F.transform(runs, F.initcap), "")
 
 
 def thousands(x: Column) -> Column:
@@ -143,6 +145,29 @@ def mid_month(year: Column, month: Column) -> Column:
     return F.make_date(year, month, F.lit(15))
 
 
+def round_half_even(x: Column, digits: int = 2) -> Column:
+    """A double rounded by its exact value, exact halves to the even digit; at most three digits.
+
+    A double is a 53-bit integer times a power of two, so the digits wanted are an integer quotient
+    by a power of two, whose rest decides; nothing is rounded on the way.
+    """
+    if not 0 < digits <= 3:
+        raise ValueError("between one and three digits")
+    parts = F.format_string("%a", F.abs(x))  # 0x1.8p-3: leading bit, fraction in base 16, exponent
+    form = r"^0x([01])\.([0-9a-f]+)p(-?[0-9]+)$"
+    whole = F.conv(F.concat(F.regexp_extract(parts, form, 1), F.rpad(F.regexp_extract(parts, form, 2), 13, "0")), 16, 10).try_cast("bigint")
+    shift = F.lit(52) - F.regexp_extract(parts, form, 3).try_cast("int")
+    number, by = whole * 10**digits, F.least(shift, F.lit(63))
+    quotient = F.call_function("shiftright", number, by)
+    rest, half = number - F.call_function("shiftleft", quotient, by), F.call_function("shiftleft", F.lit(1).cast("bigint"), by - 1)
+    up = (rest > half) | ((rest == half) & (quotient % 2 == 1))
+    rounded = quotient + up.cast("bigint")
+    last = rounded % 10**digits
+    digits_text = F.concat(F.call_function("div", rounded, F.lit(10**digits)).cast("string"), F.lit("."), F.lpad(last.cast("string"), digits, "0"))
+    value = F.when(shift >= 64, F.lit(0.0)).otherwise(digits_text.try_cast("double"))
+    return F.when(x.isNull() | ~parts.rlike(form) | (shift <= 0), x).otherwise(F.when(x < 0, -value).otherwise(value))
+
+
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
-    """``part`` of ``whole`` in per cent; null where ``whole`` is 0."""
-    return F.round(F.try_divide(part.cast("double"), whole.cast("double")) * 100, digits)
+    """``part`` of ``whole`` in per cent, as :func:`round_half_even` has it; null where ``whole`` is 0."""
+    return round_half_even(F.try_divide(part.cast("double"), whole.cast("double")) * 100, digits)

@@ -26,13 +26,16 @@ def assemble(resolved: DataFrame) -> DataFrame:
     )
 
 
-def aggregate_collisions(fact: DataFrame, order: str = "ordinal") -> DataFrame:
-    """One row a key: counts summed (null: 0), all names from the first row; null keys form a group."""
+def aggregate_collisions(fact: DataFrame, order: str = "ordinal", n_rows: bool = False) -> DataFrame:
+    """One row a key: counts summed (null: 0), all names from the first row; null keys form a group.
+
+    ``n_rows`` adds how many rows a key has.
+    """
     keys = [*(["dataset"] if "dataset" in fact.columns else []), *S.FACT_KEY]
-    summed = fact.groupBy(*keys).agg(F.min_by(F.struct(*_NAMES), order).alias("names"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _COUNTS))
-    flat = summed.select(*keys, *(F.col(f"names.{c}").alias(c) for c in _NAMES), *_COUNTS)
-    return flat.select(*(["dataset"] if "dataset" in fact.columns else []), *S.TARGET_COLUMNS)
+    summed = fact.groupBy(*keys).agg(F.min_by(F.struct(*_NAMES), order).alias("names"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _COUNTS), F.count("*").alias("n_rows"))
+    flat = summed.select(*keys, *(F.col(f"names.{c}").alias(c) for c in _NAMES), *_COUNTS, "n_rows")
+    return flat.select(*(["dataset"] if "dataset" in fact.columns else []), *S.TARGET_COLUMNS, *(["n_rows"] if n_rows else []))
 
 
-def in_output_order(fact: DataFrame) -> DataFrame:
-    return fact.orderBy("cvegeo", "year", "month")
+#: The order of a published table; the status, which parts equal places and months, makes it whole.
+OUTPUT_ORDER = ["cvegeo", "year", "month", "status_id"]

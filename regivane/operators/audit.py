@@ -74,6 +74,8 @@ def file_summary(rows: DataFrame, errors: DataFrame, expected: list[str], label:
     )
 
 
-def passed(summary: DataFrame, cross: DataFrame) -> bool:
-    """Whether every file passed and the totals agree."""
-    return summary.where("NOT passed").isEmpty() and cross.where("NOT consistent").isEmpty()
+def verdict(summary: DataFrame, cross: DataFrame) -> DataFrame:
+    """One row (files, files_passed, consistent, passed): whether every file passed and the totals agree."""
+    files = summary.agg(F.count("*").alias("files"), F.count_if("passed").alias("files_passed"))
+    both = files.crossJoin(cross.select("consistent"))  # a row each
+    return both.withColumn("passed", (F.col("files") == F.col("files_passed")) & F.col("consistent"))

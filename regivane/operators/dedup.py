@@ -20,3 +20,14 @@ def keep_last(df: DataFrame, keys: list[str], order: str | Column) -> DataFrame:
 
 def keep_first(df: DataFrame, keys: list[str], order: str | Column) -> DataFrame:
     return _keep(df, keys, order, F.min_by)
+
+
+def keep_last_by_address(df: DataFrame, keys: list[str], address: list[str]) -> DataFrame:
+    """As :func:`keep_last` for rows that the ``address`` columns name, the last of which is the order, a number.
+
+    Only keys and addresses are aggregated, in a hash table; the winners' rows are then taken by
+    a semi-join on their addresses, so no whole row goes through the aggregate.
+    """
+    *within, order = address
+    winners = df.groupBy(*keys).agg(F.max(order).alias(order)).select(*within, order)
+    return df.join(winners, address, "left_semi")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from regivane import schemas as S
@@ -72,10 +72,14 @@ def discrepancies(records: DataFrame, ref: DataFrame, dataset: str | None = None
     return both.select(named.alias("dataset"), "id_estado", F.col("municipio").alias("municipio_raw"), "municipio_norm", "row_count", "total_persons", "issue_type", "notes")
 
 
-def in_report_order(rows: DataFrame, datasets: list[str]) -> DataFrame:
+def report_order(datasets: list[str]) -> list[Column]:
     """Datasets as given, the unknown state first, then by state and name."""
     place = F.array_position(F.array(*(F.lit(d) for d in datasets)), F.col("dataset"))
-    return rows.orderBy(place, F.col("id_estado") != S.UNKNOWN_STATE_ID, "id_estado", "municipio_raw", "municipio_norm")
+    return [place, F.col("id_estado") != S.UNKNOWN_STATE_ID, F.col("id_estado"), F.col("municipio_raw"), F.col("municipio_norm")]
+
+
+def in_report_order(rows: DataFrame, datasets: list[str]) -> DataFrame:
+    return rows.orderBy(*report_order(datasets))
 
 
 def cross_status(totals: DataFrame, total: str, label: str = "dataset", persons: str = "total", limit_pct: float = 1.0) -> DataFrame:

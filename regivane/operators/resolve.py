@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from regivane import schemas as S
 from regivane.functions import text
-from regivane.operators.dedup import keep_first, keep_last
+from regivane.operators.dedup import keep_first, keep_last, keep_last_by_address
 from regivane.storage import sized_broadcast
 
 _GEO = ["cvegeo", "cve_estado", "cve_mun", "state", "municipality"]
@@ -32,9 +32,9 @@ def normalize_records(raw: DataFrame) -> DataFrame:
     )
 
 
-def dedup_records(records: DataFrame) -> DataFrame:
-    """Of records with the same key the one of the highest ordinal."""
-    return keep_last(records, S.RECORD_KEY, "ordinal")
+def dedup_records(records: DataFrame, *within: str) -> DataFrame:
+    """Of records with the same key the one of the highest ordinal, a number that no other record (of ``within``) has."""
+    return keep_last_by_address(records, [*within, *S.RECORD_KEY], [*within, "ordinal"])
 
 
 def build_reference(catalog: DataFrame) -> DataFrame:
@@ -164,3 +164,22 @@ def resolve(records: DataFrame, ref: DataFrame, corrections: DataFrame, override
     fixed = apply_corrections(records, correction_rules(corrections))
     matched = apply_overrides(geo_join(fixed, ref), override_rules(overrides, ref))
     return assign_unresolved(assign_sentinels(matched))
+
+
+_NAME = ["id_estado", "estado", "municipio"]
+
+
+def resolve_by_name(records: DataFrame, ref: DataFrame, corrections: DataFrame, overrides: DataFrame) -> DataFrame:
+    """:func:`resolve` over records as they were read, through a dictionary of their distinct names.
+
+    All that the stages look at follows from a record's state and municipality, which repeat every
+    month: each distinct one is normalised and resolved once, and the records join the result.
+    """
+    names = normalize_records(records.select(*_NAME).distinct())
+    known = resolve(names, ref, corrections, overrides)
+    added = [c for c in known.columns if c not in _NAME]
+    known = known.select(*(F.col(c).alias(f"__{c}") for c in _NAME), *added)
+    same = F.lit(True)
+    for c in _NAME:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return records.join(known, same, "left").select(*records.columns, *added)

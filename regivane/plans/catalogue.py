@@ -128,6 +128,26 @@ def display_formats(spark, sf_dir):
     return t.groupBy("n_name").agg(F.sum("c_custkey").alias("keys")).select("n_name", text.title(F.col("n_name")).alias("titled"), "keys", text.thousands(F.col("keys")).alias("shown"))
 
 
+_TITLES = "upper(substr(lower(n_name), 1, 1)) || substr(lower(n_name), 2)"
+
+
+@query(f"SELECT c_custkey, CAST(c_custkey % 10 AS VARCHAR) || 'A O''Brien-' || {_TITLES} || '/Éte_2Nd' AS titled FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def titles(spark, sf_dir):
+    """X11: letters behind digits, quotes and signs begin a word."""
+    t = syn.table(spark, sf_dir, "customer").join(syn.table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return t.select("c_custkey", text.title(F.concat((F.col("c_custkey") % 10).cast("string"), F.lit("a o'BRIEN-"), "n_name", F.lit("/éTE_2ND"))).alias("titled"))
+
+
+#: Ties of doubles, decimals whose doubles lie beside a tie, and rates.
+_RATES = {"tie": "p_partkey / CAST(1024 AS DOUBLE)", "beside": "(2 * p_partkey + 1) / CAST(200 AS DOUBLE)", "negative": "-(2 * p_partkey + 1) / CAST(1000 AS DOUBLE)", "rate": "p_partkey / CAST(p_partkey + 7 AS DOUBLE) * 100", "tiny": "p_partkey / CAST(1000000000 AS DOUBLE) / 1000"}
+
+
+@query(f"SELECT p_partkey, {', '.join(f'{syn.round2_sql(e)} AS {n}' for n, e in _RATES.items())} FROM part")
+def rounded_rates(spark, sf_dir):
+    """Doubles rounded by their exact value, exact halves to the even digit."""
+    return syn.table(spark, sf_dir, "part").select("p_partkey", *(text.round_half_even(F.expr(e)).alias(n) for n, e in _RATES.items()))
+
+
 # ---- sources and sinks with a relational part: S2, S10, S11, U1, U3, C2, C4, J11 ----
 
 
@@ -302,9 +322,8 @@ def resolve_full(spark, sf_dir):
 @query(syn.CTE + "SELECT cvegeo, year, month, status_id, count(*) AS n_rows, CAST(sum(total) AS BIGINT) AS total FROM (SELECT geo_cvegeo AS cvegeo, anio AS year, mes AS month, id_estatus_victima AS status_id, total_personas AS total FROM resolved) GROUP BY ALL HAVING count(*) > 1")
 def aggregate_collisions(spark, sf_dir):
     """A2: the keys that more than one record falls on."""
-    flat = assemble.assemble(syn.resolved(spark, sf_dir))
-    several = flat.groupBy(*S.FACT_KEY).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
-    return assemble.aggregate_collisions(flat).join(several, S.FACT_KEY).select(*S.FACT_KEY, "n_rows", "total")
+    counted = assemble.aggregate_collisions(assemble.assemble(syn.resolved(spark, sf_dir)), n_rows=True)
+    return counted.where("n_rows > 1").select(*S.FACT_KEY, "n_rows", "total")
 
 
 @query(syn.CTE + "SELECT CAST((SELECT sum(total_personas) FROM records) AS BIGINT) AS before, CAST((SELECT sum(total) FROM fact) AS BIGINT) AS after")
@@ -358,7 +377,7 @@ def _flawed(spark, sf_dir):
     "SELECT dataset, true AS schema_ok, count(*) AS total_rows, count(*) FILTER (cvegeo IS NULL) AS missing_cvegeo, count(*) FILTER (state IS NULL) AS missing_state, "
     "count(*) FILTER (cvegeo IS NOT NULL) - count(DISTINCT CASE WHEN cvegeo IS NOT NULL THEN {'a': cvegeo, 'b': year, 'c': month, 'd': status_id} END) AS duplicates, "
     "count(*) FILTER (NOT year BETWEEN 1996 AND 2000) AS invalid_year, count(*) FILTER (NOT month BETWEEN 1 AND 12) AS invalid_month, count(*) FILTER (male + female + undefined <> total) AS sex_total_mismatch, "
-    "round((count(*) - count(*) FILTER (cvegeo IS NULL))::DOUBLE / count(*)::DOUBLE * 100, 2) AS match_rate_pct FROM flawed GROUP BY dataset"
+    f"{syn.round2_sql('(count(*) - count(*) FILTER (cvegeo IS NULL))::DOUBLE / count(*)::DOUBLE * 100')} AS match_rate_pct FROM flawed GROUP BY dataset"
 )
 def quality_report(spark, sf_dir):
     """Q1, A8 to A11, F2, F3, F10, X12, D7, S13, U2."""
@@ -398,15 +417,9 @@ _AUDIT = (
 )
 
 
-#: Numbered facts by application and folder: the audit's queries read one.
-_NUMBERED: dict[tuple[str, str], DataFrame] = {}
-
-
 def _published(spark, sf_dir):
-    key = spark.sparkContext.applicationId, sf_dir
-    if key not in _NUMBERED:
-        _NUMBERED[key] = readers.number_lines(syn.fact(spark, sf_dir), "cvegeo", "year", "month", "status_id").select("line", *S.TARGET_COLUMNS)
-    return spark.sql(_PUBLISHED.replace("FROM numbered", "FROM {numbered}"), numbered=_NUMBERED[key])
+    numbered = readers.number_lines(syn.fact(spark, sf_dir), "cvegeo", "year", "month", "status_id").select("line", *S.TARGET_COLUMNS)
+    return spark.sql(_PUBLISHED.replace("FROM numbered", "FROM {numbered}"), numbered=numbered)
 
 
 def _audit(spark, sf_dir):

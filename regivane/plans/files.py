@@ -14,7 +14,7 @@ from regivane.operators import acquire, assemble, audit, quality, resolve
 from regivane.plans import registry
 from regivane.plans import synthetic as syn
 from regivane.sources import delimited, readers, sinks
-from regivane.storage import shared_path
+from regivane.storage import fixed, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -153,7 +153,7 @@ def rules_from_csv(spark, sf_dir):
 def fact_from_csv(spark, sf_dir):
     """The published table written in its order and read with its types; codes keep their zeros."""
     path = shared_path(spark, "fact.csv")
-    sinks.write_csv(assemble.in_output_order(syn.fact(spark, sf_dir)).select(S.TARGET_COLUMNS), path)
+    sinks.write_sorted_csv(syn.fact(spark, sf_dir).select(S.TARGET_COLUMNS), path, *assemble.OUTPUT_ORDER)
     return readers.read_fact(spark, path)
 
 
@@ -161,7 +161,7 @@ def fact_from_csv(spark, sf_dir):
 def fact_lines_from_csv(spark, sf_dir):
     """The published table as text with the lines of its file."""
     path = shared_path(spark, "fact.csv")
-    sinks.write_csv(assemble.in_output_order(syn.fact(spark, sf_dir)).select(S.TARGET_COLUMNS), path)
+    sinks.write_sorted_csv(syn.fact(spark, sf_dir).select(S.TARGET_COLUMNS), path, *assemble.OUTPUT_ORDER)
     return readers.read_fact_text(spark, path)
 
 
@@ -193,8 +193,8 @@ def discrepancies_from_csv(spark, sf_dir):
     """The listing, written only where there is a row, read with its types and its lines."""
     path = shared_path(spark, "discrepancies.csv")
     issues = quality.discrepancies(syn.records(spark, sf_dir), syn.reference(spark, sf_dir), "registry")
-    sinks.write_discrepancies(quality.in_report_order(issues, ["registry"]), path)
-    if sinks.write_discrepancies(issues.limit(0), f"{path}-none"):
+    sinks.write_discrepancies(issues, path, ["registry"])
+    if sinks.write_discrepancies(issues.limit(0), f"{path}-none", ["registry"]):
         raise ValueError("an empty listing was written")
     return delimited.typed(delimited.read(spark, path, S.DISCREPANCY_SCHEMA.names).rows, S.DISCREPANCY_SCHEMA).drop("file", "physical_line")
 
@@ -207,9 +207,9 @@ _SWAPPED = [*S.TARGET_COLUMNS[1:], S.TARGET_COLUMNS[0]]
 def _audited(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     out, catalog = shared_path(spark, "published"), shared_path(spark, "catalog.csv")
     _write_catalog(syn.catalog(spark, sf_dir), catalog)
-    fact = assemble.in_output_order(syn.fact(spark, sf_dir))
-    sinks.write_csv(fact.where("status_id = 2").select(S.TARGET_COLUMNS), f"{out}/located_alive.csv")
-    sinks.write_csv(fact.where("status_id = 3").select(_SWAPPED), f"{out}/located_dead.csv")
+    fact = fixed(syn.fact(spark, sf_dir), "fact")
+    sinks.write_sorted_csv(fact.where("status_id = 2").select(S.TARGET_COLUMNS), f"{out}/located_alive.csv", *assemble.OUTPUT_ORDER)
+    sinks.write_sorted_csv(fact.where("status_id = 3").select(_SWAPPED), f"{out}/located_dead.csv", *assemble.OUTPUT_ORDER)
     return registry.audit_files(spark, out, _FILES, catalog)
 
 
@@ -233,6 +233,31 @@ def audit_summary_from_csv(spark, sf_dir):
     return _audited(spark, sf_dir)[1]
 
 
+@query(
+    syn.CTE.rstrip() + ", files AS (SELECT status_id, CAST(sum(total) AS BIGINT) AS persons, count(*) FILTER (year NOT BETWEEN 2015 AND 2025) AS n_errors FROM fact GROUP BY status_id), "
+    "parts AS (SELECT sum(persons) FILTER (status_id = 7) AS whole, sum(persons) FILTER (status_id <> 7) AS parts FROM files) "
+    "SELECT count(*) AS files, count(*) FILTER (n_errors = 0) AS files_passed, (SELECT abs(whole - parts)::DOUBLE / whole::DOUBLE * 100 <= 1.0 FROM parts) AS consistent, "
+    "count(*) = count(*) FILTER (n_errors = 0) AND (SELECT abs(whole - parts)::DOUBLE / whole::DOUBLE * 100 <= 1.0 FROM parts) AS passed FROM files"
+)
+def audit_verdict(spark, sf_dir):
+    """Q6: one call from published files to pass or fail; the years of these are all out of range."""
+    out, catalog = shared_path(spark, "published"), shared_path(spark, "catalog.csv")
+    _write_catalog(syn.catalog(spark, sf_dir), catalog)
+    fact = fixed(syn.fact(spark, sf_dir), "fact")
+    names = {"total": 7, "located_alive": 2, "located_dead": 3}
+    for name, status in names.items():
+        sinks.write_sorted_csv(fact.where(F.col("status_id") == status).select(S.TARGET_COLUMNS), f"{out}/{name}.csv", *assemble.OUTPUT_ORDER)
+    return registry.audit_run(spark, out, list(names), catalog)
+
+
+@query(syn.CTE + f"SELECT 1 AS line, '{','.join(S.TARGET_COLUMNS)}' AS record UNION ALL SELECT row_number() OVER (ORDER BY cvegeo, year, month, status_id) + 1, {' || chr(44) || '.join(f'coalesce(CAST({c} AS VARCHAR), chr(32)[2:])' for c in S.FACT_SCHEMA.names)} FROM fact")
+def fact_file_lines(spark, sf_dir):
+    """The lines of the one published file, whose parts several tasks write and put together."""
+    path = shared_path(spark, "fact.csv")
+    sinks.write_sorted_csv(syn.fact(spark, sf_dir).select(S.TARGET_COLUMNS), path, *assemble.OUTPUT_ORDER)
+    return delimited.records(spark, path).select("line", F.array_join("fields", ",").alias("record"))
+
+
 def _answers() -> Callable[[str], tuple[int, str]]:
     """A service that refuses the first request of a third of the payloads, answers wrongly that of another, and fails for every fifth."""
     asked: dict[str, int] = {}

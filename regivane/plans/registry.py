@@ -19,10 +19,9 @@ def load_records(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 def process(records: DataFrame, catalog: DataFrame, corrections: DataFrame, overrides: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(fact, discrepancies) of all datasets in one plan; discrepancies are taken before corrections."""
     ref = resolve.build_reference(catalog)
-    normal = resolve.normalize_records(records)
-    deduped = resolve.keep_last(normal, ["dataset", *S.RECORD_KEY], "ordinal")
-    fact = assemble.aggregate_collisions(assemble.assemble(resolve.resolve(deduped, ref, corrections, overrides)))
-    return fact, quality.discrepancies(deduped, ref)
+    deduped = resolve.dedup_records(records, "dataset")
+    fact = assemble.aggregate_collisions(assemble.assemble(resolve.resolve_by_name(deduped, ref, corrections, overrides)))
+    return fact, quality.discrepancies(resolve.normalize_records(deduped), ref)
 
 
 def run(spark: SparkSession, paths: dict[str, str], catalog: str, corrections: str, overrides: str, out: str, total: str = "total") -> dict[str, DataFrame]:
@@ -31,10 +30,10 @@ def run(spark: SparkSession, paths: dict[str, str], catalog: str, corrections: s
     fact, issues = process(load_records(spark, paths), *tables)
     fact, issues = fixed(fact, "fact"), fixed(issues, "discrepancies")
     for name in paths:
-        sinks.write_csv(assemble.in_output_order(fact.where(F.col("dataset") == name).select(*S.TARGET_COLUMNS)), f"{out}/{name}.csv")
+        sinks.write_sorted_csv(fact.where(F.col("dataset") == name).select(*S.TARGET_COLUMNS), f"{out}/{name}.csv", *assemble.OUTPUT_ORDER)
     report = quality.quality_report(fact)
     sinks.write_csv(report, f"{out}/quality_report.csv")
-    sinks.write_discrepancies(quality.in_report_order(issues, list(paths)), f"{out}/discrepancies.csv")
+    sinks.write_discrepancies(issues, f"{out}/discrepancies.csv", list(paths))
     return {"fact": fact, "quality": report, "discrepancies": issues, "cross_status": quality.cross_status(fact, total)}
 
 
@@ -58,3 +57,11 @@ def audit_files(spark: SparkSession, out: str, datasets: list[str], catalog: str
     all_errors = acquire.union_months([empty, *errors])
     all_rows = acquire.union_months([spark.createDataFrame([], "file string, total string"), *rows])
     return all_errors, audit.file_summary(all_rows, all_errors, datasets)
+
+
+def audit_run(spark: SparkSession, out: str, datasets: list[str], catalog: str, total: str = "total") -> DataFrame:
+    """One row that says whether every published file passes and the total agrees with the others."""
+    errors, summary = audit_files(spark, out, datasets, catalog)
+    found = fixed(summary, "audit-summary")
+    totals = found.select(F.col("file").alias("dataset"), F.col("persons").alias("total"))
+    return audit.verdict(found, quality.cross_status(totals, total))

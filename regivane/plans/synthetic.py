@@ -86,8 +86,8 @@ def overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Normalised, deduplicated records."""
-    return resolve.dedup_records(resolve.normalize_records(raw(spark, sf_dir)))
+    """Deduplicated records, normalised; the key has the names as they were read, so fewer are normalised."""
+    return resolve.normalize_records(resolve.dedup_records(raw(spark, sf_dir)))
 
 
 def corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +95,8 @@ def corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve.resolve(records(spark, sf_dir), reference(spark, sf_dir), corrections(spark, sf_dir), overrides(spark, sf_dir))
+    deduplicated = resolve.dedup_records(raw(spark, sf_dir))
+    return resolve.resolve_by_name(deduplicated, reference(spark, sf_dir), corrections(spark, sf_dir), overrides(spark, sf_dir))
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +117,15 @@ def agg_sql(x: str) -> str:
     return rf"trim(regexp_replace(regexp_replace({words}, '\bde\b', '', 'g'), ' +', ' ', 'g'))"
 
 
+def round2_sql(x: str) -> str:
+    """Two digits of a double, from all digits that it has: the tail decides, an exact half goes to the even digit."""
+    written = f"format('{{:.120f}}', abs({x}))"
+    head, tail = f"CAST(replace({written}[:-119], '.', '') AS HUGEINT)", f"{written}[-118:]"
+    half = "5" + "0" * 117
+    up = f"CASE WHEN {tail} > '{half}' OR ({tail} = '{half}' AND {head} % 2 = 1) THEN 1 ELSE 0 END"
+    return f"sign({x}) * CAST(CAST({head} + {up} AS DECIMAL(38, 0)) AS DOUBLE) / 100"
+
+
 _RAW_SQL = ", ".join(f"{e.replace('AS STRING', 'AS VARCHAR')} AS {n}" for n, e in RAW_COLUMNS.items())
 
 CTE = f"""WITH places AS (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey),

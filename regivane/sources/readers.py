@@ -10,13 +10,16 @@ from pyspark.sql.utils import AnalysisException
 from regivane import schemas
 from regivane.functions import text
 from regivane.sources import delimited
-from regivane.storage import fixed
+from regivane.storage import discard, fixed, sized_broadcast
 
 
 def read_records(spark: SparkSession, *paths: str) -> DataFrame:
-    """Consolidated records; ``ordinal`` orders by file name, then row."""
+    """Consolidated records; ``ordinal`` is a row's address as a number, by file name, then row."""
     df = spark.read.schema(schemas.RAW_SCHEMA).parquet(*paths)
-    return df.withColumn("ordinal", F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("row")))
+    names = sorted(f.replace("file:///", "file:/", 1) for f in df.inputFiles())  # the driver's listing, as a file's metadata has it
+    numbers = spark.createDataFrame(list(enumerate(names)), "file_number bigint, file_name string")
+    placed = df.withColumns({"file_name": F.col("_metadata.file_path"), "row_number": F.col("_metadata.row_index")})
+    return placed.join(sized_broadcast(numbers), "file_name").select(*schemas.RAW_SCHEMA.names, (F.shiftleft("file_number", 40) + F.col("row_number")).alias("ordinal"))
 
 
 def monthly_tables(spark: SparkSession, paths: str | list[str]) -> delimited.Tables:
@@ -95,10 +98,13 @@ def read_fact_text(spark: SparkSession, path: str) -> DataFrame:
 def number_lines(df: DataFrame, *order: str, name: str = "line", first: int = 2) -> DataFrame:
     """Consecutive line numbers by ``order`` (a unique key) without gathering the rows in one task.
 
-    Rows are range-sorted and fixed; a task numbers its own and adds the sizes of the parts before.
+    The rows are written, so that finding the ranges does not compute them twice, range-sorted and
+    fixed; a task numbers its own and adds the sizes of the parts before.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = fixed(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "lines")
+    rows = fixed(df, "unnumbered")
+    ranged = fixed(rows.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "lines")
+    discard(rows)
     # one row a partition, so this window is small
     sizes = ranged.groupBy("__part").count()
     starts = sizes.select("__part", (F.sum("count").over(Window.partitionBy(F.lit(0)).orderBy("__part")) - F.col("count")).alias("__start"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -29,11 +30,15 @@ def _local_root() -> str:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder that ``spark.checkpoint.dir`` names; a local one of this process only where none is set.
+    """The shared folder that ``spark.checkpoint.dir`` names; without one, a local folder if Spark runs in this process alone.
 
-    The session's setting is read, never changed.
+    The session's setting is read, never changed.  On a cluster a lack of it is an error, since
+    executors would write where nobody else reads.
     """
-    return (spark.conf.get("spark.checkpoint.dir", None) or _local_root()).rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return (named or _local_root()).rstrip("/")
 
 
 def shared_path(spark: SparkSession, label: str) -> str:

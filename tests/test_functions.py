@@ -54,3 +54,24 @@ def test_list_text_and_dates(spark):
         text.thousands(F.lit(1234567)).alias("d"), text.percent(F.lit(0), F.lit(0)).alias("e"),
     ).first()
     assert tuple(row) == ("['25', '26']", "2016-02-29", "2016-02-01", "1,234,567", None)
+
+
+def test_rounding_equals_pythons(spark):
+    import math
+    import random
+
+    rng = random.Random(2)
+    given = [2.675, 0.125, 0.375, 1.005, -2.675, -0.125, 0.0, 1e-9, 5e-324, 2.5e-3, 99.995, 1e15 / 8, 2.0**52 + 1, 1e300, 2.0**46 + 0.125, float("inf"), 4503599627370495.5]
+    given += [rng.randrange(10**6) / 1000 for _ in range(500)] + [rng.randrange(2**20) / 2**rng.randrange(1, 30) for _ in range(500)] + [rng.uniform(-1, 1) * 10 ** rng.randint(-8, 14) for _ in range(500)]
+    for digits in (1, 2, 3):
+        rows = spark.createDataFrame([(k, x) for k, x in enumerate(given)], "k int, x double").select("k", text.round_half_even(F.col("x"), digits).alias("y")).orderBy("k").collect()
+        wrong = [(x, r.y, round(x, digits)) for x, r in zip(given, rows, strict=True) if r.y != round(x, digits)]
+        assert wrong == [], digits
+    odd = spark.createDataFrame([(None,), (float("nan"),)], "x double").select(text.round_half_even(F.col("x")).alias("y")).collect()
+    assert odd[0].y is None and math.isnan(odd[1].y)
+
+
+def test_title_equals_pythons(spark):
+    for given in ("9a o'brien", "SAN LUIS potosí", "ciudad_de 3er-mundo", "ÉTÉ été", "a1b2 c", "", "..x", "漢字x y"):
+        assert value(spark, text.title, given) == given.title(), given
+    assert value(spark, text.title, None) is None
