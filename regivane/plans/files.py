@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import functools
 import json
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +16,7 @@ from regivane import schemas as S
 from regivane.operators import acquire, assemble, audit, quality, resolve
 from regivane.plans import registry
 from regivane.plans import synthetic as syn
-from regivane.sources import delimited, readers, sinks
+from regivane.sources import delimited, months, readers, requests, sinks
 from regivane.storage import fixed, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,6 +124,62 @@ def csv_line_breaks(spark, sf_dir):
     return found.select(*names, "line", "physical_line")
 
 
+@query(
+    syn.CTE + "SELECT anio, mes, id_estatus_victima, count(*) AS n_rows, CAST(sum(total_personas) AS BIGINT) AS persons, CASE WHEN mes <= 6 THEN 'first' ELSE 'last' END AS loaded, CAST(0 AS BIGINT) AS after_failure FROM raw GROUP BY ALL"
+)
+def months_committed(spark, sf_dir):
+    """A load that fails leaves nothing, one that is repeated adds only what is not there; ``loaded`` is told by the names."""
+    folder = shared_path(spark, "committed")
+    raw = fixed(syn.raw(spark, sf_dir).select(S.RAW_SCHEMA.names), "raw")
+    broken = raw.withColumn("municipio", F.when(F.col("mes") == 9, F.raise_error(F.lit("no such month"))).otherwise(F.col("municipio")))
+    with contextlib.suppress(PySparkException):
+        months.add_months(broken, folder)
+    failed = months.manifests(spark, folder).count()
+    for name, part in (("first", raw.where("mes <= 6")), ("first", raw.where("id_estatus_victima = 2 AND mes <= 6")), ("last", raw)):
+        months.add_months(part.withColumn("municipio", F.lit(name)), folder)
+    sums = months.read_months(spark, folder).groupBy(*months.MONTH_KEY).agg(F.count("*").alias("n_rows"), F.sum("total_personas").alias("persons"), F.max("municipio").alias("loaded"))
+    return sums.withColumn("after_failure", F.lit(failed).cast("bigint"))
+
+
+#: The state, month and status that a customer's page belongs to.
+_PLACED = "c_nationkey + 1 AS id_estado, CAST(CASE c_custkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 7 WHEN 2 THEN 2 ELSE 3 END AS BIGINT) AS status_id, CAST(2015 + c_custkey % 3 AS BIGINT) AS year, CAST(1 + c_custkey % 12 AS BIGINT) AS month"
+_ASKED = "year = 2016 AND status_id IN (7, 2, 3) AND month >= 3"
+
+
+@query(
+    f"WITH placed AS (SELECT c_custkey, {_PLACED} FROM customer), "
+    "asked AS (SELECT s AS status_id, m AS month, e AS id_estado FROM (SELECT unnest([7, 2, 3]) AS s), (SELECT unnest(range(3, 13)) AS m), (SELECT unnest(range(1, 34)) AS e) WHERE NOT (s = 7 AND m = 5)), "
+    "pages AS (SELECT status_id, month, id_estado, count(*) FILTER (id_estado % 5 <> 0) AS n, sum(c_custkey) FILTER (id_estado % 5 <> 0) AS persons FROM placed WHERE year = 2016 GROUP BY ALL), "
+    "tried AS (SELECT a.*, p.n, p.persons, CASE WHEN p.id_estado IS NULL OR a.id_estado % 5 = 0 THEN 4 WHEN a.id_estado % 5 = 1 THEN 3 ELSE 1 END AS attempts FROM asked a LEFT JOIN pages p USING (status_id, month, id_estado)) "
+    "SELECT CAST(status_id AS BIGINT) AS status_id, CAST(month AS BIGINT) AS month, count(*) AS n_requests, CAST(sum(attempts) AS BIGINT) AS attempts, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows, CAST(coalesce(sum(persons), 0) AS BIGINT) AS persons FROM tried GROUP BY ALL"
+)
+def acquired_months(spark, sf_dir):
+    """Responses of the months that filters leave and that are not there, asked for again after failures.
+
+    The service answers from files; those of every fifth state never answer, those of the next one
+    fail twice, once without a connection.
+    """
+    folder = shared_path(spark, "responses")
+    placed = syn.table(spark, sf_dir, "customer").selectExpr("c_custkey", *_PLACED.replace("c_nationkey + 1 AS", "CAST(c_nationkey + 1 AS BIGINT) AS").split(", "))
+    row = F.concat(F.lit("<tr><td>"), F.col("c_custkey").cast("string"), F.lit("</td><td>0</td><td>"), F.col("c_custkey").cast("string"), F.lit("</td><td>0</td></tr>"))
+    pages = placed.groupBy("status_id", "year", "month", "id_estado").agg(F.to_json(F.struct(F.array_join(F.collect_list(row), "").alias("Html"))).alias("body"))
+    answer = lambda status, body: F.struct(F.lit(status).alias("status"), body.alias("body"))
+    good = answer(200, F.col("body"))
+    state = F.col("id_estado") % 5
+    answers = F.when(state == 0, F.array(answer(500, F.lit("busy")))).when(state == 1, F.array(answer(0, F.lit("")), answer(200, F.lit("no json")), good)).otherwise(F.array(good))
+    pages.select("status_id", "year", "month", "id_estado", answers.alias("answers")).write.partitionBy("status_id", "year", "month").json(folder)
+    there = spark.createDataFrame([(7, 2016, 5)], "status_id bigint, year bigint, month bigint")
+    before = spark.conf.get(requests.PUSHDOWN, None)
+    spark.conf.set(requests.PUSHDOWN, "true")
+    try:
+        asked = fixed(requests.responses(spark, functools.partial(requests.StoredResponses, folder), there, pause=0.0).where(_ASKED), "responses")
+    finally:
+        spark.conf.unset(requests.PUSHDOWN) if before is None else spark.conf.set(requests.PUSHDOWN, before)
+    rows = acquire.records_from_responses(asked).groupBy(F.col("id_estatus_victima").alias("status_id"), F.col("mes").alias("month")).agg(F.count("*").alias("n_rows"), F.sum("total_personas").alias("persons"))
+    sums = asked.groupBy("status_id", "month").agg(F.count("*").alias("n_requests"), F.sum("attempts").cast("bigint").alias("attempts"))
+    return sums.join(rows, ["status_id", "month"], "left").select("status_id", "month", "n_requests", "attempts", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_rows", "persons")))
+
+
 _ACCENTED = "replace(nom_mun, 'Ciudad', 'Ciudád')"
 
 

@@ -15,6 +15,7 @@ def build_session(app: str = "regivane", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.python.filterPushdown.enabled": "true",
     }
     for key, value in (defaults | {k.replace("__", "."): v for k, v in conf.items()}).items():
         builder = builder.config(key, value)
