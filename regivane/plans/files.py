@@ -18,6 +18,7 @@ from regivane.plans import registry
 from regivane.plans import synthetic as syn
 from regivane.sources import delimited, months, readers, requests, sinks
 from regivane.storage import fixed, shared_path
+from regivane.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -180,6 +181,21 @@ def acquired_months(spark, sf_dir):
     return sums.join(rows, ["status_id", "month"], "left").select("status_id", "month", "n_requests", "attempts", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_rows", "persons")))
 
 
+@query(syn.CTE + f"SELECT {_RAW} FROM raw QUALIFY row_number() OVER (PARTITION BY id_estado, municipio, anio, mes, id_estatus_victima ORDER BY ordinal % 3 DESC, ordinal DESC) = 1")
+def last_versions_incremental(spark, sf_dir):
+    """A1 under C2: files that arrive in any order leave what a run over all of them leaves; the last by name comes first here."""
+    incoming, versions = shared_path(spark, "incoming"), shared_path(spark, "versions")
+    raw = fixed(syn.raw(spark, sf_dir), "raw")
+    for arrival, third in enumerate((2, 0, 1)):
+        staged = shared_path(spark, "file")
+        raw.where(F.col("ordinal") % 3 == third).orderBy("ordinal").select(S.RAW_SCHEMA.names).coalesce(1).write.parquet(staged)
+        sinks.move_file(spark, staged, f"{incoming}/{third}.parquet")
+        load = incremental.load_last_versions(spark, incoming, versions, f"{versions}-checkpoint") if arrival != 1 else None  # the second waits for the third
+        if load:
+            load.awaitTermination()
+    return incremental.last_versions(spark, versions)
+
+
 _ACCENTED = "replace(nom_mun, 'Ciudad', 'Ciudád')"
 
 

@@ -31,6 +31,17 @@ def _hadoop(spark: SparkSession, path: str):
     return name.getFileSystem(spark._jsc.hadoopConfiguration()), name
 
 
+def move_file(spark: SparkSession, folder: str, path: str) -> None:
+    """The one file that a write has left in ``folder`` as ``path``."""
+    system, name = _hadoop(spark, folder)
+    (file,) = [s.getPath() for s in system.listStatus(name) if s.getPath().getName().startswith("part-")]
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system.mkdirs(target.getParent())
+    if not system.rename(file, target):
+        raise OSError(f"{file} cannot be moved to {path}")
+    system.delete(name, True)
+
+
 def write_sorted_csv(df: DataFrame, path: str, *order: str | Column) -> None:
     """One file with a header, in ``order``, below ``path``; no task holds or copies more than its part.
 
