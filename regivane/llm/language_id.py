@@ -3,10 +3,13 @@
 Every letter is a class of its own, after lower-casing (letters beyond the 16-bit code points
 share the 6400 private ones), and every run of other characters is one boundary.  Four-gram
 counts per language are taken over all training documents, summed inside each partition
-before the shuffle; lower orders use continuation counts.  A model keeps the most frequent
-four-grams of each language, ``MODEL_GRAMS`` for all languages together, which bounds what is
-sent to the driver and the executors.  Each order is a sorted array of gram hashes, found by
-their first bits, with log-probabilities; grams that are not there back off.
+before the shuffle; lower orders use continuation counts.  Discounts, context totals and
+probabilities follow from all grams, on the executors.  A model then keeps the most frequent
+grams of each language and order, ``MODEL_GRAMS`` of an order for all languages together, which
+bounds what is sent to the driver and the executors and leaves the probabilities of kept grams as
+they are; what the others had goes to their contexts' back-off shares, so that all still add up to
+one.  Each order is a sorted array of gram hashes, found by their first bits, with
+log-probabilities; grams that are not there back off.
 
 A text gets the language of the lowest cross-entropy per character.  The score is the
 calibrated posterior of that language; a text is rejected where its cross-entropy lies
@@ -37,7 +40,7 @@ from regivane.llm.near_dedup import mix
 
 ORDER, CLASS_BITS = 4, 16
 CLASSES = 1 << CLASS_BITS
-#: Four-grams of all models together, and entries that a task sums before it passes them on.
+#: Grams of one order of all models together, and entries that a task sums before it passes them on.
 MODEL_GRAMS, HELD_GRAMS = 1 << 22, 1 << 20
 CALIBRATION_ROWS = 4096
 _GAP = "\x00" * ORDER
@@ -126,13 +129,48 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return codes[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def _most_frequent(counts: DataFrame, grams_in_all: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """(codes, counts) by language: the most frequent grams, an even share of ``grams_in_all`` for each language.
+def _mask(size: int) -> int:
+    return (1 << CLASS_BITS * size) - 1
+
+
+def probabilities(counts: DataFrame) -> DataFrame:
+    """(lang, size, code, n, p): all grams of four classes and fewer, with counts and smoothed probabilities.
+
+    ``counts`` has (lang, code, n) of four-grams.  Shorter grams have continuation counts: how many
+    grams of one class more end so.  Discounts and totals take every gram.
+    """
+    level = counts.where("code != 0").select("lang", F.lit(ORDER).alias("size"), "code", "n")
+    levels = level
+    for size in range(ORDER - 1, 0, -1):
+        level = level.groupBy("lang", F.lit(size).alias("size"), F.col("code").bitwiseAND(F.lit(_mask(size))).alias("code")).agg(F.count("*").alias("n"))
+        levels = levels.unionByName(level)
+    levels = materialise(levels.withColumn("context", F.shiftrightunsigned("code", CLASS_BITS)), "gram-levels")
+    once, twice = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+    # a row a language and order
+    discounts = levels.groupBy("lang", "size").agg(F.when((once > 0) & (twice > 0), once / (once + 2 * twice)).otherwise(0.5).alias("d"))
+    contexts = levels.groupBy("lang", "size", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    met = levels.join(contexts, ["lang", "size", "context"]).join(F.broadcast(discounts), ["lang", "size"])
+    own, share = F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total"), F.col("d") * F.col("kinds") / F.col("total")
+    terms = materialise(met.select("lang", "size", "code", "n", own.alias("own"), share.alias("share"), F.col("code").bitwiseAND(F.expr(f"shiftleft(1L, {CLASS_BITS} * (size - 1)) - 1")).alias("suffix")), "gram-terms")
+    discard(levels)
+    below, out = None, None
+    for size in range(1, ORDER + 1):
+        now = terms.where(F.col("size") == size)
+        if below is not None:
+            now = now.join(below.select("lang", F.col("code").alias("suffix"), F.col("p").alias("lower")), ["lang", "suffix"])
+        below = now.select("lang", "size", "code", "n", (F.col("own") + F.col("share") * (F.lit(1 / CLASSES) if size == 1 else F.col("lower"))).alias("p"))
+        out = below if out is None else out.unionByName(below)
+    found = materialise(out, "gram-probabilities")
+    discard(terms)
+    return found
+
+
+def _most_frequent(counts: DataFrame, grams_in_all: int, value: str = "n") -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """(codes, values) by language: the most frequent grams, an even share of ``grams_in_all`` for each language.
 
     They are taken by steps of their count (eight to a doubling) and, inside a step, by cells
     of their hash, as many whole cells as the share allows; the rest stays on the executors.
     """
-    counts = counts.where("code != 0")
     cell = (F.floor(F.log2("n") * 8) * 16 + F.pmod(F.xxhash64("code"), F.lit(16))).cast("int")
     sizes = counts.groupBy("lang", cell.alias("cell")).count().toPandas().sort_values(["lang", "cell"], ascending=[True, False])
     names = sorted(sizes["lang"].unique())
@@ -144,11 +182,22 @@ def _most_frequent(counts: DataFrame, grams_in_all: int) -> dict[str, tuple[np.n
     if not names:
         return {}
     limits = F.broadcast(counts.sparkSession.createDataFrame(limits, "lang string, k int, least int"))  # a row a language
-    kept = counts.join(limits, "lang").where(cell >= F.col("least")).select("k", "code", "n").toArrow()
-    k, codes, n = (kept[c].to_numpy() for c in ("k", "code", "n"))
+    kept = counts.join(limits, "lang").where(cell >= F.col("least")).select("k", "code", value).toArrow()
+    k, codes, n = (kept[c].to_numpy() for c in ("k", "code", value))
     return {name: (codes[k == at].view(np.uint64), n[k == at]) for at, name in enumerate(names)}
 
 
+def smoothed_models(counts: DataFrame, model_grams: int = MODEL_GRAMS) -> dict[str, Smoothed]:
+    """Models by language of four-gram counts (lang, code, n), with at most ``model_grams`` grams of an order in all."""
+    found = probabilities(counts)
+    # each order of a language counts as a language of its own
+    labelled = found.select(F.concat(F.col("size").cast("string"), "lang").alias("lang"), "code", "n", "p")
+    kept = _most_frequent(labelled, model_grams * ORDER, "p")
+    discard(found)
+    names = sorted({label[1:] for label in kept})
+    return {name: Smoothed.of_probabilities({size: kept[f"{size}{name}"] for size in range(1, ORDER + 1)}) for name in names}
+
+
 def _discount(counts: np.ndarray) -> float:
     once, twice = int((counts == 1).sum()), int((counts == 2).sum())
     return once / (once + 2 * twice) if once and twice else 0.5
@@ -186,22 +235,43 @@ class Smoothed:
     """Interpolated Kneser-Ney log-probabilities of the four-grams of one language."""
 
     def __init__(self, codes: np.ndarray, counts: np.ndarray):
+        """All grams from counts that one process holds; :func:`probabilities` does it for any number."""
         order = np.argsort(codes)
         grams, n = codes[order].astype(np.uint64), counts[order].astype(np.float64)
         levels = [(grams, n)]
         for size in (3, 2, 1):  # continuation counts: distinct longer grams that end so
-            grams, n = np.unique(grams & np.uint64((1 << CLASS_BITS * size) - 1), return_counts=True)
+            grams, n = np.unique(grams & np.uint64(_mask(size)), return_counts=True)
             levels.append((grams, n.astype(np.float64)))
         self.orders: list[tuple[Table, Table]] = []  # probabilities and shares left, from single classes up
-        for grams, n in reversed(levels):
+        for size, (grams, n) in enumerate(reversed(levels)):
             d = _discount(n)
             context, at = np.unique(grams >> np.uint64(CLASS_BITS), return_inverse=True)
             total, kinds = np.bincount(at, n, minlength=len(context)), np.bincount(at, minlength=len(context))
             share = d * kinds / np.maximum(total, 1e-300)
-            size = len(self.orders)
-            lower = np.exp(self.log_probs(grams & np.uint64((1 << CLASS_BITS * size) - 1), size)) if size else np.full(len(grams), 1 / CLASSES)
-            known = np.maximum(n - d, 0) / np.maximum(total, 1e-300)[at] + share[at] * lower
-            self.orders.append((Table(grams, np.log(known)), Table(context, np.log(np.maximum(share, 1e-300)))))
+            self._add(grams, np.maximum(n - d, 0) / np.maximum(total, 1e-300)[at] + share[at] * self._lower(grams, size))
+
+    @classmethod
+    def of_probabilities(cls, kept: dict[int, tuple[np.ndarray, np.ndarray]]) -> Smoothed:
+        """Of (codes, probabilities) of the grams of each size that are kept."""
+        out = cls.__new__(cls)
+        out.orders = []
+        for size in range(1, ORDER + 1):
+            out._add(*kept[size])
+        return out
+
+    def _lower(self, grams: np.ndarray, size: int) -> np.ndarray:
+        """Probabilities of the grams' last ``size`` classes."""
+        return np.exp(self.log_probs(grams & np.uint64(_mask(size)), size).astype(np.float64)) if size else np.full(len(grams), 1 / CLASSES)
+
+    def _add(self, grams: np.ndarray, known: np.ndarray) -> None:
+        """The next order; what its grams leave to others in a context is shared as the order below has it."""
+        context, at = np.unique(grams >> np.uint64(CLASS_BITS), return_inverse=True)
+        lower = self._lower(grams, len(self.orders))
+        left = 1 - np.bincount(at, known, minlength=len(context))
+        below = 1 - np.bincount(at, lower, minlength=len(context))
+        # rounding may leave nothing or less
+        share = np.maximum(left, 1e-12) / np.maximum(below, 1e-12)
+        self.orders.append((Table(grams, np.log(known)), Table(context, np.log(share))))
 
     def log_probs(self, codes: np.ndarray, size: int = ORDER) -> np.ndarray:
         """Log-probability of the last class of each gram of ``size`` classes, after those before it."""
@@ -276,7 +346,7 @@ def train(docs: DataFrame, train_on: Column, text: str = "text", lang: str = "la
     """
     rows = docs.where(train_on & F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = materialise(_train_counts(rows, text, lang), "gram-counts")
-    models = Models({name: Smoothed(*found) for name, found in _most_frequent(counts, MODEL_GRAMS).items()})
+    models = Models(smoothed_models(counts))
     discard(counts)
     if not models.langs:
         return models

@@ -78,6 +78,29 @@ def test_the_most_frequent_grams_are_kept(spark):
     assert 100 < len(kept["b"][0]) <= 200
 
 
+def test_a_bound_on_the_grams_leaves_their_probabilities(spark, make_docs):
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdeilmnorst"), rng.integers(1, 8))) for _ in range(400)]
+    rows = [(k, " ".join(words[min(399, int(rng.pareto(0.8) * 3))] for _ in range(40)), "xy"[k % 2]) for k in range(300)]
+    counts = language_id._train_counts(make_docs(rows), "text", "lang").cache()
+    all_ = language_id.smoothed_models(counts)
+    for name in "xy":
+        own = counts.where(F.col("lang") == name).where("code != 0").toPandas()
+        codes = own["code"].to_numpy().view(np.uint64)
+        # all grams: as one process finds them from the counts
+        local = language_id.Smoothed(codes, own["n"].to_numpy())
+        grams = np.concatenate([codes, rng.choice(codes, 500) ^ np.uint64(7)])
+        assert np.allclose(all_[name].log_probs(grams), local.log_probs(grams), atol=1e-4)
+    for bound in (len(codes), len(codes) // 4):
+        few = language_id.smoothed_models(counts, bound)["y"]
+        kept = codes[few.orders[3][0].find(codes)[1]]
+        assert 0 < len(kept) < 0.6 * len(codes)
+        assert np.allclose(few.log_probs(kept), all_["y"].log_probs(kept), atol=1e-5)
+        for context in [*(kept[:3] >> np.uint64(16)), np.uint64(12345)]:
+            every = (np.uint64(context) << np.uint64(16)) | np.arange(65536, dtype=np.uint64)
+            assert abs(np.exp(few.log_probs(every).astype(float)).sum() - 1) < 1e-3
+
+
 def test_scripts(make_docs):
     """Languages that share a script are told apart by their letters."""
     words = {
