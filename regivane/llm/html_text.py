@@ -1,14 +1,13 @@
-"""Main text of web pages by differencing each page with the nearest page of its host.
+"""Main text of web pages by differencing each page with the nearest pages of its host.
 
 A page is cut into lines (the text between block-level tags) that carry where they stand.
-Pages are ordered by host and URL path; each is compared with the neighbour whose path has
-the longer common beginning.  Lines are aligned by longest common subsequence; shared lines
-are template and go, inside an ``article`` or ``main`` element as well, and lines that are
-not shared stay, outside it as well.  Only where over half of the letters inside ``article``
-or ``main`` are shared, the page is a copy of its neighbour and these lines stay.  One page
-alone cannot show a template, and neighbours seldom share every menu entry or advert, so
-lines inside navigation, header, footer, aside, form, script, hidden or so named elements go
-as well.
+Pages are ordered by host and URL path; each is compared with the ``REACH`` nearest pages of its
+host on both sides.  Lines are aligned by longest common subsequence.  Outside ``article`` and
+``main`` a line that any neighbour shares is template and goes: a menu entry or advert that one
+neighbour lacks is found by another.  Inside, a sentence may recur on some pages, so only a line
+that all neighbours share, two at least, goes; and where over half of the letters inside are
+shared, the page is a copy and these lines stay.  Few pages cannot show a template, so lines
+inside navigation, header, footer, aside, form, script, hidden or so named elements go as well.
 
 Only line hashes travel to the neighbour.  The order is found by a range sort and global
 positions, so a host with a third of all pages is spread like any other.
@@ -16,8 +15,8 @@ positions, so a host with a third of all pages is spread like any other.
 Defined results: null html counts as empty and gives an empty text; a null or odd URL has an
 empty host and path; a page with no neighbour on its host is judged by its own marks (of a
 page with ``article`` or ``main``, the lines inside); a page
-whose every line outside boilerplate is shared (a copy) keeps these lines; ties of nearness
-go to the page before; repeated rows stay repeated; an empty table gives no rows; other columns
+whose every line outside boilerplate is shared (a copy) keeps these lines; equal paths are
+ordered arbitrarily; repeated rows stay repeated; an empty table gives no rows; other columns
 are ignored; a page of any length is read whole, in time linear in its length but for the
 alignment of lines that both pages have and that do not stand at their ends.
 """
@@ -58,6 +57,8 @@ NAMES = frozenset(
     comment comments disqus respond reply share sharing social related recommended newsletter subscribe signup
     login popup modal overlay widget pagination pager toolbar skip""".split()
 )
+#: Neighbours on each side that a page is compared with.
+REACH = 2
 #: Bits of an alignment that are held at once.
 TABLE_BITS = 1 << 28
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -308,16 +309,22 @@ def candidates(lines: list[tuple[str, bool, bool]]) -> list[tuple[int, str, bool
     return [(k, t, content) for k, (t, content, waste) in enumerate(lines) if not waste]
 
 
-def main_lines(lines: list[tuple[int, str, bool]], shared: set[int] | None) -> list[str]:
-    """The lines that stay; ``shared`` is None for a page without a neighbour."""
+def main_lines(lines: list[tuple[int, str, bool]], shared: set[int] | None, agreed: set[int] = frozenset()) -> list[str]:
+    """The lines that stay, of those that any neighbour and that all neighbours share; ``shared`` is None without neighbours."""
     marked = [(k, t) for k, t, content in lines if content]
     if shared is None:
         return [t for _, t in marked] or [t for _, t, _ in lines]
     copy = 2 * sum(len(t) for k, t in marked if k in shared) > sum(len(t) for _, t in marked)
-    own = [t for k, t, content in lines if k not in shared or (copy and content)]
+    own = [t for k, t, content in lines if (copy or k not in agreed if content else k not in shared)]
     return own or [t for _, t, _ in lines]
 
 
+def support(keys: list[int], others: list[list[int]]) -> tuple[set[int], set[int]]:
+    """Places of the lines that any of the neighbours shares, and that all of two or more share."""
+    counts = Counter(k for other in others for k in common_lines(keys, other))
+    return set(counts), {k for k, n in counts.items() if n == len(others) > 1}
+
+
 def line_keys(lines: list[tuple[str, bool, bool]]) -> list[int]:
     return [xxhash.xxh32_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 31) for t, _, _ in lines]
 
@@ -349,10 +356,10 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
     def differenced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames_in_portions(frames):
             texts, n_lines, n_shared = [], [], []
-            for pack, keys, other in zip(frame["lines"], frame["keys"], frame["other"], strict=True):
+            for pack, keys, others in zip(frame["lines"], frame["keys"], frame["others"], strict=True):
                 lines = json.loads(zlib.decompress(pack).decode("utf-8", "surrogatepass"))
-                shared = common_lines(list(keys), list(other)) if other is not None else None
-                texts.append("\n\n".join(main_lines(lines, shared)))
+                shared, agreed = support(list(keys), [list(other) for other in others]) if others is not None else (None, set())
+                texts.append("\n\n".join(main_lines(lines, shared, agreed)))
                 n_lines.append(len(keys))
                 n_shared.append(len(shared or ()))
             yield frame[["page_id", "url"]].assign(text=texts, n_lines=n_lines, n_shared=n_shared)
@@ -361,15 +368,17 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
     cut = plain.select("row", host.alias("host"), path.alias("path"), "html").mapInPandas(hashed, "row bigint, host string, path string, keys array<int>")
     cut = materialise(cut.withColumn("uid", F.monotonically_increasing_id()), "page-keys")
     theirs = cut.select(F.col("uid").alias("partner"), F.col("keys").alias("other"))
-    matched = nearest(cut.select("uid", "host", "path")).join(theirs, "partner").select("uid", "other")
-    matched = cut.select("uid", "row").join(matched, "uid").groupBy("row").agg(F.min_by("other", "uid").alias("other"))
+    # equal rows have the neighbours of one of them
+    first = cut.groupBy("row").agg(F.min("uid").alias("uid"))
+    matched = neighbours(cut.select("uid", "host", "path")).join(first, "uid").join(theirs, "partner")
+    matched = matched.groupBy("row").agg(F.collect_list("other").alias("others"))  # at most twice the reach
     lines = plain.mapInPandas(packed, f"row bigint, {kind}, keys array<int>, lines binary")
     joined = lines.join(matched, "row", "left").drop("row")
     return joined.mapInPandas(differenced, f"{kind}, text string, n_lines bigint, n_shared bigint")
 
 
-def nearest(rows: DataFrame) -> DataFrame:
-    """(uid, partner): the neighbour in path order on the same host whose path begins most alike."""
+def neighbours(rows: DataFrame, reach: int = REACH) -> DataFrame:
+    """(uid, partner): the pages of the same host at most ``reach`` places away in the order of paths."""
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, "host", "path", "uid").sortWithinPartitions("host", "path", "uid")
@@ -382,11 +391,9 @@ def nearest(rows: DataFrame) -> DataFrame:
         total += row["count"]
     starts = spark.createDataFrame(starts, "part bigint, start bigint")
     placed = ordered.withColumn("part", part).join(F.broadcast(starts), "part")
-    placed = placed.select("uid", "host", "path", (F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("place"))
-    after = placed.select(F.col("uid").alias("next"), F.col("host").alias("next_host"), F.col("path").alias("next_path"), (F.col("place") - 1).alias("place"))
-    # the length of the common beginning: the count of equal characters before the first unequal one
-    length = F.expr("aggregate(sequence(1, greatest(1, least(length(path), length(next_path)))), 0, (n, i) -> if(n = i - 1 AND substring(path, i, 1) = substring(next_path, i, 1), i, n))")
-    pairs = placed.join(after, "place").where("host = next_host").select("uid", "next", length.alias("alike"))
-    sides = F.array(F.struct(F.col("uid"), F.col("next").alias("partner"), F.lit(0).alias("before")), F.struct(F.col("next").alias("uid"), F.col("uid").alias("partner"), F.lit(1).alias("before")))
-    best = pairs.select("alike", F.explode(sides).alias("x"))
-    return best.groupBy("x.uid").agg(F.max_by("x.partner", F.struct("alike", "x.before")).alias("partner"))
+    placed = placed.select("uid", "host", (F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("place"))
+    after = placed.select(F.col("uid").alias("next"), F.col("host").alias("next_host"), "place", F.explode(F.sequence(F.lit(1), F.lit(reach))).alias("back"))
+    after = after.select("next", "next_host", (F.col("place") - F.col("back")).alias("place"))
+    pairs = placed.join(after, "place").where("host = next_host")
+    sides = F.array(F.struct(F.col("uid"), F.col("next").alias("partner")), F.struct(F.col("next").alias("uid"), F.col("uid").alias("partner")))
+    return pairs.select(F.explode(sides).alias("x")).select("x.*")
