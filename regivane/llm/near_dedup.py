@@ -13,11 +13,13 @@ and not level by level; the points have the same distribution.
 Equal multisets collapse first.  Bands of registers link each document to the least one of
 its bucket; the exact multiset overlap of each linked pair decides, and the components of
 links that hold are first classes.  A bucket whose members are of one class is settled.  In
-the others, every member is compared with all others exactly: the bucket is dealt into blocks
-of bounded size, block pairs are spread over tasks, and an index of shared shingles in each
-block finds who overlaps.  Only links that join two
-classes leave a block, so nothing grows with the square of a bucket but the exact work on
-what no link has settled.  Classes are the components of verified links.
+the others, every member is compared exactly with all that its size allows: two multisets alike
+enough differ in size by a bounded factor, so members are sorted into size classes and meet those
+of their own and the next one.  A class is dealt into blocks of bounded size, which are stored once
+as sorted shingle codes; pairs of blocks are spread over tasks, and an index of shared codes finds
+who overlaps.  Only links that join two classes leave a block, so nothing grows with the square of
+a bucket but the exact work on what no link has settled, and the blocks that pairs of them read.
+Classes are the components of verified links.
 
 Defined results: texts without a word are alike only if equal (null counts as empty); fewer
 than five words make one shingle; the class id is the least doc_id of the class; ids are of
@@ -40,6 +42,7 @@ from pyspark.sql import types as T
 
 from regivane.llm.common import MEMO_CHARS, discard, materialise, per_process, portions
 from regivane.llm.components import components
+from regivane.sources.readers import number_lines
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 6
@@ -210,39 +213,92 @@ def verified_pairs(texts: DataFrame, pairs: DataFrame, similarity: float = SIMIL
     return both.mapInArrow(kept, f"a {kind}, b {kind}")
 
 
+def code_blocks(docs: DataFrame, groups: DataFrame, doc_id: str, text: str, similarity: float = SIMILARITY, block_elements: int = BLOCK_ELEMENTS) -> DataFrame:
+    """(root, size_class, block, n, docs, classes, ends, codes): the members of candidate groups as sorted codes, a row a block.
+
+    ``groups`` has (doc_id, root, size, class); ``n`` counts the blocks of a size class.
+    """
+    step = -np.log(similarity)
+    # two sizes of which the smaller is at least `similarity` times the larger lie in one class or in neighbouring ones
+    sized = groups.withColumn("size_class", F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / F.lit(float(step)) + 1e-9).cast("int"))
+    blocks = sized.groupBy("root", "size_class").agg(F.greatest(F.ceil(F.sum("size") / block_elements), F.ceil(F.count("*") / BLOCK_MEMBERS)).cast("int").alias("n"))
+    dealt = sized.join(blocks, ["root", "size_class"]).select("doc_id", "root", "size_class", "class", "n", F.pmod(F.xxhash64("doc_id"), F.col("n")).cast("int").alias("block"))
+    texts = with_ids(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), groups.select("doc_id"), "doc_id")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = ["root", "size_class", "block"]
+    met = texts.join(dealt, "doc_id").repartition(parts, *key).sortWithinPartitions(*key, "doc_id")
+    kinds = {c: groups.schema[c].dataType.simpleString() for c in ("root", "doc_id", "class")}
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = per_process(("shingler", WORDS), Shingler)
+        block, n, members, types = None, 0, [], None
+
+        def stored() -> pa.RecordBatch:
+            ids, classes, codes = zip(*members, strict=True)
+            root, size_class, number = block
+            columns = [pa.array([root], types[0]), pa.array([size_class], pa.int32()), pa.array([number], pa.int32()), pa.array([n], pa.int32()), pa.array([ids], pa.list_(types[1])), pa.array([classes], pa.list_(types[2])), pa.array([np.cumsum([len(c) for c in codes])], pa.list_(pa.int64())), pa.array([np.concatenate(codes).tobytes()], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, [*key, "n", "docs", "classes", "ends", "codes"])
+
+        for batch in portions(batches):
+            types = [batch.schema.field(c).type for c in ("root", "doc_id", "class")]
+            for doc, value, class_, n_blocks, *at in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "class", "n", *key)), strict=True):
+                if tuple(at) != block:
+                    if members:
+                        yield stored()
+                    block, n, members = tuple(at), n_blocks, []
+                if not members or members[-1][0] != doc:  # repeated rows
+                    with np.errstate(over="ignore"):
+                        members.append((doc, class_, elements(shingler.hashes(value or ""))))
+        if members:
+            yield stored()
+
+    schema = f"root {kinds['root']}, size_class int, block int, n int, docs array<{kinds['doc_id']}>, classes array<{kinds['class']}>, ends array<bigint>, codes binary"
+    return met.mapInArrow(coded, schema)
+
+
 def verified_links(docs: DataFrame, groups: DataFrame, doc_id: str, text: str, similarity: float = SIMILARITY, block_elements: int = BLOCK_ELEMENTS) -> DataFrame:
     """(a, b): classes of a candidate group that a link of at least ``similarity`` joins.
 
     ``groups`` has (doc_id, root, size) and class, the least document of those known to be
-    linked; without it each document is a class.  A group is dealt into blocks by hash; every
-    pair of blocks meets in one task, whatever its size.
+    linked; without it each document is a class.  Every pair of blocks of one size class or of
+    neighbouring ones meets in one task; a block is cut into codes once, whatever meets it.
     """
     if "class" not in groups.columns:
         groups = groups.withColumn("class", F.col("doc_id"))
-    blocks = groups.groupBy("root").agg(F.greatest(F.ceil(F.sum("size") / block_elements), F.ceil(F.count("*") / BLOCK_MEMBERS)).cast("int").alias("n"))
-    dealt = groups.join(blocks, "root").select("doc_id", "root", "class", "n", F.pmod(F.xxhash64("doc_id"), F.col("n")).cast("int").alias("block"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    dealt = dealt.select("doc_id", "root", "class", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block")
-    texts = with_ids(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), groups.select("doc_id"), "doc_id")
+    stored = materialise(code_blocks(docs, groups, doc_id, text, similarity, block_elements), "code-blocks")
+    own = stored.select("root", "size_class", "block")
+    near = own.select("root", F.col("block").alias("other"), F.explode(F.array("size_class", F.col("size_class") - 1)).alias("size_class"), F.col("size_class").alias("other_class"))
+    pairs = own.join(near, ["root", "size_class"]).where("other_class > size_class OR other >= block").select("root", "size_class", "block", "other_class", "other")
+    pairs = pairs.withColumn("pair", F.xxhash64("root", "size_class", "block", "other_class", "other"))
+    ends = pairs.select("root", "pair", "size_class", "block", "other_class", "other", F.explode(F.expr("IF(size_class = other_class AND block = other, array(struct(0 AS side, size_class AS c, block AS b)), array(struct(0 AS side, size_class AS c, block AS b), struct(1 AS side, other_class AS c, other AS b)))")).alias("end"))
+    names = ["size_class", "block", "other_class", "other"]
+    asked = ends.select(F.col("root"), F.col("end.c").alias("own_class"), F.col("end.b").alias("own"), "pair", "end.side", *(F.col(c).alias(f"p_{c}") for c in names))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = texts.join(dealt, "doc_id").repartition(parts, "root", "one", "two").sortWithinPartitions("root", "one", "two", "doc_id")
-    kind = docs.schema[doc_id].dataType.simpleString()
+    met = stored.select("root", F.col("size_class").alias("own_class"), F.col("block").alias("own"), "docs", "classes", "ends", "codes").join(asked, ["root", "own_class", "own"])
+    group = ["pair", "root", *(f"p_{c}" for c in names)]
+    met = met.repartition(parts, "pair").sortWithinPartitions(*group, "side")
+    kind = groups.schema["class"].dataType.simpleString()
+
+    def members_of(batch: pa.RecordBatch, k: int, side: int) -> list:
+        ends = batch.column("ends")[k].values.to_numpy()
+        codes = np.frombuffer(batch.column("codes")[k].as_py(), dtype=np.uint64)
+        docs, classes = (batch.column(c)[k].as_py() for c in ("docs", "classes"))
+        return [(d, codes[a:b], side, c) for d, c, a, b in zip(docs, classes, [0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = per_process(("shingler", WORDS), Shingler)
-        key, members, ids = None, [], None
-        for batch in portions(batches):
-            ids = batch.schema.field("doc_id").type
-            for doc, value, root, one, two, block, class_ in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "text", "root", "one", "two", "block", "class")), strict=True):
-                if (root, one, two) != key:
-                    if len(members) > 1:
-                        yield _links(members, similarity, ids)
-                    key, members = (root, one, two), []
-                if not members or members[-1][0] != doc:  # repeated rows
-                    with np.errstate(over="ignore"):
-                        members.append((doc, elements(shingler.hashes(value or "")), block if one != two else -1, class_))
-        if len(members) > 1:
-            yield _links(members, similarity, ids)
+        waits: list = []
+        for batch in portions(batches, 8):
+            ids = batch.schema.field("classes").type.value_type
+            for k in range(batch.num_rows):
+                own_class, own, *other = (batch.column(c)[k].as_py() for c in ("p_size_class", "p_block", "p_other_class", "p_other"))
+                side = batch.column("side")[k].as_py()
+                if [own_class, own] == other:
+                    yield _links(members_of(batch, k, -1), similarity, ids)
+                elif side == 0:
+                    waits = members_of(batch, k, 0)
+                else:
+                    yield _links(waits + members_of(batch, k, 1), similarity, ids)
+                    waits = []
 
     return met.mapInArrow(linked, f"a {kind}, b {kind}")
 
@@ -284,7 +340,7 @@ def _links(members: list, similarity: float, kind: pa.DataType) -> pa.RecordBatc
 
     sizes = np.array([len(e) for _, e, _, _ in members])
     index = SharedCodes([e for _, e, _, _ in members])
-    side = np.array([s for _, _, s, _ in members])
+    side = np.array([s for _, _, s, _ in members])  # -1: all of one block
     label = np.array(parent)
     a, b = [], []
     for k in range(len(members) - 1):
@@ -345,16 +401,32 @@ def with_ids_of(signed: DataFrame, first: DataFrame) -> DataFrame:
     return signed.join(first.withColumnRenamed("exact_id", "doc_id"), ["print", "doc_id"], "left_semi")
 
 
+def numbered_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", name: str = "__row") -> DataFrame:
+    """``docs`` with a number for each different pair of id and text, in the order of ids; null where the id is."""
+    hashed = docs.withColumn("__hash", F.xxhash64(text))
+    keys = hashed.where(F.col(doc_id).isNotNull()).select(doc_id, "__hash").distinct()
+    return hashed.join(number_lines(keys, doc_id, "__hash", name=name, first=0), [doc_id, "__hash"], "left").select(*docs.columns, name)
+
+
+def has_repeated_ids(docs: DataFrame, doc_id: str = "doc_id") -> bool:
+    return docs.where(F.col(doc_id).isNotNull()).groupBy(doc_id).count().where("count > 1").limit(1).count() > 0
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their class; rows with null doc_id stay.
+    """The rows of ``docs`` that stand for their class, the least doc_id of it; rows with null doc_id stay.
 
-    Where doc_ids repeat, one row of each stays (which one is not defined, they are alike).
+    Where a doc_id repeats, its different texts are documents of their own, and of rows equal in
+    id and text one stays.
     """
     found = materialise(classes(docs, doc_id, text, **options), "near-classes")
-    gone = found.where("doc_id != class_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    kept = with_ids(docs, gone, doc_id, "left_anti")
-    counts = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    if counts.limit(1).count():
-        known = kept.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id])
-        kept = known.unionByName(kept.where(F.col(doc_id).isNull()))
-    return kept
+    columns, key = docs.columns, doc_id
+    repeated = has_repeated_ids(found)
+    if repeated:
+        key = "__row"
+        docs = materialise(numbered_texts(docs, doc_id, text, key), "numbered-texts")
+        found = materialise(classes(docs, key, text, **options), "near-classes")
+    gone = found.where("doc_id != class_id").select(F.col("doc_id").alias(key)).distinct()
+    kept = with_ids(docs, gone, key, "left_anti")
+    if repeated:
+        kept = kept.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(kept.where(F.col(key).isNull()))
+    return kept.select(columns)

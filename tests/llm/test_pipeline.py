@@ -90,6 +90,15 @@ def test_odd_rows_and_clashing_columns(spark, sf, odd):
     assert pipeline.pack_tokens(spark, cut, sf).where("doc_id IS NULL AND start = 0").count() == cut.where("doc_id IS NULL").count()
 
 
+def test_repeated_ids_with_different_texts(make_docs, spark, sf):
+    passage = " ".join(f"word{k}" for k in range(70))
+    docs = make_docs([(1, f"first text {passage}"), (1, f"another beginning of it {passage} and an end"), (2, "short")])
+    cut = sorted(r.text for r in pipeline.cut_repeats(spark, docs, sf).collect())
+    assert len(cut) == 3 and sum(passage in t for t in cut) == 1 and "short" in cut
+    # of neither text anything else goes
+    assert {"first", "another", "beginning", "end", "short"} <= {w for t in cut for w in t.split()}
+
+
 def test_empty_table(spark, sf):
     docs = documents(spark, sf).limit(0)
     for _, stage in pipeline.STAGES:
