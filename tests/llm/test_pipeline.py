@@ -92,7 +92,7 @@ def test_odd_rows_and_clashing_columns(spark, sf, odd):
 
 def test_repeated_ids_with_different_texts(make_docs, spark, sf):
     passage = " ".join(f"word{k}" for k in range(70))
-    docs = make_docs([(1, f"first text {passage}"), (1, f"another beginning of it {passage} and an end"), (2, "short")])
+    docs = make_docs([(1, f"first text\n{passage}"), (1, f"another beginning of it\n{passage}\nand an end"), (2, "short")])
     cut = sorted(r.text for r in pipeline.cut_repeats(spark, docs, sf).collect())
     assert len(cut) == 3 and sum(passage in t for t in cut) == 1 and "short" in cut
     # of neither text anything else goes
