@@ -43,6 +43,8 @@ from regivane.llm.common import materialise, per_process, portions
 
 #: Rows wanted in a list, vectors sampled for each list, and the most lists.
 LIST_ROWS, SAMPLE_PER_LIST, MOST_LISTS = 160, 24, 32_768
+#: Bytes of the sampled vectors that the driver holds, as doubles.
+SAMPLE_BYTES = 1 << 29
 #: Lists of a row at most, and how much farther than the nearest centroid the others may be.
 COPIES, SPREAD_RATIO = 4, 1.5
 #: Share of the true neighbours of the sampled queries that the ratio must reach, and the most such queries.
@@ -247,10 +249,14 @@ def _sampled(rows: DataFrame, most: int, total: int, salt: int) -> DataFrame:
 def fit(rows: DataFrame, n: int, longest: float, list_rows: int = LIST_ROWS, most_lists: int = MOST_LISTS) -> Index:
     """Fit on at most about ``SAMPLE_PER_LIST`` vectors for each of at most ``most_lists`` lists, taken by id hash.
 
+    Of long vectors fewer are taken, and fewer lists made, so that the sample stays within ``SAMPLE_BYTES``.
+
     ``rows`` has ``n`` rows (id, vector), with vectors of one size, the longest of length ``longest``.
     """
-    lists = int(min(most_lists, max(1, n // list_rows)))
-    sample = _sampled(rows, lists * SAMPLE_PER_LIST, n, 0).select("vector").toArrow()["vector"]
+    first = rows.select(F.size("vector").alias("size")).first()
+    most = max(SAMPLE_PER_LIST, SAMPLE_BYTES // (8 * ((first["size"] if first else 0) + 1)))
+    lists = int(min(most_lists, max(1, n // list_rows), max(1, most // 4)))
+    sample = _sampled(rows, min(lists * SAMPLE_PER_LIST, most), n, 0).select("vector").toArrow()["vector"]
     if not len(sample):
         sample = rows.select("vector").limit(1).toArrow()["vector"]
     index = Index(np.zeros((0, 0)), np.zeros((0, 0)), longest * (1 + 1e-9))

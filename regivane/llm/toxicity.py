@@ -186,14 +186,12 @@ class Trees:
 
 def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: knots of a non-decreasing map from raw score to probability."""
-    order = np.argsort(raw, kind="stable")
+    # equal raw scores have one value, whatever is pooled with them
+    scores, at = np.unique(raw, return_inverse=True)
+    weights = np.bincount(at)
     blocks: list[list[float]] = []  # mean, weight, first, last
-    for s, v in zip(raw[order], y[order], strict=True):
-        if blocks and blocks[-1][3] == s:  # equal raw scores share a block
-            m, w, a, b = blocks.pop()
-            blocks.append([(m * w + v) / (w + 1), w + 1, a, b])
-        else:
-            blocks.append([float(v), 1.0, s, s])
+    for s, v, n in zip(scores, np.bincount(at, y) / weights, weights, strict=True):
+        blocks.append([float(v), float(n), s, s])
         while len(blocks) > 1 and blocks[-2][0] >= blocks[-1][0]:
             m2, w2, _, b = blocks.pop()
             m1, w1, a, _ = blocks.pop()
