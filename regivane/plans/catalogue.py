@@ -166,13 +166,18 @@ def consolidate_union(spark, sf_dir):
     return acquire.union_months([t.where(F.col("mes") == m) if m <= 6 else t.where(F.col("mes") == m).drop("status") for m in range(1, 13)])
 
 
-_GRID = "SELECT CAST(s AS BIGINT) AS status_id, CAST(y AS BIGINT) AS year, CAST(m AS BIGINT) AS month, CAST(e AS BIGINT) AS id_estado, strftime(make_date(y, m, 1), '%Y-%m-%d') AS date_start, strftime(last_day(make_date(y, m, 1)), '%Y-%m-%d') AS date_end FROM (SELECT unnest([0, 7, 2, 3]) AS s), (SELECT unnest(range(2015, 2026)) AS y), (SELECT unnest(range(1, 13)) AS m), (SELECT unnest(range(1, 34)) AS e)"
+_GRID = "SELECT CAST(s AS BIGINT) AS status_id, CAST(y AS BIGINT) AS year, CAST(m AS BIGINT) AS month, CAST(e AS BIGINT) AS id_estado, strftime(make_date(y, m, 1), '%Y-%m-%d') AS date_start, strftime(last_day(make_date(y, m, 1)), '%Y-%m-%d') AS date_end FROM (SELECT unnest([0, 7, 2, 3]) AS s), (SELECT DISTINCT year(o_orderdate) AS y FROM orders), (SELECT unnest(range(1, 13)) AS m), (SELECT unnest(range(1, 34)) AS e)"
+
+
+def _years(spark, sf_dir) -> list[int]:
+    """The years that the orders have: a few numbers."""
+    return sorted(r.y for r in syn.table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("y")).distinct().collect())
 
 
 @query(_GRID)
 def request_grid(spark, sf_dir):
-    """J11, P11, C3."""
-    return acquire.request_grid(spark)
+    """All requests of the years that the orders have."""
+    return acquire.request_grid(spark, years=_years(spark, sf_dir))
 
 
 _PRESENT = "SELECT DISTINCT CASE o_orderstatus WHEN 'P' THEN 7 WHEN 'O' THEN 2 ELSE 3 END AS status_id, year(o_orderdate) AS year, month(o_orderdate) AS month FROM orders"
@@ -185,10 +190,10 @@ def pending_partitions(spark, sf_dir):
     return acquire.pending_months(acquire.request_grid(spark, years=list(range(1995, 2003))), present)
 
 
-@query(f"SELECT status_id, year, month, id_estado, CASE status_id WHEN 0 THEN '{S.STATUSES[0][1]}' WHEN 7 THEN '{S.STATUSES[7][1]}' WHEN 2 THEN '{S.STATUSES[2][1]}' ELSE '{S.STATUSES[3][1]}' END AS titulo, date_end AS fecha_fin, CAST(id_estado AS VARCHAR) AS estado, CAST(32 AS BIGINT) AS n_fields FROM ({_GRID}) WHERE year = 2016 AND month = 2")
+@query(f"SELECT status_id, year, month, id_estado, CASE status_id WHEN 0 THEN '{S.STATUSES[0][1]}' WHEN 7 THEN '{S.STATUSES[7][1]}' WHEN 2 THEN '{S.STATUSES[2][1]}' ELSE '{S.STATUSES[3][1]}' END AS titulo, date_end AS fecha_fin, CAST(id_estado AS VARCHAR) AS estado, CAST(32 AS BIGINT) AS n_fields FROM ({_GRID}) WHERE month = 2")
 def request_payload(spark, sf_dir):
-    """C4."""
-    p = acquire.payloads(acquire.request_grid(spark, years=[2016], months=[2]))
+    """C4: the bodies of the requests for February of the years that the orders have."""
+    p = acquire.payloads(acquire.request_grid(spark, years=_years(spark, sf_dir), months=[2]))
     field = lambda n: F.get_json_object("payload", f"$.{n}")
     return p.select("status_id", "year", "month", "id_estado", field("titulo").alias("titulo"), field("fechaFin").alias("fecha_fin"), field("idEstado").alias("estado"), F.json_object_keys("payload").alias("k")).withColumn("n_fields", F.size("k").cast("bigint")).drop("k")
 

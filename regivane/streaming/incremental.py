@@ -22,13 +22,13 @@ _ADDRESS = ["file_name", "row_number"]
 def load_new_months(spark: SparkSession, incoming: str, folder: str, checkpoint: str) -> StreamingQuery:
     """Append the months in ``incoming`` CSV files that ``folder`` lacks, and stop when all are read.
 
-    A batch that runs again after a failure finds its months present and adds nothing.
+    A file whose header has other names, or another order, is an error.  A batch that runs again after a failure finds its months present and adds nothing.
     """
 
     def append(batch: DataFrame, number: int) -> None:
         write_new_months(batch, folder)
 
-    stream = spark.readStream.schema(S.RAW_SCHEMA).option("header", True).csv(incoming)
+    stream = spark.readStream.schema(S.RAW_SCHEMA).option("header", True).option("enforceSchema", False).csv(incoming)
     return stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
