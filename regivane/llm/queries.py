@@ -40,11 +40,13 @@ def application(query: Callable) -> Callable:
 
 
 def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of each whose vec_id is divisible by 20, by inner product; unusable vectors take no part."""
     table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return ann.search(table, F.col("vec_id") % 20 == 0)
 
 
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every whole text and their decoding, as digests; null texts count as empty."""
     source = tokenizer_source("byte_bpe_50k.json")
     docs = documents(spark, sf_dir).select("doc_id", "text")
     lexicon = bpe_codec.build_lexicon(docs, source)
@@ -59,20 +61,24 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of words that repeat an earlier document, of every whole text; rows without a doc_id take no part."""
     return substring_dedup.removals(documents(spark, sf_dir).select("doc_id", "text"))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and greedy tokens of every whole text; null texts have none."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return token_counts.count_tokens(docs, tokenizer_source("byte_bpe_50k.json")).select("doc_id", "n_words", "n_tokens")
 
 
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page; null pages have the empty text."""
     found = html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "n_lines", "n_shared")
 
 
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads of all texts stored in archives as media, read back, with digests; null texts count as empty."""
     stored = media.store_and_read(documents(spark, sf_dir))
     # UTF-8 has no byte 255, so the filling can be told from the text
     hexed = F.regexp_replace(F.hex(F.substring("payload", -576, 576)), "(FF)*$", "")
@@ -105,6 +111,7 @@ def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicit
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learned from labelled rows that are not held out; empty texts too."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     scored = toxicity.score(docs, toxicity_model(spark, sf_dir, docs))
     return scored.select(
@@ -116,6 +123,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learned from rows that are not held out; ``und`` without a letter."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     models = language_id.train(docs, crc_mod("doc_id", 4) != 2)
     found = language_id.identify(docs.select("doc_id", "text"), models)
@@ -128,10 +136,12 @@ def packed_pieces(docs: DataFrame) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of 2048-token sequences of all documents; null texts count as empty, rows without a doc_id stay."""
     return packed_pieces(documents(spark, sf_dir))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document; rows without a doc_id have none."""
     return near_dedup.classes(documents(spark, sf_dir).select("doc_id", "text"))
 
 
