@@ -1,4 +1,4 @@
-"""Table rows of pages of any quality, as Column expressions in the JVM.
+"""Table rows of pages of any quality, as Column expressions.
 
 A page is read as a tree that lenient parsers build: a start tag opens an element below the
 innermost open one, an end tag closes the innermost open element of its name with all inside it
@@ -7,15 +7,19 @@ closes what is open.  Every ``tr`` is a row, and every ``td`` inside it is its c
 tables too.  A cell's text nodes are decoded one by one.
 
 Pages whose rows hold only closed cells with text and closed inline elements are cut by regular
-expressions; for others a fold over the page's tags carries the open elements and rows.
+expressions in the JVM; for others one pass over the page's tags, in Python, carries the open
+elements and rows, and the JVM decodes the text nodes that it finds.
 """
 
 from __future__ import annotations
 
 import html
 import json
+import re
+from collections import Counter
 from functools import cache
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,11 +33,10 @@ VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 _INLINE = "a|abbr|b|code|em|font|i|small|span|strong|sub|sup|u"
 _QUOTED = r"""(?:[^<>"']|"[^"]*"|'[^']*')*+"""
 #: A comment or declaration, a script or style with its content, a tag, or text (a ``<`` before anything else is text).
-_TOKEN = rf"""(?is)<!--.*?(?:-->|\z)|<(?:script|style)\b[^>]*>.*?(?:</(?:script|style)\s*>|\z)|<[!?][^>]*(?:>|\z)|</?[a-z][^\s/>]*{_QUOTED}(?:>|\z)|(?:[^<]|<(?![a-z/!?])|</(?![a-z]))++"""
-
-_ENTRY = "struct<name:string,places:array<int>>"
-_ROW = "struct<number:int,n:int,cells:array<string>>"
-_STATE = f"struct<stack:array<{_ENTRY}>,open:array<{_ROW}>,done:array<{_ROW}>,rows:int>"
+_TOKEN = rf"""(?ais)<!--.*?(?:-->|\Z)|<(?:script|style)\b[^>]*>.*?(?:</(?:script|style)\s*>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-z][^\s/>]*{_QUOTED}(?:>|\Z)|(?P<text>(?:[^<]|<(?![a-z/!?])|</(?![a-z]))++)"""
+_TOKENS, _TAG = re.compile(_TOKEN), re.compile(r"(?a)</?([a-zA-Z][^\s/>]*)")
+#: Scripts and styles, and tags that close themselves.
+_RAW, _CLOSED = re.compile(r"(?ai)<(?:script|style)\b"), re.compile(r"(?a)/\s*>$")
 
 
 @cache
@@ -108,49 +111,57 @@ def _node(node: Column, place: Column) -> Column:
     return F.when(place == 0, text.strip(decoded)).otherwise(decoded)
 
 
-def _folded_cells(x: Column) -> Column:
-    """Cells of the rows of any page, in the order of the rows' beginnings."""
-    tokens = F.regexp_extract_all(x, F.lit(_TOKEN), F.lit(0))
-    name = lambda t: F.lower(F.regexp_extract(t, r"^</?([a-zA-Z][^\s/>]*)", 1))
-
-    def read(t: Column) -> Column:
-        void = name(t).isin(*VOID)
-        tag = t.rlike("^</?[a-zA-Z]") & ~t.rlike(r"(?i)^<(?:script|style)\b")
-        kind = F.when(t.rlike("^<(?:[!?]|(?i:script|style)\\b)"), "-").when(tag & t.startswith("</"), F.when(void, "-").otherwise("close")).when(tag, F.when(void, "-").when(t.rlike(r"/\s*>$"), "both").otherwise("open")).otherwise("text")
-        return F.struct(kind.alias("kind"), F.when(tag, name(t)).otherwise(F.lit("")).alias("name"), F.when(kind == "text", decode_references(t)).otherwise(F.lit("")).alias("text"))
-
-    def opened(s: Column, t: Column) -> Column:
-        is_row, is_cell = t["name"] == "tr", t["name"] == "td"
-        places = F.when(is_cell, F.transform(s["open"], lambda r: r["n"])).otherwise(F.expr("cast(array() AS array<int>)"))
-        stack = F.concat(s["stack"], F.array(F.struct(t["name"].alias("name"), places.alias("places"))))
-        grown = F.transform(s["open"], lambda r: F.struct(r["number"].alias("number"), (r["n"] + 1).alias("n"), F.when(r["n"] < CELLS, F.concat(r["cells"], F.array(F.lit("")))).otherwise(r["cells"]).alias("cells")))
-        fresh = F.array(F.struct((s["rows"] + 1).alias("number"), F.lit(0).alias("n"), F.expr("cast(array() AS array<string>)").alias("cells")))
-        open_ = F.when(is_row, F.concat(s["open"], fresh)).when(is_cell, grown).otherwise(s["open"])
-        return F.struct(stack.alias("stack"), open_.alias("open"), s["done"].alias("done"), (s["rows"] + is_row.cast("int")).alias("rows"))
-
-    def closed(s: Column, wanted: Column) -> Column:
-        behind = F.array_position(F.transform(F.reverse(s["stack"]), lambda e: e["name"]), wanted).cast("int")  # 0: none is open
-        left = F.slice(s["stack"], 1, F.size(s["stack"]) - behind)
-        rows = F.size(F.filter(left, lambda e: e["name"] == "tr"))
-        gone = F.slice(s["open"], rows + 1, F.size(s["open"]))
-        return F.when(behind == 0, s).otherwise(F.struct(left.alias("stack"), F.slice(s["open"], 1, rows).alias("open"), F.concat(s["done"], gone).alias("done"), s["rows"].alias("rows")))
+def _tree_nodes(page: str) -> list[list[list[str]]]:
+    """The text nodes of the first cells of a page's rows, in the order of the rows' beginnings.
 
-    def written(s: Column, node: Column) -> Column:
-        def cells(r: Column, depth: Column) -> Column:
-            has = lambda k: F.exists(s["stack"], lambda e: F.coalesce(F.get(e["places"], depth) == k, F.lit(False)))
-            return F.transform(r["cells"], lambda c, k: F.when(has(k), F.concat(c, F.when(k == 0, text.strip(node)).otherwise(node))).otherwise(c))
-
-        open_ = F.transform(s["open"], lambda r, depth: F.struct(r["number"].alias("number"), r["n"].alias("n"), cells(r, depth).alias("cells")))
-        return F.struct(s["stack"].alias("stack"), open_.alias("open"), s["done"].alias("done"), s["rows"].alias("rows"))
-
-    def step(s: Column, t: Column) -> Column:
-        kind = t["kind"]
-        after = F.when((kind == "text") & (F.size(s["open"]) > 0), written(s, t["text"])).when(kind == "open", opened(s, t)).when(kind == "close", closed(s, t["name"])).when(kind == "both", closed(opened(s, t), t["name"])).otherwise(s)
-        return after
-
-    start = F.expr(f"cast(named_struct('stack', array(), 'open', array(), 'done', array(), 'rows', 0) AS {_STATE})")
-    every = lambda s: F.array_sort(F.concat(s["done"], s["open"]))
-    return F.aggregate(F.filter(F.transform(tokens, read), lambda t: t["kind"] != "-"), start, step, lambda s: F.transform(every(s), lambda r: r["cells"]))
+    One pass: a cell is one list that all rows around it share, so a token costs the cells it is in.
+    """
+    rows, within, stack, cells, names = [], [], [], [], Counter()
+
+    def close(name: str) -> None:
+        while names[name]:
+            last, cell = stack.pop()
+            names[last] -= 1
+            if last == "tr":
+                within.pop()
+            if cell is not None:
+                cells.pop()
+            if last == name:
+                return
+
+    for token in _TOKENS.finditer(page):
+        t = token[0]
+        if token["text"] is not None:
+            for cell in cells:
+                cell.append(t)
+        elif (found := _TAG.match(t)) and (name := found[1].lower()) not in VOID and not _RAW.match(t):
+            if t[1] == "/":
+                close(name)
+                continue
+            cell = None
+            if name == "tr":
+                rows.append([])
+                within.append(rows[-1])
+            elif name == "td" and (wanting := [row for row in within if len(row) < CELLS]):
+                cell = []
+                cells.append(cell)
+                for row in wanting:
+                    row.append(cell)
+            stack.append((name, cell))
+            names[name] += 1
+            if _CLOSED.search(t):
+                close(name)
+    return rows
+
+
+def _tree_cells(x: Column) -> Column:
+    """Cells of the rows of any page, in the order of the rows' beginnings; null for a null page."""
+
+    def read(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda page: None if page is None else _tree_nodes(page))
+
+    nodes = F.pandas_udf(read, "array<array<array<string>>>")(x)
+    return F.transform(nodes, lambda row: F.transform(row, lambda cell, k: F.array_join(F.transform(cell, lambda node: _node(node, k)), "")))
 
 
 def row_cells(x: Column) -> Column:
@@ -160,5 +171,6 @@ def row_cells(x: Column) -> Column:
     null page has no rows.
     """
     page = F.coalesce(x, F.lit(""))
-    rows = F.when(is_plain(page), _plain_cells(page)).otherwise(_folded_cells(page))
+    plain = is_plain(page)
+    rows = F.when(plain, _plain_cells(page)).otherwise(_tree_cells(F.when(~plain, page)))
     return F.filter(rows, lambda r: F.size(r) == CELLS)

@@ -2,6 +2,7 @@
 
 import html
 import random
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -116,6 +117,17 @@ def test_cases(spark, page, rows):
     assert found(spark, [page]) == [rows]
 
 
+def test_a_large_page_takes_its_share_of_time(spark):
+    rows = ["<tr><td>x<table><tr><td>in</td><td>1</td><td>1</td><td>1</td></tr></table></td><td>5</td><td>6</td><td>7</td></tr>", "<tr><td>y<td>1<td>2<td>3</tr>", "<tr><td>" + "long < text " * 2000 + "</td><td>&#50;</td><td/><td></td></tr>"]
+    pages = ["".join(rows[k % 3 if k % 500 == 2 else k % 2] for k in range(n)) for n in (300, 9000)]
+    took = []
+    for page in [pages[0], *pages]:
+        began = time.monotonic()
+        assert found(spark, [page]) == [expected(page)]
+        took.append(time.monotonic() - began)
+    assert took[2] < 30 * max(took[1], 1.0)
+
+
 def test_references_as_the_parser_reads_them(spark):
     pages = [f"<tr><td>x{r}</td><td></td><td></td><td></td></tr>" for r in ("&Agrave;", "&notin;", "&not", "&#x80;", "&#129;", "&#0;", "&#1114112;", "&#xD800;", "&#12345678901234567890;", "&#x0000041;", "&;", "&&amp;", "&#;", "&zwj;", "&NotEqualTilde;", "&#x1F600;")]
     got = [rows[0][0] for rows in found(spark, pages)]
