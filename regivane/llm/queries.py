@@ -19,21 +19,21 @@ def tokenizer_source(name: str) -> str:
         return f.read()
 
 
-#: Rows that Spark hands to Python at once in these queries; operators bound what they make of them by themselves.
-ARROW_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1024")
+#: Rows and bytes that Spark hands to Python at once in these queries; operators bound what they make of them by themselves.
+ARROW_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1024"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
 
 
 def application(query: Callable) -> Callable:
-    """``query`` in a session whose Arrow batches have fewer rows, unless the session says otherwise than Spark.
+    """``query`` in a session whose Arrow batches are smaller, unless the session says otherwise than Spark.
 
     The operators never change a session; these queries are the application and own theirs.
     """
 
     @functools.wraps(query)
     def run(spark: SparkSession, *args):
-        key, usual, few = ARROW_ROWS
-        if spark.conf.get(key) == usual:
-            spark.conf.set(key, few)
+        for key, (usual, few) in ARROW_LIMITS.items():
+            if spark.conf.get(key) == usual:
+                spark.conf.set(key, few)
         return query(spark, *args)
 
     return run

@@ -33,6 +33,7 @@ import math
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regivane.llm.common import give_back, materialise, portions
+from regivane.storage import LARGE_ROWS
 
 #: Documents found for each item.
 BEST = 10
@@ -85,6 +87,11 @@ class Index:
     tokens: int
 
 
+def numbering() -> dict[bytes, int]:
+    """Numbers terms as they come; it does not refer to itself, so that it is freed with its shard and not when Python looks for cycles."""
+    return defaultdict(count().__next__)
+
+
 def _shard(names: pa.Array, lengths: list[int], words: dict[bytes, int], tokens: list[np.ndarray]) -> pa.RecordBatch:
     """One row of level 2; ``tokens`` are the numbers of each document's terms, in order of ``words``."""
     n = len(lengths)
@@ -108,9 +115,7 @@ def exact_postings(docs: DataFrame, doc_id: str, text: str, shard_postings: int
 
     def sharded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def fresh():
-            words = defaultdict(int)
-            words.default_factory = words.__len__
-            return words, [], [], []
+            return numbering(), [], [], []
 
         (words, names, lengths, tokens), size = fresh(), 0
         for batch in portions(batches):
@@ -139,7 +144,7 @@ def _relative(lengths: pa.Scalar, documents: int, tokens: int) -> np.ndarray:
 
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shard_postings: int = SHARD_POSTINGS) -> Index:
     """Index every row of ``docs``: one pass over the texts, one over level 2."""
-    exact = materialise(exact_postings(docs, doc_id, text, shard_postings), "postings")
+    exact = materialise(exact_postings(docs, doc_id, text, shard_postings), "postings", LARGE_ROWS)
     sums = F.aggregate("lengths", F.lit(0).cast("bigint"), lambda s, n: s + n)
     documents, tokens = exact.agg(F.coalesce(F.sum(F.size("docs").cast("bigint")), F.lit(0)), F.coalesce(F.sum(sums), F.lit(0))).first()
 
@@ -151,7 +156,7 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sha
             yield pa.RecordBatch.from_arrays([pa.array([len(m)], pa.int32()), *(batch.column(c) for c in ("terms", "counts", "places")), pa.array([units.astype(np.uint8).tobytes()], pa.binary())], ["n", "terms", "counts", "places", "units"])
 
     quantised = exact.select("lengths", "terms", "counts", "places", "tfs").mapInArrow(rounded, "n int, terms array<string>, counts array<int>, places binary, units binary")
-    return Index(exact, materialise(quantised, "impacts"), documents, tokens)
+    return Index(exact, materialise(quantised, "impacts", LARGE_ROWS), documents, tokens)
 
 
 def _items(items: DataFrame, item_id: str, text: str) -> DataFrame:

@@ -46,13 +46,19 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/regivane/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def fixed(df: DataFrame, label: str) -> DataFrame:
+#: Writer options for tables of rows of many kilobytes: pages and row groups are closed by bytes after
+#: any row (Parquet looks after 100 rows first), since writers and readers hold them whole.
+LARGE_ROWS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
+
+
+def fixed(df: DataFrame, label: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage and fixes the rows.
 
     A lost executor costs only its unfinished tasks, since readers use the written files.
+    ``options`` go to the writer.
     """
     path = shared_path(df.sparkSession, label)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**(options or {})).parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     stored.stored_at = path
     return stored

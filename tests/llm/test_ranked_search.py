@@ -1,10 +1,13 @@
 """Ranked search against plain scoring of all documents."""
 
+import gc
 import math
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 from regivane.llm import ranked_search
@@ -94,3 +97,26 @@ def test_query_ranks_all_documents(spark, sf):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     got = sorted(map(tuple, QUERIES["op12_ranked_search"](spark, sf).collect()), key=str)
     assert got == brute(docs, items)
+
+
+def test_row_groups_of_shards_are_bounded_by_bytes(spark):
+    rng = random.Random(3)
+    docs = spark.createDataFrame([(k, " ".join(f"{rng.getrandbits(40):x}" for _ in range(20_000))) for k in range(50)], "doc_id bigint, text string").coalesce(1)
+    index = ranked_search.build_index(docs, shard_postings=1)
+    for table, least in ((index.exact, 3), (index.quantised, 2)):
+        files = [pq.ParquetFile(f).metadata for f in Path(table.stored_at.removeprefix("file:")).rglob("*.parquet")]
+        sizes = [m.row_group(k).total_byte_size for m in files for k in range(m.num_row_groups)]
+        assert sum(m.num_rows for m in files) == 50 and len(sizes) >= least and max(sizes) < 12 << 20
+
+
+def test_the_numbers_of_a_shard_are_freed_at_once():
+    gc.collect()
+    gc.disable()
+    try:
+        for _ in range(50):
+            words = ranked_search.numbering()
+            assert [words[t] for t in (b"a", b"b", b"a", b"c")] == [0, 1, 0, 2]
+        del words
+        assert not [x for x in gc.get_objects() if type(x) is defaultdict and x.keys() == {b"a", b"b", b"c"}]
+    finally:
+        gc.enable()
