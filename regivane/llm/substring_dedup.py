@@ -394,19 +394,27 @@ def alike_lines(docs: DataFrame, lines: DataFrame, doc_id: str, text: str, scrat
 
 
 def _alike(members: list) -> pa.RecordBatch:
-    """Each line with the first alike one of an earlier document (of two blocks: of the other block); members come by document."""
+    """Alike lines of different documents (of two blocks: of one each); members come by document.
+
+    Each line is compared with all before it and linked to the first alike one, and to every other
+    that these links do not join to it already; so all that are alike end up in one class.
+    """
     doc, start, words, side = (np.array(x) for x in list(zip(*members, strict=True))[:4])
     sizes = np.array([len(m[4]) for m in members])
     index = SharedCodes([m[4] for m in members])
-    own, source = [], []
+    own, source, joined = [], [], np.arange(len(members))
     for k in range(1, len(members)):
         before = (doc[:k] < doc[k]) & ((side[:k] != side[k]) | (side[k] == -1))
         if before.any():
             both = index.overlaps(k)[:k]
             found = before & (both > 0) & alike(both, sizes[:k], sizes[k], SIMILARITY)
-            if found.any():
-                own.append(k)
-                source.append(int(found.argmax()))
+            # one link to each class of lines that it is alike to, the first of all among them
+            classes, firsts = np.unique(joined[np.flatnonzero(found)], return_index=True)
+            if len(classes):
+                linked = np.flatnonzero(found)[np.sort(firsts)]
+                own += [k] * len(linked)
+                source += linked.tolist()
+                joined[np.isin(joined, classes)] = joined[k] = classes[0]
     own, source = np.array(own, dtype=int), np.array(source, dtype=int)
     columns = [x.astype(np.int64) for at in (own, source) for x in (doc[at], start[at], start[at] + words[at])]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], list(_PAIR))

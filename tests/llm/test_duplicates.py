@@ -348,3 +348,25 @@ def test_cutting_text():
     assert cut("a bb cc d", [{"first": 1, "last": 3}]) == "a d"
     assert cut("a\nbb cc\nd", [{"first": 1, "last": 3}]) == "a\nd"
     assert cut("bb cc", [{"first": 0, "last": 2}]) == ""
+
+
+def test_a_line_joins_all_the_lines_it_is_alike_to():
+    """In one band: the third is alike to the first two, the fourth to the second alone, the fifth to all that are joined."""
+    base = np.arange(1, 181, dtype=np.uint64)
+    codes = [np.concatenate((base, more)).astype(np.uint64) for more in (range(1000, 1030), range(2000, 2030), [*range(1000, 1010), *range(2000, 2010)], range(2000, 2045), ())]
+    codes[3] = codes[3][10:]
+    alike = {(b, a) for b in range(5) for a in range(b) if len(set(codes[a]) & set(codes[b])) >= 0.8 * len(set(codes[a]) | set(codes[b]))}
+    assert {(2, 0), (2, 1), (3, 1)} <= alike and not {(1, 0), (3, 0), (3, 2)} & alike
+    for sides in ((-1,) * 5, (0, 0, 1, 1, 1), (1, 0, 1, 0, 1)):
+        wanted = {(b, a) for b, a in alike if sides[a] != sides[b] or sides[a] == -1}
+        got = substring_dedup._alike([(k, 7, 50, side, c) for k, (side, c) in enumerate(zip(sides, codes, strict=True))]).to_pylist()
+        pairs = {(r["doc"], r["source"]) for r in got}
+        assert pairs <= wanted and {b for b, _ in pairs} == {b for b, _ in wanted}
+
+        def classes(links):
+            of = list(range(5))
+            for b, a in links:
+                of = [of[a] if x == of[b] else x for x in of]
+            return {frozenset(k for k in range(5) if of[k] == x) for x in of}
+
+        assert classes(pairs) == classes(wanted)
