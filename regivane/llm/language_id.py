@@ -13,8 +13,10 @@ log-probabilities; grams that are not there back off.
 
 A text gets the language of the lowest cross-entropy per character.  The score is the
 calibrated posterior of that language; a text is rejected where its cross-entropy lies
-beyond what the calibration rows of that language show, and nearer to that of the same rows
-with their characters shuffled than to the language's usual text.
+beyond what the training rows of that language show, and nearer to that of the same rows
+with their characters shuffled than to the language's usual text.  Calibration takes every
+training row: the tasks sum the losses of each scale, and medians and limits are exact order
+statistics, found by counts.
 
 Defined results: null texts and texts without a letter get ``und``, score 0, rejected; so do
 all texts where there is no training row.  Ties go to the lower language name.  Repeated rows
@@ -25,24 +27,28 @@ of any length is read whole, and what a task holds beside the models does not gr
 
 from __future__ import annotations
 
+import math
 import pickle
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regivane.llm.common import discard, frames_in_portions, kept_fields, materialise, per_process, portions
+from regivane.llm.common import discard, kept_fields, materialise, per_process, portions
 from regivane.llm.near_dedup import mix
 
 ORDER, CLASS_BITS = 4, 16
 CLASSES = 1 << CLASS_BITS
 #: Grams of one order of all models together, and entries that a task sums before it passes them on.
 MODEL_GRAMS, HELD_GRAMS = 1 << 22, 1 << 20
-CALIBRATION_ROWS = 4096
+#: Scales that calibration tries: temperature, and power of the text's length.
+SCALES = [(temperature, power) for temperature in (0.25, 0.5, 1.0, 2.0, 4.0) for power in (0.0, 0.25, 0.5, 0.75, 1.0)]
+#: Share of a language's training rows whose excess of cross-entropy counts as usual.
+USUAL = 0.999
 _GAP = "\x00" * ORDER
 _SLICE = 1 << 20
 
@@ -294,20 +300,21 @@ class Models:
     def __init__(self, by_lang: dict[str, Smoothed], scale=(1.0, 1.0), limits: dict | None = None):
         self.langs, self.by_lang, self.scale, self.limits = sorted(by_lang), by_lang, scale, limits or {}
 
-    def log_probs(self, codes: np.ndarray) -> np.ndarray:
-        return np.stack([self.by_lang[name].log_probs(codes) for name in self.langs], axis=1)
+    def log_probs(self, codes: np.ndarray, names: list[str]) -> np.ndarray:
+        return np.stack([self.by_lang[name].log_probs(codes) for name in names], axis=1)
 
-    def entropies(self, texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Cross-entropy per character by text and language, characters, letters there or not."""
+    def entropies(self, texts: list[str], table: np.ndarray, names: list[str] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cross-entropy per character by text and language (of ``names``, or all), characters, letters there or not."""
+        names = self.langs if names is None else names
         codes, spans = grams(texts, table)
-        sums = np.zeros((len(texts), len(self.langs)))
+        sums = np.zeros((len(texts), len(names)))
         n, letters = spans[:, 1] - spans[:, 0], np.zeros(len(texts), dtype=bool)
         owner = np.repeat(np.arange(len(texts)), n)
         inside = codes[_inside(spans, len(codes))] if len(texts) else codes[:0]
         for at in range(0, len(inside), _SLICE):
             own, part = owner[at : at + _SLICE], inside[at : at + _SLICE]
             first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-            sums[own[first]] += np.add.reduceat(self.log_probs(part), first, axis=0, dtype=np.float64)
+            sums[own[first]] += np.add.reduceat(self.log_probs(part, names), first, axis=0, dtype=np.float64)
             letters[own[first]] |= np.add.reduceat((part & np.uint64(CLASSES - 1) != 0).astype(np.int64), first) > 0
         return -sums / np.maximum(n, 1)[:, None], n, letters
 
@@ -318,60 +325,97 @@ class Models:
         e = np.exp(z)
         return e / e.sum(1, keepdims=True)
 
-    def calibrate(self, entropy: np.ndarray, n: np.ndarray, truth: np.ndarray, shuffled: np.ndarray) -> None:
-        """Fit the posterior's scale by log-loss, and each language's rejection limits.
-
-        ``shuffled`` has the cross-entropies of the same texts with their characters shuffled.
-        """
-        best = (np.inf, self.scale)
-        for temperature in (0.25, 0.5, 1.0, 2.0, 4.0):
-            for power in (0.0, 0.25, 0.5, 0.75, 1.0):
-                self.scale = (temperature, power)
-                p = self.posterior(entropy, n)[np.arange(len(truth)), truth]
-                best = min(best, (float(-np.log(np.maximum(p, 1e-9)).mean()), self.scale))
-        self.scale = best[1]
-        for k, name in enumerate(self.langs):
-            own = truth == k
-            if own.any():
-                excess = (entropy[own, k] - np.median(entropy[own, k])) * np.sqrt(n[own])
-                middle = float(np.median(entropy[own, k]))
-                self.limits[name] = (middle, 1.5 * float(max(excess.max(), 1.0)), (middle + float(np.median(shuffled[own, k]))) / 2)
-
-
-def train(docs: DataFrame, train_on: Column, text: str = "text", lang: str = "lang", key: str = "doc_id", calibration_rows: int = CALIBRATION_ROWS) -> Models:
-    """Models of all languages over the rows where ``train_on`` holds.
-
-    Counts take every such row; the scale of scores and the rejection limits are fitted on a
-    sample by key hash of about ``calibration_rows`` of them.
-    """
+    def losses(self, entropy: np.ndarray, n: np.ndarray, truth: np.ndarray) -> list[float]:
+        """The sum of the texts' log-losses at each of :data:`SCALES`."""
+        out = []
+        for scale in SCALES:
+            p = Models(self.by_lang, scale).posterior(entropy, n)[np.arange(len(truth)), truth]
+            out.append(float(-np.log(np.maximum(p, 1e-9)).sum()))
+        return out
+
+
+def train(docs: DataFrame, train_on: Column, text: str = "text", lang: str = "lang") -> Models:
+    """Models of all languages over the rows where ``train_on`` holds; counts and calibration take every such row."""
     rows = docs.where(train_on & F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = materialise(_train_counts(rows, text, lang), "gram-counts")
     models = Models(smoothed_models(counts))
     discard(counts)
-    if not models.langs:
-        return models
-    share = calibration_rows / max(1, rows.select(key).count())
-    picked = rows.where(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    found = _entropies(picked.select(text, lang), models).toPandas()
-    if len(found):
-        truth = found["truth"].map({name: k for k, name in enumerate(models.langs)}).to_numpy()
-        models.calibrate(np.array(found["entropy"].tolist()), found["n"].to_numpy(), truth, np.array(found["shuffled"].tolist()))
+    if models.langs:
+        calibrate(models, rows.select(text, lang))
     return models
 
 
+def calibrate(models: Models, rows: DataFrame) -> None:
+    """Fit the posterior's scale by log-loss, and each language's rejection limits, on all ``rows`` (text, language)."""
+    found = materialise(_entropies(rows, models), "calibration")
+    sums = found.agg(*(F.sum(F.get("losses", F.lit(k))).alias(f"l{k}") for k in range(len(SCALES)))).first()
+    if sums[0] is not None:
+        models.scale = min(zip(sums, SCALES, strict=True))[1]
+        measured = [F.struct(F.concat(F.lit(c[0]), "truth").alias("name"), F.col(c).alias("value")) for c in ("own", "shuffled")]
+        medians = {name: float(np.mean(x)) for name, x in order_statistics(found.select(F.inline(F.array(*measured))), lambda n: [(n - 1) // 2, n // 2], 4096).items()}
+        middle = {name[1:]: x for name, x in medians.items() if name[0] == "o"}
+        middles = F.broadcast(rows.sparkSession.createDataFrame(list(middle.items()), "truth string, middle double"))  # a row a language
+        excess = found.join(middles, "truth").select(F.col("truth").alias("name"), ((F.col("own") - F.col("middle")) * F.sqrt("n")).alias("value"))
+        for name, (most,) in order_statistics(excess, lambda n: [math.ceil(n * USUAL) - 1], 16).items():
+            models.limits[name] = (middle[name], 1.5 * max(most, 1.0), (middle[name] + medians[f"s{name}"]) / 2)
+    discard(found)
+
+
+def order_statistics(values: DataFrame, ranks: Callable[[int], list[int]], steps: int) -> dict[str, list[float]]:
+    """For each name of ``values`` (name, value) those of its ``n`` values at ``ranks(n)``, counted from 0 in ascending order.
+
+    They are exact: counts by cells of one of ``steps`` to a unit lead to a cell, and the different
+    values of that cell are counted.  So the driver gets a row a cell that is not empty, and no group is sorted.
+    """
+    celled = values.withColumn("cell", F.floor(F.col("value") * steps))
+    wanted: list[tuple[str, int, int]] = []
+    for name, own in celled.groupBy("name", "cell").count().toPandas().sort_values(["name", "cell"]).groupby("name"):
+        upto = own["count"].cumsum().to_numpy()
+        for k in ranks(int(upto[-1])):
+            at = int(np.searchsorted(upto, k, side="right"))
+            wanted.append((name, int(own["cell"].iloc[at]), k - int(upto[at] - own["count"].iloc[at])))
+    if not wanted:
+        return {}
+    cells = F.broadcast(values.sparkSession.createDataFrame(sorted({w[:2] for w in wanted}), "name string, cell bigint"))
+    inside = celled.join(cells, ["name", "cell"]).groupBy("name", "cell", "value").count().toPandas().sort_values("value")
+    parts = {key: (own["value"].to_numpy(), own["count"].cumsum().to_numpy()) for key, own in inside.groupby(["name", "cell"])}
+    out: dict[str, list[float]] = {}
+    for name, cell, k in wanted:
+        value, upto = parts[name, cell]
+        out.setdefault(name, []).append(float(value[np.searchsorted(upto, k, side="right")]))
+    return out
+
+
+def _shuffled(text: str) -> str:
+    """The text's characters in an order that follows from the text."""
+    data = text.encode("utf-32-le", "surrogatepass")
+    order = np.random.default_rng(zlib.crc32(data))
+    return order.permutation(np.frombuffer(data, dtype="<u4")).tobytes().decode("utf-32-le", "surrogatepass")
+
+
 def _entropies(rows: DataFrame, models: Models) -> DataFrame:
+    """(truth, own, shuffled, n, losses) of each text with a letter; the first of a portion has the portion's losses."""
     sent = rows.sparkSession.sparkContext.broadcast(pickle.dumps(models))
 
-    def scored(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, models = per_process(("languages", hash(sent.value)), lambda: (class_table(), pickle.loads(sent.value)))
-        for frame in frames_in_portions(frames):
-            texts = frame.iloc[:, 0].tolist()
+        number = {name: k for k, name in enumerate(models.langs)}
+        for batch in portions(batches):
+            known = [(t, number[x]) for t, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if x in number]
+            texts, truth = [t for t, _ in known], np.array([k for _, k in known], dtype=np.int64)
             entropy, n, letters = models.entropies(texts, table)
-            rng = np.random.default_rng(5)
-            shuffled = models.entropies(["".join(rng.permutation(list(t)).tolist()) for t in texts], table)[0]
-            yield pd.DataFrame({"truth": frame.iloc[:, 1], "entropy": list(entropy), "shuffled": list(shuffled), "n": n})[letters]
-
-    return rows.mapInPandas(scored, "truth string, entropy array<double>, shuffled array<double>, n bigint")
+            texts, truth, entropy, n = [t for t, there in zip(texts, letters, strict=True) if there], truth[letters], entropy[letters], n[letters]
+            if not texts:
+                continue
+            shuffled = np.zeros(len(texts))
+            for k in np.unique(truth).tolist():
+                own = np.flatnonzero(truth == k)
+                shuffled[own] = models.entropies([_shuffled(texts[at]) for at in own.tolist()], table, [models.langs[k]])[0][:, 0]
+            losses = pa.array([models.losses(entropy, n, truth), *[None] * (len(texts) - 1)], pa.list_(pa.float64()))
+            names = pa.array([models.langs[k] for k in truth.tolist()], pa.string())
+            yield pa.RecordBatch.from_arrays([names, pa.array(entropy[np.arange(len(texts)), truth]), pa.array(shuffled), pa.array(n), losses], ["truth", "own", "shuffled", "n", "losses"])
+
+    return rows.mapInArrow(scored, "truth string, own double, shuffled double, n bigint, losses array<double>")
 
 
 def identify(docs: DataFrame, models: Models, text: str = "text", prefix: str = "") -> DataFrame:

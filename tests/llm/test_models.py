@@ -239,3 +239,31 @@ def test_toxicity_without_labels(labelled):
     assert toxicity.score(labelled.limit(3), model, out="s").select("s").distinct().collect()[0].s == 0.0
     one = toxicity.fit(labelled.where("toxic = 1").select("doc_id", "text", "toxic"))
     assert toxicity.score(labelled.limit(3), one, out="s").first().s == 1.0
+
+
+def test_order_statistics_are_exact(spark):
+    rng = np.random.default_rng(4)
+    own = {"a": np.round(rng.normal(size=501), 2), "b": rng.normal(size=40), "c": np.array([0.125])}
+    table = spark.createDataFrame([(name, float(x)) for name, v in own.items() for x in v], "name string, value double").repartition(3)
+    for steps in (1, 4096):
+        got = language_id.order_statistics(table, lambda n: [(n - 1) // 2, n // 2, n - 1], steps)
+        assert {k: (np.mean(v[:2]), v[2]) for k, v in got.items()} == {k: (np.median(v), v.max()) for k, v in own.items()}
+    assert language_id.order_statistics(table.limit(0), lambda n: [0], 1) == {}
+
+
+def test_calibration_takes_every_row(spark, sf):
+    """Scale and limits are those of all training rows, however they are dealt."""
+    docs = spark.read.parquet(sf.replace("0.001", "0.1") + "/documents.parquet").select("doc_id", "text", "lang").where("doc_id < 8000")
+    models = language_id.train(docs, F.lit(True))
+    rows = [(r.text, r.lang) for r in docs.where("text IS NOT NULL AND lang IS NOT NULL").collect()]
+    entropy, n, letters = models.entropies([t for t, _ in rows], TABLE)
+    truth = np.array([models.langs.index(x) for _, x in rows])
+    entropy, n, truth = entropy[letters], n[letters], truth[letters]
+    assert len(truth) > 5000
+    best = min(zip(models.losses(entropy, n, truth), language_id.SCALES, strict=True))[1]
+    assert models.scale == best
+    for k, name in enumerate(models.langs):
+        own = entropy[truth == k, k]
+        excess = np.sort((own - np.median(own)) * np.sqrt(n[truth == k]))
+        assert models.limits[name][0] == pytest.approx(np.median(own), abs=1e-9)
+        assert models.limits[name][1] == pytest.approx(1.5 * max(excess[int(np.ceil(len(excess) * 0.999)) - 1], 1.0), abs=1e-6)
