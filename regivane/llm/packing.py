@@ -18,6 +18,7 @@ grow with it.
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 from unicodedata import is_normalized
@@ -117,7 +118,9 @@ class WordEncoder:
 
     The tokenizer drops white space and lower-cases, so each run of other characters is
     encoded by itself, and a word among marks as the lower-cased word and the marks.
-    What was encoded before comes from a memo, with 16-bit ids where the vocabulary allows.
+    What was encoded before comes from a memo of two generations, with 16-bit ids where the
+    vocabulary allows.  ASCII words go to the tokenizer's model by themselves, where probes show
+    that its other parts do no more to them than lower-casing.
     """
 
     def __init__(self, source: str, runs: int = 1 << 18):
@@ -126,13 +129,18 @@ class WordEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.runs, self.limit = Tokenizer.from_str(source), {}, runs
+        self.tokenizer, self.runs, self.old, self.limit = Tokenizer.from_str(source), {}, {}, runs // 2
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.kind = "<u2" if len(self.ends) <= 1 << 16 else "<u4"
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.marks: dict[str, bytes] = {"": b""}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.direct = all(self.word(w) == self.plain(w) for w in ("a", "The", "tokenizer", "xqzjvk", "I" * 40, "".join(map(chr, range(65, 91)))))
+
+    def word(self, word: str) -> bytes:
+        """Ids of an ASCII word by the model alone."""
+        return array("H" if self.kind == "<u2" else "I", [t.id for t in self.tokenizer.model.tokenize(word.lower())]).tobytes()
 
     def plain(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
@@ -161,10 +169,12 @@ class WordEncoder:
     def learn(self, lacking: set[str], present: set[str]) -> None:
         """Put runs into the memo; new words are encoded in one go and cut at their last pieces."""
         memo = self.runs
-        if len(memo) + len(lacking) > self.limit:  # keep what is in use
-            used = {r: memo[r] for r in present - lacking}
-            memo.clear()
-            memo.update(used)
+        if len(memo) + len(lacking) > self.limit:  # keep what is in use, and the rest for a generation
+            self.old, memo = memo, {r: memo[r] for r in present - lacking}
+            self.runs = memo
+        known = {r: self.old[r] for r in lacking if r in self.old}
+        memo.update(known)
+        lacking = lacking.difference(known)
         whole, odd = [], {}
         for run in lacking:
             if run.isalpha() and self.foldable(run):
@@ -177,6 +187,9 @@ class WordEncoder:
             memo[run] = self.mark(x[0]) + memo[x[1]] + self.mark(x[2]) if x else self.plain(run)
 
     def encode_words(self, fresh: list[str]) -> None:
+        if self.direct:
+            self.runs.update((w, self.word(w)) for w in fresh if w.isascii())
+            fresh = [w for w in fresh if not w.isascii()]
         ids = np.asarray(self.tokenizer.encode(" ".join(fresh), add_special_tokens=False).ids, dtype=self.kind)
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) == len(fresh):

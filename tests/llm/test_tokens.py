@@ -171,3 +171,15 @@ def test_digest_queries(spark, sf, libraries):
     for r in queries.op9_packing(spark, sf).collect():
         ids = np.array([*libraries[1].encode(docs[r.doc_id], add_special_tokens=False).ids, 1], dtype="<u4")
         assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+
+
+def test_words_come_from_the_model_and_the_older_generation(monkeypatch):
+    """Ids stay those of the library when the memo turns over; a word that is still in it is not encoded again."""
+    encoder = packing.WordEncoder(queries.tokenizer_source("word_bpe_49k.json"), runs=16)
+    assert encoder.direct
+    asked = []
+    monkeypatch.setattr(encoder, "word", lambda w, own=encoder.word: asked.append(w) or own(w))
+    texts = ["Alpha beta gamma", "delta epsilon zeta", "eta theta iota", "alpha BETA don't kappa's", "straße Σας alpha", "lambda mu nu xi omicron pi", "alpha"]
+    for text in texts:
+        assert encoder([text])[0] == np.asarray(encoder.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    assert asked.count("beta") == asked.count("alpha") == 1 and len(encoder.runs) <= 8 and len(encoder.old) <= 8
