@@ -19,7 +19,8 @@ import json
 import re
 from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +97,15 @@ class Tokenizer:
 
         return tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=self.ids, special_tokens={})._core_bpe.encode_single_piece
 
+    def words_of(self, chunk: str) -> Sequence[str]:
+        """The pre-tokens of a chunk; the plainest kinds are told without the pattern."""
+        rest = chunk[1:] if chunk[0] == " " else chunk
+        if rest.isalpha():
+            return (chunk,)
+        if rest[-1:] in (",", ".") and rest[:-1].isalpha():
+            return chunk[:-1], chunk[-1]
+        return self.words(chunk)
+
     def segments(self, text: str) -> list[str]:
         """Text and special-token strings in turn."""
         return self.cut.split(text) if self.cut and any(s in text for s in self.special) else [text]
@@ -108,35 +118,40 @@ class Encoder:
         self.tokenizer, self.lexicon, self.memo, self.limit = tokenizer, lexicon, {}, memo
         self.merge = tokenizer.merger()
 
-    def chunk(self, chunk: str) -> bytes:
-        if chunk[0] == " " and chunk[1:].isalpha():
-            words = (chunk,)
-        elif chunk[0] == " " and chunk[-1] in ",." and chunk[1:-1].isalpha():
-            words = (chunk[:-1], chunk[-1])
-        else:
-            words = self.tokenizer.words(chunk)
-        out: list[int] = []
-        lookup = self.lexicon.lookup if self.lexicon else lambda raw: None
-        for word in words:
-            raw = word.encode("utf-8", "surrogatepass")
-            out += lookup(raw) or self.merge(raw)
-        packed = array("i", out).tobytes()
-        if len(chunk) <= MEMO_CHARS:
-            if len(self.memo) >= self.limit:
-                self.memo.clear()
-            self.memo[chunk] = packed
+    def learn(self, chunks: set[str]) -> None:
+        """Put chunks into the memo; their words meet the lexicon all at once."""
+        special = self.tokenizer.special
+        split = [(c, self.tokenizer.words_of(c)) for c in chunks if c not in special]
+        raw = [w.encode("utf-8", "surrogatepass") for _, words in split for w in words]
+        ids = iter([i or self.merge(w) for i, w in zip(self.lexicon.lookup_all(raw), raw, strict=True)] if self.lexicon else map(self.merge, raw))
+        for chunk, words in split:
+            self.memo[chunk] = array("i", next(ids) if len(words) == 1 else [i for _ in words for i in next(ids)]).tobytes()
+        self.memo.update((c, array("i", [special[c]]).tobytes()) for c in chunks if c in special)
+
+    def chunks(self, text: str) -> list[str]:
+        """Chunks and special-token strings in turn."""
+        segments = self.tokenizer.segments(text)
+        if len(segments) == 1:
+            return [text] if text in self.tokenizer.special else CHUNK.findall(text)
+        return [c for s in segments for c in ([s] if s in self.tokenizer.special else CHUNK.findall(s))]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as packed little-endian 32-bit integers."""
+        split = [self.chunks(t) for t in texts]
+        lacking: set[str] = set()
+        for chunks in split:
+            lacking.update(filterfalse(self.memo.__contains__, chunks))
+        if len(self.memo) + len(lacking) > self.limit:
+            self.memo.clear()
+            lacking = set().union(*split)
+        self.learn(lacking)
+        packed = [b"".join(map(self.memo.__getitem__, chunks)) for chunks in split]
+        for chunk in lacking if len(self.memo) > self.limit else [c for c in lacking if len(c) > MEMO_CHARS]:
+            del self.memo[chunk]
         return packed
 
     def encode(self, text: str) -> bytes:
-        """Ids as packed little-endian 32-bit integers."""
-        parts, get, special = [], self.memo.get, self.tokenizer.special
-        for segment in self.tokenizer.segments(text):
-            if segment in special:
-                parts.append(array("i", [special[segment]]).tobytes())
-            else:
-                chunks = CHUNK.findall(segment)
-                parts += [p or self.chunk(c) for p, c in zip(map(get, chunks), chunks, strict=True)]
-        return b"".join(parts)
+        return self.encode_all([text])[0]
 
 
 def count_words(docs: DataFrame, source: str, text: str = "text", special_cut: bool = True) -> DataFrame:
@@ -148,7 +163,7 @@ def count_words(docs: DataFrame, source: str, text: str = "text", special_cut: b
         def flush():
             words: Counter = Counter()
             for chunk, n in chunks.items():
-                for word in tokenizer.words(chunk):
+                for word in tokenizer.words_of(chunk):
                     words[word] += n
             chunks.clear()
             return pa.RecordBatch.from_pydict({"word": pa.array(words.keys(), pa.string()), "n": pa.array(words.values(), pa.int64())})
@@ -199,7 +214,7 @@ def encode(docs: DataFrame, source: str, lexicon: bytes, text: str = "text", out
         key = "encoder", hash(sent.value[1]), hash(sent.value[0])
         encoder = per_process(key, lambda: Encoder(Tokenizer(sent.value[0]), mapped(sent.value[1])))
         for batch in portions(batches):
-            packed = [encoder.encode(v or "") for v in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            packed = encoder.encode_all([v or "" for v in batch.column(batch.schema.get_field_index(text)).to_pylist()])
             ends = np.zeros(len(packed) + 1, dtype=np.int32)
             np.cumsum([len(p) // 4 for p in packed], out=ends[1:])
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), dtype="<i4")))
@@ -208,6 +223,22 @@ def encode(docs: DataFrame, source: str, lexicon: bytes, text: str = "text", out
     return docs.mapInArrow(encoded, schema)
 
 
+def piece_table(tokenizer: Tokenizer) -> pa.Array:
+    """The bytes of each id, null where there is none."""
+    return pa.array(map(tokenizer.bytes_of.get, range(max(tokenizer.bytes_of) + 1)), pa.large_binary())
+
+
+def decoded_texts(table: pa.Array, ids: pa.ListArray) -> list[str]:
+    """The text of each list of ids; all pieces are fetched at once."""
+    ends = ids.offsets.to_numpy()
+    pieces = table.take(ids.values.slice(ends[0], ends[-1] - ends[0]))
+    if pieces.null_count:
+        raise KeyError("an id that the tokenizer lacks")
+    at = np.frombuffer(pieces.buffers()[1], dtype=np.int64)[pieces.offset :][ends - ends[0]].tolist() if len(pieces) else [0] * len(ends)
+    data = memoryview(pieces.buffers()[2] or b"")
+    return [str(data[a:b], "utf-8", "replace") for a, b in zip(at, at[1:], strict=False)]
+
+
 def decode(encoded: DataFrame, source: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Append ``out``: the text that ``ids`` stand for, special tokens included (invalid UTF-8 becomes U+FFFD)."""
     spark = encoded.sparkSession
@@ -216,11 +247,10 @@ def decode(encoded: DataFrame, source: str, ids: str = "ids", out: str = "decode
     names = [f.name for f in schema][:-1]
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = per_process(("pieces", hash(sent.value)), lambda: Tokenizer(sent.value).bytes_of)
+        table = per_process(("pieces", hash(sent.value)), lambda: piece_table(Tokenizer(sent.value)))
         for batch in portions(batches):
             column = batch.column(batch.schema.get_field_index(ids))
-            ends, flat = column.offsets.to_pylist(), column.values
-            texts = [b"".join(map(table.__getitem__, flat[a:b].to_numpy(zero_copy_only=False).tolist())).decode("utf-8", "replace") for a, b in zip(ends, ends[1:], strict=False)]
+            texts = decoded_texts(table, column)
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in names), pa.array(texts, pa.string())], [*names, out])
 
     return encoded.mapInArrow(decoded, schema)

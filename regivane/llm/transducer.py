@@ -106,6 +106,10 @@ class Lexicon:
         self._first, self._target, self._skip, self._id_first, self._ids = sections
         self._labels, self._finals = at, at + arcs + (-arcs % 4)
         self.size = words
+        # (state, byte) of each arc, ascending as the arcs are
+        labels, first = np.frombuffer(self._map, np.uint8, arcs, self._labels), np.asarray(self._first, dtype=np.int64)
+        self._arcs = np.repeat(np.arange(states), np.diff(first)) << 8 | labels
+        self._final = np.frombuffer(self._map, np.uint8, states, self._finals) > 0
         self._heads: dict[bytes, tuple[int, int]] = {}  # where the walk over a word's beginning ends
 
     def _walk(self, word: bytes, state: int, rank: int, at: int, end: int) -> tuple[int, int]:
@@ -136,6 +140,31 @@ class Lexicon:
             return None
         return self._ids[self._id_first[rank] : self._id_first[rank + 1]].tolist()
 
+    def lookup_all(self, words: Sequence[bytes]) -> list[list[int] | None]:
+        """:meth:`lookup` of many words, which walk side by side."""
+        out: list[list[int] | None] = [None] * len(words)
+        if not self.size:
+            return out
+        data, lengths = np.frombuffer(b"".join(words), np.uint8), np.fromiter(map(len, words), np.int64, len(words))
+        begin = np.cumsum(lengths) - lengths
+        state, rank = np.full(len(words), self._root, dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        skip, target = np.asarray(self._skip), np.asarray(self._target)
+        on, k = np.flatnonzero(lengths > 0), 0
+        while len(on):
+            wanted = state[on] << 8 | data[begin[on] + k]
+            arc = np.minimum(np.searchsorted(self._arcs, wanted), len(self._arcs) - 1)
+            there = self._arcs[arc] == wanted
+            state[on[~there]] = -1
+            on, arc = on[there], arc[there]
+            rank[on] += skip[arc]
+            state[on] = target[arc]
+            k += 1
+            on = on[lengths[on] > k]
+        hits = np.flatnonzero(self._final[state] & (state >= 0))
+        for at, r in zip(hits.tolist(), rank[hits].tolist(), strict=True):
+            out[at] = self._ids[self._id_first[r] : self._id_first[r + 1]].tolist()
+        return out
+
 
 def _holds(path: str, block: bytes) -> bool:
     with open(path, "rb") as f:

@@ -183,3 +183,32 @@ def test_words_come_from_the_model_and_the_older_generation(monkeypatch):
     for text in texts:
         assert encoder([text])[0] == np.asarray(encoder.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
     assert asked.count("beta") == asked.count("alpha") == 1 and len(encoder.runs) <= 8 and len(encoder.old) <= 8
+
+
+def test_many_words_walk_the_transducer_at_once():
+    """Looked up side by side, words have the ids that they have one by one; an empty lexicon has none."""
+    rng = random.Random(3)
+    entries = {bytes(rng.choices(b"abc\x00\xff", k=rng.randint(1, 7))): [k, k + 1] for k in range(400)}
+    words = [*entries, *(bytes(rng.choices(b"abcd\x00\xff", k=rng.randint(1, 9))) for _ in range(2000))]
+    lexicon = transducer.mapped(transducer.compile_lexicon(entries))
+    assert lexicon.lookup_all(words) == [entries.get(w) for w in words] == [lexicon.lookup(w) for w in words]
+    assert lexicon.lookup_all([]) == [] and transducer.mapped(transducer.compile_lexicon({})).lookup_all([b"a"]) == [None]
+
+
+def test_a_portion_is_encoded_and_decoded_at_once(libraries):
+    """Special tokens, chunks met again and a memo that is too small for a portion change no id; decoding gives the texts."""
+    import pyarrow as pa
+
+    texts = ["Hello, hello. hello's%%% <|endoftext|>\nWord", "", "<|endoftext|>", " ".join(f"w{k}x" for k in range(50)), "ß, é. 漢字 🙂", "hello"]
+    truth = [libraries[0].encode(t, add_special_tokens=False).ids for t in texts]
+    for memo in (4, 1 << 10):
+        encoder = bpe_codec.Encoder(bpe_codec.Tokenizer(BYTE), None, memo)
+        for _ in range(2):
+            assert [np.frombuffer(p, dtype="<i4").tolist() for p in encoder.encode_all(texts)] == truth
+        assert len(encoder.memo) <= memo
+    table = bpe_codec.piece_table(bpe_codec.Tokenizer(BYTE))
+    ids = pa.array([None, *truth, [int(np.frombuffer("é".encode(), np.uint8)[0])]], pa.list_(pa.int32()))
+    for at in (0, 2):
+        assert bpe_codec.decoded_texts(table, ids.slice(at, len(truth) + 1 - at)) == ["", *texts][at:]
+    with pytest.raises((KeyError, IndexError)):
+        bpe_codec.decoded_texts(table, pa.array([[10**5]], pa.list_(pa.int32())))
