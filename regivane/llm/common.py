@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ def portions(batches: Iterable[pa.RecordBatch], rows: int = PORTION_ROWS, size:
     Spark bounds a batch by bytes; what an operator makes of a portion is bounded by this.  What
     the task before has freed goes back first, and what this one has freed in the end.
     """
-    give_back()
+    _begin()
     for batch in batches:
         at = 0
         while at < batch.num_rows:
@@ -53,7 +54,7 @@ def give_back() -> None:
 
 
 def frames_in_portions(frames: Iterable[pd.DataFrame], rows: int = 128) -> Iterator[pd.DataFrame]:
-    give_back()
+    _begin()
     for frame in frames:
         for at in range(0, len(frame), rows):
             yield frame.iloc[at : at + rows]
@@ -74,19 +75,40 @@ def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
 
 
-_HELD: list = [None, None]
+_HELD: list = [None, None, None]
+
+
+def _task() -> int | None:
+    context = TaskContext.get()
+    return context.taskAttemptId() if context else None
+
+
+def _let_go() -> None:
+    _HELD[:] = [None, None, None]
+    gc.collect()
+    give_back()
 
 
 def per_process(key: tuple, make):
-    """The object of ``key``, kept between the tasks of this worker process; one at a time, so memos do not add up."""
+    """The object of ``key``, kept between the tasks of this worker process; one at a time, so memos do not add up.
+
+    A task calls this before it takes its :func:`portions`, which let go what it has not called for.
+    """
     if _HELD[0] != key:
-        _HELD[:] = [None, None]
-        gc.collect()
-        give_back()
-        _HELD[:] = [key, make()]
+        _let_go()
+        _HELD[:2] = [key, make()]
+    _HELD[2] = _task()
     return _HELD[1]
 
 
+def _begin() -> None:
+    """Without the object of an earlier task that this one does without, and with what that task has freed given back."""
+    if _HELD[0] is not None and _HELD[2] != _task():
+        _let_go()
+    else:
+        give_back()
+
+
 class TwoGenerationCache:
     """A memo of at most ``2 * limit`` short keys: when the young half is full it becomes the old half."""
 

@@ -28,7 +28,6 @@ of any length is read whole, and what a task holds beside the models does not gr
 from __future__ import annotations
 
 import math
-import pickle
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -50,7 +49,8 @@ SCALES = [(temperature, power) for temperature in (0.25, 0.5, 1.0, 2.0, 4.0) for
 #: Share of a language's training rows whose excess of cross-entropy counts as usual.
 USUAL = 0.999
 _GAP = "\x00" * ORDER
-_SLICE = 1 << 20
+#: Bytes of texts, and grams, that are worked on at once: each letter takes some ten times its bytes meanwhile.
+_PORTION, _SLICE = 1 << 18, 1 << 16
 
 
 def class_table() -> np.ndarray:
@@ -104,7 +104,7 @@ def _train_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
                 codes, n = _summed(held.pop(name))
                 yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(codes), pa.string()), "code": pa.array(codes.view(np.int64)), "n": pa.array(n)})
 
-        for batch in portions(batches):
+        for batch in portions(batches, size=_PORTION):
             texts, langs = batch.column(0).to_pylist(), np.asarray(batch.column(1).to_pylist(), dtype=object)
             for name in sorted(set(langs)):
                 own = [t for t, x in zip(texts, langs, strict=True) if x == name and t]
@@ -395,12 +395,12 @@ def _shuffled(text: str) -> str:
 
 def _entropies(rows: DataFrame, models: Models) -> DataFrame:
     """(truth, own, shuffled, n, losses) of each text with a letter; the first of a portion has the portion's losses."""
-    sent = rows.sparkSession.sparkContext.broadcast(pickle.dumps(models))
+    sent = rows.sparkSession.sparkContext.broadcast(models)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, models = per_process(("languages", hash(sent.value)), lambda: (class_table(), pickle.loads(sent.value)))
+        table, models = per_process(("classes",), class_table), sent.value  # a worker has the models once, not their bytes as well
         number = {name: k for k, name in enumerate(models.langs)}
-        for batch in portions(batches):
+        for batch in portions(batches, size=_PORTION):
             known = [(t, number[x]) for t, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if x in number]
             texts, truth = [t for t, _ in known], np.array([k for _, k in known], dtype=np.int64)
             entropy, n, letters = models.entropies(texts, table)
@@ -424,15 +424,15 @@ def identify(docs: DataFrame, models: Models, text: str = "text", prefix: str =
     Columns of these names are replaced; ``prefix`` goes before the names.
     """
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(pickle.dumps(models))
+    sent = spark.sparkContext.broadcast(models)
     kinds = {"lang_pred": T.StringType(), "lang_score": T.DoubleType(), "cross_entropy": T.DoubleType(), "rejected": T.BooleanType()}
     added = [T.StructField(prefix + n, k) for n, k in kinds.items()]
     schema = T.StructType([*kept_fields(docs, [f.name for f in added]), *added])
     names = [f.name for f in schema][:-4]
 
     def identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, models = per_process(("languages", hash(sent.value)), lambda: (class_table(), pickle.loads(sent.value)))
-        for batch in portions(batches):
+        table, models = per_process(("classes",), class_table), sent.value  # a worker has the models once, not their bytes as well
+        for batch in portions(batches, size=_PORTION):
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
             n_texts = len(texts)
             pred, score, best = np.full(n_texts, "und", dtype=object), np.zeros(n_texts), np.full(n_texts, np.nan)

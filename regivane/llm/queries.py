@@ -20,7 +20,7 @@ def tokenizer_source(name: str) -> str:
 
 
 #: Rows and bytes that Spark hands to Python at once in these queries; operators bound what they make of them by themselves.
-ARROW_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1024"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
+ARROW_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1024"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "2m")}
 
 
 def application(query: Callable) -> Callable:

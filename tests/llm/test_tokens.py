@@ -212,3 +212,16 @@ def test_a_portion_is_encoded_and_decoded_at_once(libraries):
         assert bpe_codec.decoded_texts(table, ids.slice(at, len(truth) + 1 - at)) == ["", *texts][at:]
     with pytest.raises((KeyError, IndexError)):
         bpe_codec.decoded_texts(table, pa.array([[10**5]], pa.list_(pa.int32())))
+
+
+def test_portions_let_go_what_an_earlier_task_held(monkeypatch):
+    """A task that asks for no object of its own does not carry that of the task before; its own stays."""
+    monkeypatch.setattr(common, "_HELD", [None, None, None])
+    task = [1]
+    monkeypatch.setattr(common, "_task", lambda: task[0])
+    made = []
+    for task[0] in (1, 2):
+        assert common.per_process(("x",), lambda: made.append(1) or "held") == "held"
+        assert list(common.portions([])) == [] and common._HELD[1] == "held"
+    task[0] = 3
+    assert list(common.portions([])) == [] and common._HELD[1] is None and made == [1]
