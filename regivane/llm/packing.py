@@ -17,10 +17,12 @@ grow with it.
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
+from itertools import filterfalse
 from unicodedata import is_normalized
 
 import numpy as np
@@ -29,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regivane.llm.bpe_codec import byte_alphabet
 from regivane.llm.common import MEMO_CHARS, materialise, per_process, portions
 
 WINDOW, OPEN_WINDOWS, FAN_IN = 2048, 64, 256
@@ -40,6 +43,12 @@ _MARKED_WORD = re.compile(r"([\W_]*)([^\W\d_]+)([\W_]*)")
 #: Endings that the tokenizer's pattern cuts off with the apostrophe before them.
 _SHORT = ("s", "t", "re", "ve", "m", "ll", "d")
 
+#: Bytes of lower-case words, and the stand-in of each that can be a word's last.
+_IN_WORDS = bytes([*range(97, 123), *range(128, 256)])
+_LAST = bytes.maketrans(bytes([*range(97, 123), *range(128, 192)]), bytes([*range(65, 91), *range(64)]))
+#: Code points below this were letters, and had their cases, in every version of Unicode in use.
+_LATIN_END = "\u0250"
+
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary, part bigint"
 
 
@@ -113,13 +122,38 @@ def fill(pieces: list, size: int, emit: Callable[[Window], None]) -> list:
     return window.pieces
 
 
+def compiled_merges(model: dict) -> Callable[[bytes], list[int]] | None:
+    """``tiktoken``'s compiled merging of the bytes of a lower-case Latin word; None where it may differ from the model's own.
+
+    Of the last byte, the one with the end mark, :data:`_LAST` has the stand-in.  Ranks are the ids, so
+    these must ascend with the merges, and every longer piece come from just one merge.
+    """
+    suffix, vocabulary = model.get("end_of_word_suffix"), model.get("vocab")
+    if model.get("type") != "BPE" or not suffix or any(model.get(x) for x in ("dropout", "continuing_subword_prefix", "ignore_merges")):
+        return None
+    made = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    alphabet, pieces = byte_alphabet(), {}
+    for piece, i in vocabulary.items():
+        stem = bytes(alphabet.get(c, 0) for c in piece.removesuffix(suffix))
+        if not stem.translate(None, _IN_WORDS):
+            if not piece.endswith(suffix):
+                pieces[stem] = i
+            elif stem[-1] < 0xC0:
+                pieces[stem[:-1] + stem[-1:].translate(_LAST)] = i
+    if made != sorted(set(made)) or not {i for p, i in pieces.items() if len(p) > 1} <= set(made) or sum(len(p) == 1 for p in pieces) != len(_IN_WORDS) + 26 + 64:
+        return None
+    import tiktoken
+
+    return tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=pieces, special_tokens={})._core_bpe.encode_single_piece
+
+
 class WordEncoder:
     """Ids of whole texts as packed 32-bit integers, by the ``tokenizers`` library.
 
     The tokenizer drops white space and lower-cases, so each run of other characters is
     encoded by itself, and a word among marks as the lower-cased word and the marks.
     What was encoded before comes from a memo of two generations, with 16-bit ids where the
-    vocabulary allows.  ASCII words go to the tokenizer's model by themselves, where probes show
+    vocabulary allows.  Latin words go to the tokenizer's merges by themselves, where probes show
     that its other parts do no more to them than lower-casing.
     """
 
@@ -136,11 +170,13 @@ class WordEncoder:
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.marks: dict[str, bytes] = {"": b""}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.direct = all(self.word(w) == self.plain(w) for w in ("a", "The", "tokenizer", "xqzjvk", "I" * 40, "".join(map(chr, range(65, 91)))))
+        self.merge = compiled_merges(json.loads(source)["model"])
+        self.direct = self.merge is not None and all(self.word(w) == self.plain(w) for w in ("a", "The", "tokenizer", "xqzjvk", "I" * 40, "".join(map(chr, range(65, 91))), "\xc9t\xe9", "stra\xdfe", "\xfc"))
 
     def word(self, word: str) -> bytes:
-        """Ids of an ASCII word by the model alone."""
-        return array("H" if self.kind == "<u2" else "I", [t.id for t in self.tokenizer.model.tokenize(word.lower())]).tobytes()
+        """Ids of a Latin word by the model's merges alone."""
+        raw = word.lower().encode()
+        return array("H" if self.kind == "<u2" else "I", self.merge(raw[:-1] + raw[-1:].translate(_LAST))).tobytes()
 
     def plain(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
@@ -166,15 +202,16 @@ class WordEncoder:
         low = word.lower()
         return len(low) == len(word) and low.isalpha() and "\u03a3" not in word and is_normalized("NFC", word)
 
-    def learn(self, lacking: set[str], present: set[str]) -> None:
+    def learn(self, lacking: set[str], split: list[list[str] | None]) -> None:
         """Put runs into the memo; new words are encoded in one go and cut at their last pieces."""
         memo = self.runs
         if len(memo) + len(lacking) > self.limit:  # keep what is in use, and the rest for a generation
-            self.old, memo = memo, {r: memo[r] for r in present - lacking}
+            self.old, memo = memo, {r: memo[r] for r in set().union(*filter(None, split)) - lacking}
             self.runs = memo
-        known = {r: self.old[r] for r in lacking if r in self.old}
-        memo.update(known)
-        lacking = lacking.difference(known)
+        if self.old:
+            known = {r: self.old[r] for r in lacking if r in self.old}
+            memo.update(known)
+            lacking = lacking.difference(known)
         whole, odd = [], {}
         for run in lacking:
             if run.isalpha() and self.foldable(run):
@@ -188,8 +225,8 @@ class WordEncoder:
 
     def encode_words(self, fresh: list[str]) -> None:
         if self.direct:
-            self.runs.update((w, self.word(w)) for w in fresh if w.isascii())
-            fresh = [w for w in fresh if not w.isascii()]
+            self.runs.update((w, self.word(w)) for w in fresh if max(w) < _LATIN_END)
+            fresh = [w for w in fresh if max(w) >= _LATIN_END]
         ids = np.asarray(self.tokenizer.encode(" ".join(fresh), add_special_tokens=False).ids, dtype=self.kind)
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) == len(fresh):
@@ -225,10 +262,11 @@ class WordEncoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = list(map(self.runs_of, texts))
-        present = set().union(*(r for r in split if r))
-        lacking = present.difference(self.runs)
+        lacking: set[str] = set()
+        for runs in filter(None, split):
+            lacking.update(filterfalse(self.runs.__contains__, runs))
         if lacking:
-            self.learn(lacking, present)
+            self.learn(lacking, split)
         joined = [self.plain(t) if r is None else b"".join(map(self.runs.__getitem__, r)) for t, r in zip(texts, split, strict=True)]
         if any(len(r) > MEMO_CHARS for r in lacking):
             for run in [r for r in self.runs if len(r) > MEMO_CHARS]:

@@ -214,6 +214,21 @@ def test_a_portion_is_encoded_and_decoded_at_once(libraries):
         bpe_codec.decoded_texts(table, pa.array([[10**5]], pa.list_(pa.int32())))
 
 
+def test_latin_words_are_merged_by_compiled_code(libraries):
+    """Every word of a-z and Latin letters of the vocabulary, its pieces joined and random ones have the library's ids."""
+    import json
+
+    model = json.loads(WORD)["model"]
+    assert packing.compiled_merges(model | {"merges": model["merges"][:-1]}) is None and packing.compiled_merges(model | {"end_of_word_suffix": None}) is None
+    encoder, rng = packing.WordEncoder(WORD), random.Random(4)
+    assert encoder.direct
+    stems = sorted({p.removesuffix("</w>") for p in model["vocab"] if p.removesuffix("</w>").isascii() and p.removesuffix("</w>").isalpha()})
+    words = stems + ["".join(rng.choices(stems, k=2)) for _ in range(5000)] + ["".join(rng.choices("aeinrstéüßñÀÉåøł", k=rng.randint(1, 14))) for _ in range(5000)]
+    for at in range(0, len(words), 500):
+        part = words[at : at + 500]
+        assert [i for w in part for i in np.frombuffer(encoder.word(w), "<u2").tolist()] == libraries[1].encode(" ".join(part), add_special_tokens=False).ids
+
+
 def test_portions_let_go_what_an_earlier_task_held(monkeypatch):
     """A task that asks for no object of its own does not carry that of the task before; its own stays."""
     monkeypatch.setattr(common, "_HELD", [None, None, None])
